@@ -1,0 +1,27 @@
+"""The whole run: gate, curate, answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marquee.plans.answers import run_analytics
+from marquee.plans.curate import curate
+from marquee.sources import require_inputs
+
+
+def run(
+    spark: SparkSession,
+    raw_root: str,
+    curated_root: str,
+    analytics_root: str,
+    fmt: str = "parquet",
+    movies: str = "movies.csv",
+    credits: str = "credits.csv",
+    multiline: bool = True,
+    staged_root: str | None = None,
+    **questions,
+) -> dict[str, DataFrame]:
+    """Fail if an extract is missing, else write curated and result tables; return the results."""
+    require_inputs(spark, raw_root, [movies, credits])
+    curate(spark, raw_root, curated_root, fmt, movies, credits, multiline, staged_root)
+    return run_analytics(spark, curated_root, analytics_root, fmt, **questions)

@@ -1,0 +1,115 @@
+"""The hand-made two-file extract and the results it must give."""
+
+import csv
+import json
+
+MOVIE_HEADER = (
+    "budget genres homepage id keywords original_language original_title overview popularity "
+    "production_companies production_countries release_date revenue runtime spoken_languages "
+    "status tagline title vote_average vote_count"
+).split()
+
+ACTION = {"id": 28, "name": "Action"}
+DRAMA = {"id": 18, "name": "Drama"}
+
+
+def _movie(number, title, budget, genres, overview, revenue, runtime, rating, votes, **other):
+    row = dict.fromkeys(MOVIE_HEADER, "")
+    row |= {
+        "id": number,
+        "title": title,
+        "original_title": title,
+        "budget": budget,
+        "genres": genres if isinstance(genres, str) else json.dumps(genres),
+        "overview": overview,
+        "revenue": revenue,
+        "runtime": runtime,
+        "vote_average": rating,
+        "vote_count": votes,
+        "status": "Released",
+        "original_language": "en",
+    }
+    for name in ("keywords", "production_companies", "production_countries", "spoken_languages"):
+        row[name] = "[]"
+    return row | other
+
+
+MOVIES = [
+    _movie(
+        1, "Alpha", 100, [ACTION, DRAMA], 'He said "go", then left', 3000000000, "162.0", "7.0", 10,
+        homepage="http://a",
+        keywords='[{"id":9,"name":"space"}]',
+        popularity="1.5",
+        production_companies='[{"id":7,"name":"Studio A"}]',
+        production_countries='[{"iso_3166_1":"US","name":"United States"}]',
+        release_date="2001-01-01",
+        spoken_languages='[{"iso_639_1":"en","name":"English"}]',
+        tagline="tag",
+    ),
+    _movie(
+        2, "Beta", 50, [DRAMA], "line one\nline two", 500, "90.5", "6.0", 5,
+        release_date="2002-02-02", original_language="fr", popularity="0.5",
+    ),
+    _movie(3, "Gamma", 0, [], "", 0, "", "0.0", 0, status="Rumored", popularity="0"),
+    _movie(
+        4, "Delta", 10, '[{"id": 35, "name":', "bad json", 700, "100", "5.0", 2,
+        release_date="2004-04-04", popularity="2",
+    ),
+    _movie(
+        5, "Epsilon", 10, [ACTION], "tie", 700, "100.0", "4.0", 2,
+        release_date="2005-05-05", popularity="2",
+    ),
+]
+
+
+def _cast(*roles):
+    keys = ("cast_id", "character", "id", "name", "order")
+    return json.dumps(
+        [dict(zip(keys, role), credit_id=f"c{role[0]}", gender=2) for role in roles]
+    )
+
+
+def _crew(*jobs):
+    keys = ("credit_id", "id", "name", "job", "department")
+    return json.dumps([dict(zip(keys, job), gender=1) for job in jobs])
+
+
+CREDITS = [
+    {
+        "movie_id": 1,
+        "title": "Alpha",
+        "cast": _cast((1, "Hero", 10, "Pat Lee", 0), (2, "Twin", 10, "Pat Lee", 1), (3, "Foe", 11, "Sam Roe", 2)),
+        "crew": _crew(("w1", 20, "Kim Doe", "Director", "Directing"), ("w2", 21, "Ann Fox", "Writer", "Writing")),
+    },
+    {
+        "movie_id": 2,
+        "title": "Beta",
+        "cast": _cast((4, "Clerk", 10, "Pat Lee", 0)),
+        "crew": _crew(("w3", 20, "Kim Doe", "Director", "Directing"), ("w4", 22, "Kim Doe", "Director", "Directing")),
+    },
+    {"movie_id": 3, "title": "Gamma", "cast": "[]", "crew": "[]"},
+    {
+        "movie_id": 5,
+        "title": "Epsilon",
+        "cast": _cast((5, "Cop", 11, "Sam Roe", 0)),
+        "crew": _crew(("w5", 23, "Lou Ray", "Director", "Directing")),
+    },
+    {
+        "movie_id": 99,
+        "title": "Orphan",
+        "cast": _cast((6, "Ghost", 10, "Pat Lee", 0)),
+        "crew": _crew(("w6", 23, "Lou Ray", "Director", "Directing")),
+    },
+]
+
+
+def write_extracts(folder):
+    for name, header, rows in (
+        ("movies.csv", MOVIE_HEADER, MOVIES),
+        ("credits.csv", ["movie_id", "title", "cast", "crew"], CREDITS),
+    ):
+        with open(folder / name, "w", newline="") as out:
+            writer = csv.DictWriter(out, header, lineterminator="\n")
+            writer.writeheader()
+            writer.writerows(rows)
+    return str(folder)
