@@ -7,8 +7,10 @@ from eight scans of the CSV text with the JSON parsed again in each.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,21 +23,22 @@ from marquee.scratch import scratch_root
 from marquee.sinks import write_table
 from marquee.sources import read_extract, read_table
 
+T = TypeVar("T")
 
-def _shape(raw: DataFrame, columns: tuple, arrays: dict[str, str]) -> DataFrame:
-    """Cast columns, parsed arrays and corruption flags of one extract, in one projection."""
+
+def shaped(raw: DataFrame, columns: tuple, arrays: dict[str, str]) -> DataFrame:
+    """Cast columns, parsed arrays and corruption flags of an extract, not yet unrolled."""
     flags = [CORRUPT + name for name in arrays]
     parsed = parse_json_arrays(raw, arrays, flag=True)
     nested = [(name, name, "string") for name in (*arrays, *flags)]
     return fact_select(parsed, [*columns, *nested])
 
 
-def shaped_frames(movies: DataFrame, credits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed and parsed extracts, not yet unrolled."""
-    return (
-        _shape(movies, catalog.MOVIE_COLUMNS, catalog.MOVIE_ARRAYS),
-        _shape(credits, catalog.CREDIT_COLUMNS, catalog.CREDIT_ARRAYS),
-    )
+def side_by_side(spark: SparkSession, work: Callable[[str], T], names: Iterable[str]) -> list[T]:
+    """Run independent jobs at the same time, so that the last tasks of each overlap."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), names))
 
 
 def curated_frames(movies: DataFrame, credits: DataFrame) -> dict[str, DataFrame]:
@@ -56,26 +59,32 @@ def stage_extracts(
     multiline: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Read and parse both extracts into staged parquet tables, and read those back."""
-    raw = [
-        read_extract(spark, f"{raw_root.rstrip('/')}/{name}", multiline, scratch=f"{staged_root}/{name}")
-        for name in (movies, credits)
-    ]
-    for name, frame in zip(("movies", "credits"), shaped_frames(*raw)):
-        write_table(frame, staged_root, name)
-    return read_table(spark, staged_root, "movies"), read_table(spark, staged_root, "credits")
+    staged_root = staged_root.rstrip("/")
+    shapes = {
+        "movies": (movies, catalog.MOVIE_COLUMNS, catalog.MOVIE_ARRAYS),
+        "credits": (credits, catalog.CREDIT_COLUMNS, catalog.CREDIT_ARRAYS),
+    }
+
+    def stage(name: str) -> DataFrame:
+        file, columns, arrays = shapes[name]
+        path = f"{raw_root.rstrip('/')}/{file}"
+        raw = read_extract(spark, path, multiline, scratch=f"{staged_root}/raw_{name}")
+        write_table(shaped(raw, columns, arrays), staged_root, name)
+        return read_table(spark, staged_root, name)
+
+    movies_table, credits_table = side_by_side(spark, stage, shapes)
+    return movies_table, credits_table
 
 
 def write_tables(
     frames: dict[str, DataFrame], root: str, fmt: str, rebalance: dict[str, list[str]]
 ) -> None:
-    """Replace all tables; the writes are independent jobs, so their tails overlap."""
+    """Replace all tables below ``root``."""
 
     def write(name: str) -> None:
         write_table(frames[name], root, name, fmt, rebalance.get(name, ()))
 
-    session = next(iter(frames.values())).sparkSession
-    with ThreadPoolExecutor(len(frames)) as pool:
-        list(pool.map(inheritable_thread_target(session)(write), frames))
+    side_by_side(next(iter(frames.values())).sparkSession, write, frames)
 
 
 def curate(

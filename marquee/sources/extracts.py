@@ -11,22 +11,31 @@ from marquee.sources.records import read_quoted_records
 # Quoting of the extracts.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+# A file below the first is never worth splitting, one above the second always is.
+SMALL_FILE = 32 * 1024 * 1024
+LARGE_FILE = 1024 * 1024 * 1024
+
+
+def _whole_file_limit(spark: SparkSession, total: int) -> int:
+    """A core's share of all bytes: a larger file would keep one task busy after the others."""
+    share = total // spark.sparkContext.defaultParallelism
+    return min(max(share, SMALL_FILE), LARGE_FILE)
 
 
 def read_extract(
     spark: SparkSession,
     path: str,
     multiline: bool = True,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    whole_file_limit: int | None = None,
     scratch: str | None = None,
 ) -> DataFrame:
     """Read an extract as text columns named by its header.
 
     Spark's ``multiLine`` scan reads each file in one task. That is the plan of choice for
-    many moderate files, but not for a huge one: when the largest file exceeds
-    ``whole_file_limit`` bytes, its lines are read in splits and put together to records
-    by a shuffle (see :mod:`marquee.sources.records`), with the same result.
+    many files of like size, but not where one is huge: when the largest file exceeds
+    ``whole_file_limit`` bytes (by default a core's share of the input, within bounds), lines
+    are read in splits and put together to records (see :mod:`marquee.sources.records`).
+    Both plans give the same rows.
 
     ``multiline=False`` ends a record at every line break, also inside quotes.
     """
@@ -34,7 +43,10 @@ def read_extract(
     plain = reader.csv(path)
     if not multiline:
         return plain
-    largest = input_files(spark, path).agg(F.max("length")).first()[0] or 0
+    sizes = input_files(spark, path).agg(F.max("length"), F.sum("length"))
+    largest, total = (size or 0 for size in sizes.first())
+    if whole_file_limit is None:
+        whole_file_limit = _whole_file_limit(spark, total)
     if largest <= whole_file_limit:
         return plain
     return read_quoted_records(spark, path, plain.schema, CSV_OPTIONS, scratch)

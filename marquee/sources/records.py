@@ -1,10 +1,11 @@
 """CSV records with quoted line breaks, read in splits rather than file by file.
 
 A line starts inside a quoted field when an odd number of quotes precedes it in its file.
-The quotes of a whole file need no single task: each split reports whether its count is
-odd, and a running sum over those few rows tells every split how it begins. Within a split
-(a bounded number of bytes) a window then numbers the records. Only the pieces of records
-that cross a split border travel again to be joined up.
+No task needs to see a whole file for that. While a split is scanned, running counts are
+kept beside its lines. One row per split then tells, by a running sum, how each split
+begins, and with it every line knows its state. A line that is a record by itself, which
+most are, goes straight on. Only the lines of longer records are shuffled, by record, and
+it does not matter whether those cross a split border.
 
 The input must quote as RFC 4180 says: a quote occurs only around a field or doubled
 inside a quoted field, and records end in LF or CRLF.
@@ -12,100 +13,147 @@ inside a quoted field, and records end in LF or CRLF.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.scratch import scratch_root
 
-# A row per split of some 100 bytes: up to this many are safe to broadcast.
+# A row per split of some 200 bytes: up to this many are safe to broadcast.
 MAX_BROADCAST_SPLITS = 200_000
 
 _SPLIT = ["file", "split"]
 
 
-def stage_lines(spark: SparkSession, path: str, target: str) -> DataFrame:
-    """Write the lines of all files with their place in the file, and read them back.
+def _running_counts() -> Callable[[Column], Column]:
+    """Counts over the lines of a scan task, in scan order.
 
-    Split borders depend on the cores at hand when a scan is planned. The written table
-    fixes them for the steps that follow, also when executors come and go.
+    ``quotes`` is the number of odd lines before a line, ``evens`` and ``odds`` the number of
+    lines up to it that have an even or odd ``quotes``.
     """
-    quotes = F.octet_length("value") - F.octet_length(F.translate("value", '"', ""))
-    lines = spark.read.option("lineSep", "\n").text(path)
-    lines.select(
+
+    # local, so that executors need no copy of this package
+    @F.arrow_udf("struct<quotes: bigint, evens: bigint, odds: bigint>")
+    def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        quotes = evens = odds = 0
+        for batch in batches:
+            odd = batch.to_numpy(zero_copy_only=False).astype(np.int64)
+            before = quotes + np.cumsum(odd) - odd
+            starts_odd = before % 2
+            odd_lines = odds + np.cumsum(starts_odd)
+            even_lines = evens + np.cumsum(1 - starts_odd)
+            yield pa.StructArray.from_arrays(
+                [pa.array(before), pa.array(even_lines), pa.array(odd_lines)],
+                ["quotes", "evens", "odds"],
+            )
+            if len(odd):
+                quotes, evens, odds = int(before[-1] + odd[-1]), int(even_lines[-1]), int(odd_lines[-1])
+
+    return counts
+
+
+def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Write the lines of all files with their place and running counts, and a row per split.
+
+    Split borders depend on the cores at hand when a scan is planned. The written tables
+    fix them for the steps that follow, also when executors come and go.
+    """
+    marks = F.octet_length("value") - F.octet_length(F.translate("value", '"', ""))
+    scan = spark.read.option("lineSep", "\n").text(path)
+    scan.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("line"),
-        (quotes % 2).cast("tinyint").alias("odd"),
+        (marks % 2).cast("tinyint").alias("odd"),
         "value",
-    ).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
-
-
-def split_quotes(lines: DataFrame) -> DataFrame:
-    """Lines with an odd number of quotes, counted per split."""
-    return lines.groupBy(*_SPLIT).agg(F.sum("odd").alias("odds"))
-
-
-def split_states(quotes: DataFrame) -> DataFrame:
-    """Per split: whether it begins inside quotes, and if so in which split (``origin``) that
-    open record started."""
+    ).withColumn("counts", _running_counts()("odd")).write.mode("overwrite").parquet(
+        f"{target}/lines"
+    )
+    lines = spark.read.parquet(f"{target}/lines")
+    lines.groupBy(*_SPLIT).agg(
+        F.sum("odd").alias("odd"),
+        F.min("counts.quotes").alias("quotes"),
+        *(
+            bound(f"counts.{name}").alias(f"{end}_{name}")
+            for end, bound in (("first", F.min), ("last", F.max))
+            for name in ("evens", "odds")
+        ),
+    ).write.mode("overwrite").parquet(f"{target}/splits")
+    return lines, spark.read.parquet(f"{target}/splits")
+
+
+def split_states(splits: DataFrame) -> DataFrame:
+    """How each split begins and ends, one row per split.
+
+    ``closed`` is the parity of ``quotes`` at which a line starts outside quotes, ``origin``
+    the split holding the start of the record that is open where this split begins.
+    """
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2 == 1
-    ends_open = (F.col("odds") + F.col("begins_open").cast("int")) % 2 == 1
+    begins_open = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2 == 1
+    states = (
+        splits.withColumn("begins_open", begins_open)
+        .withColumn("ends_open", (F.col("odd") + F.col("begins_open").cast("int")) % 2 == 1)
+        .withColumn("closed", (F.col("quotes") + F.col("begins_open").cast("int")) % 2)
+    )
     # a split inside one long record neither begins nor ends it
-    starts_one = ends_open & ~(F.col("begins_open") & (F.col("odds") == 0))
-    return (
-        quotes.withColumn("begins_open", opened)
-        .withColumn("origin", F.last(F.when(starts_one, F.col("split")), True).over(earlier))
-        .select(*_SPLIT, "begins_open", "origin")
+    starts_one = F.col("ends_open") & ~(F.col("begins_open") & (F.col("odd") == 0))
+    origin = F.last(F.when(starts_one, F.col("split")), ignorenulls=True).over(earlier)
+
+    def record(end: str) -> Column:
+        return F.when(F.col("closed") == 0, F.col(f"{end}_evens")).otherwise(F.col(f"{end}_odds"))
+
+    return states.select(
+        *_SPLIT,
+        "begins_open",
+        "ends_open",
+        "closed",
+        origin.alias("origin"),
+        record("first").alias("first_record"),
+        record("last").alias("last_record"),
     )
 
 
-def _joined(order: str) -> Column:
-    return F.expr(f"listagg(value, '\\n') within group (order by {order})").alias("value")
-
-
-def assemble_records(lines: DataFrame) -> DataFrame:
+def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """Staged lines to one row ``value`` per CSV record, headers left out."""
-    quotes = split_quotes(lines)
-    files = quotes.groupBy("file").agg(
-        F.count("*").alias("splits"), (F.sum("odds") % 2).alias("unbalanced")
+    per_file = splits.groupBy("file").agg(
+        F.count("*").alias("splits"), (F.sum("odd") % 2).alias("unbalanced")
     )
-    splits, unbalanced = files.agg(F.sum("splits"), F.sum("unbalanced")).first()
+    count, unbalanced = per_file.agg(F.sum("splits"), F.sum("unbalanced")).first()
     if unbalanced:
         raise ValueError(f"{unbalanced} files with unbalanced quotes cannot be read in splits")
-    states = split_states(quotes)
-    if (splits or 0) <= MAX_BROADCAST_SPLITS:
+    states = split_states(splits)
+    if (count or 0) <= MAX_BROADCAST_SPLITS:
         states = F.broadcast(states)
-    so_far = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    quotes_before = F.sum("odd").over(so_far) - F.col("odd") + F.col("begins_open").cast("int")
-    numbered = (
-        lines.join(states, _SPLIT)
-        .withColumn("opens", (quotes_before % 2 == 0).cast("int"))
-        .withColumn("record", F.sum("opens").over(so_far))
-    )
-    # record 0 continues an earlier split; one left with an open quote goes on in a later split
-    crosses = (F.col("record") == 0) | (F.sum("odd") % 2 == 1)
-    pieces = numbered.groupBy(*_SPLIT, "record").agg(
-        _joined("line"),
-        F.first("origin").alias("origin"),
-        crosses.alias("crosses"),
-    )
+
+    inside = F.col("counts.quotes") % 2 != F.col("closed")
+    record = F.when(F.col("closed") == 0, F.col("counts.evens")).otherwise(F.col("counts.odds"))
+    numbered = lines.join(states, _SPLIT).withColumn("inside", inside).withColumn("record", record)
     # the first record of a file is its header
-    header = (F.col("split") == 0) & (F.col("record") == 1)
-    whole = pieces.filter(~F.col("crosses") & ~header).select("value")
-    start = F.when(F.col("record") == 0, F.col("origin")).otherwise(F.col("split"))
-    crossing = (
-        pieces.filter("crosses")
-        .groupBy("file", start.alias("start"))
-        .agg(_joined("split"), F.bool_or(header).alias("header"))
+    header = (F.col("split") == 0) & (F.col("record") == F.col("first_record"))
+    alone = ~F.col("inside") & (F.col("odd") == 0)
+    single = numbered.filter(alone & ~header).select("value")
+
+    head = F.col("begins_open") & (F.col("record") == F.col("first_record"))
+    tail = F.col("ends_open") & (F.col("record") == F.col("last_record"))
+    several = (
+        numbered.filter(~alone)
+        .groupBy(
+            "file",
+            F.when(head, F.col("origin")).otherwise(F.col("split")).alias("start"),
+            F.when(head | tail, -1).otherwise(F.col("record")).alias("record"),
+        )
+        .agg(
+            F.expr("listagg(value, '\\n') within group (order by split, line)").alias("value"),
+            F.bool_or(header).alias("header"),
+        )
         .filter("not header")
         .select("value")
     )
-    return whole.unionByName(crossing)
+    return single.unionByName(several)
 
 
 def read_quoted_records(
@@ -116,7 +164,7 @@ def read_quoted_records(
     scratch: str | None = None,
 ) -> DataFrame:
     """Rows of CSV files of any size, equal to a ``multiLine`` scan with a header."""
-    lines = stage_lines(spark, path, f"{scratch or scratch_root(spark, 'records')}/lines")
-    records = assemble_records(lines).select(F.regexp_replace("value", "\r$", "").alias("value"))
+    staged = stage_lines(spark, path, scratch or scratch_root(spark, "records"))
+    records = assemble_records(*staged).select(F.regexp_replace("value", "\r$", "").alias("value"))
     parsed = F.from_csv("value", schema.toDDL(), {**options, "multiLine": "true"})
     return records.filter(F.length("value") > 0).select(parsed.alias("row")).select("row.*")
