@@ -18,6 +18,8 @@ def write_table(
 ) -> None:
     """Replace the table ``root/name``; running it again gives the same table.
 
+    Spark deletes the old files of a plain file format first, so ``df`` must not read them.
+
     ``rebalance`` evens out the files: adaptive execution merges small shuffle blocks of
     those columns up to the advisory size and splits one that is too large.
     """

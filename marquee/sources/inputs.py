@@ -29,8 +29,9 @@ def _glob_literal(name: str) -> str:
 def missing_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """The names with no file below ``root``, as a one-column DataFrame ``name``.
 
-    An input is a file of that name or a folder of part files. An absent root means that
-    everything is missing.
+    An input is a file of that name or a folder of part files. Spark lists no files without
+    content, so an empty input, which could not be read either, is missing. An absent root
+    means that everything is missing.
     """
     expected = literal_rows(spark, [(name,) for name in names], "name string")
     wanted = ",".join(_glob_literal(name) for name in names)

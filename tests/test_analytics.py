@@ -1,0 +1,196 @@
+"""The questions on small tables, against brute force, and their plans."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from marquee.operators import (
+    filter_join_group_sum,
+    filter_join_sort,
+    group_count,
+    join_group_avg,
+    orphan_rows,
+    top_n,
+)
+from marquee.sources import read_table
+from marquee.sinks import write_table
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def executed_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+FACTS = [(1, "one", 50), (2, "two", 70), (3, "three", None), (4, "four", 70), (None, "lost", 90)]
+ROLES = [
+    (1, "ann", "x", "r1"), (1, "ann", "x", "r2"), (2, "ann", "y", "r3"), (3, "ann", "x", "r4"),
+    (4, "bob", "x", "r5"), (9, "ann", "x", "r6"), (None, "ann", "x", "r7"), (2, None, "x", "r8"),
+]
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    return spark.createDataFrame(FACTS, "id int, title string, revenue bigint")
+
+
+@pytest.fixture(scope="module")
+def roles(spark):
+    return spark.createDataFrame(ROLES, "id int, person string, job string, title string")
+
+
+def test_one_row_per_matching_role(facts, roles):
+    got = filter_join_sort(
+        roles, facts, "id", F.col("person") == "ann", ["id", "title", "revenue"], "revenue", ["title"]
+    )
+    assert rows(got) == [(2, "two", 70), (1, "one", 50), (1, "one", 50), (3, "three", None)]
+
+
+def test_one_row_per_fact_when_distinct(facts, roles):
+    got = filter_join_sort(
+        roles, facts, "id", F.col("person") == "ann", ["title"], "revenue", distinct=True
+    )
+    assert rows(got) == [("two",), ("one",), ("three",)]
+
+
+def test_filter_is_exact(facts, roles):
+    got = filter_join_sort(roles, facts, "id", F.col("person") == "Ann", ["id"], "revenue")
+    assert rows(got) == []
+
+
+def test_top_n_breaks_ties_by_key_and_puts_null_last(facts):
+    got = top_n(facts, ["id", "revenue"], "revenue", 10, ["id"])
+    assert rows(got) == [(None, 90), (2, 70), (4, 70), (1, 50), (3, None)]
+    assert rows(top_n(facts, ["title"], "revenue", 2, ["id"])) == [("lost",), ("two",)]
+
+
+def test_counts_have_a_null_group(roles):
+    assert rows(group_count(roles, ["person"], "n")) == [("ann", 6), (None, 1), ("bob", 1)]
+
+
+def test_sum_merges_by_group_and_counts_every_role(facts, roles):
+    got = filter_join_group_sum(
+        roles, facts, "id", F.col("job") == "x", ["person"], "revenue", "total", "n"
+    )
+    assert rows(got) == [("ann", 100, 3), (None, 70, 1), ("bob", 70, 1)]
+
+
+def test_sum_of_nothing_known_is_null(facts, roles):
+    got = filter_join_group_sum(
+        roles, facts, "id", F.col("title") == "r4", ["person", "job"], "revenue", "total", "n"
+    )
+    assert rows(got) == [("ann", "x", None, 1)]
+
+
+def test_sum_overflow_raises(spark, conf):
+    conf("spark.sql.ansi.enabled", "true")
+    facts = spark.createDataFrame([(1, 2**62)], "id int, revenue bigint")
+    roles = spark.createDataFrame([(1, "a")] * 3, "id int, person string")
+    got = filter_join_group_sum(roles, facts, "id", F.lit(True), ["person"], "revenue", "t", "n")
+    with pytest.raises(ArithmeticException):
+        got.collect()
+
+
+def test_average_skips_null_and_is_per_role(facts, roles):
+    got = join_group_avg(roles, facts, "id", ["person"], "revenue", "mean")
+    assert rows(got) == [(None, 70.0), ("bob", 70.0), ("ann", (50 + 50 + 70) / 3)]
+
+
+def test_orphans_are_what_the_join_drops(facts, roles):
+    assert sorted(rows(orphan_rows(roles, facts, "id").select("title"))) == [("r6",), ("r7",)]
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Two tables where a third of all roles belong to one fact, and revenue is mostly 0."""
+    rng = random.Random(3)
+    facts = [(i, f"t{i}", rng.choice([0, 0, 0, i])) for i in range(2000)]
+    roles = [
+        (0 if n % 3 == 0 else rng.randrange(2100), f"p{rng.randrange(20)}", f"c{n}")
+        for n in range(60000)
+    ]
+    root = str(tmp_path_factory.mktemp("hot"))
+    write_table(spark.createDataFrame(facts, "id int, title string, revenue bigint"), root, "facts")
+    write_table(
+        spark.createDataFrame(roles, "id int, person string, credit string").repartition(16), root, "roles"
+    )
+    return facts, roles, read_table(spark, root, "facts"), read_table(spark, root, "roles")
+
+
+@pytest.fixture
+def shuffled_joins(conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+
+
+def test_hot_key_is_divided_in_grouped_joins(hot, shuffled_joins):
+    facts, roles, fact_table, role_table = hot
+    revenue = {key: money for key, _, money in facts}
+    total, number = Counter(), Counter()
+    for key, person, _ in roles:
+        if key in revenue:
+            total[person] += revenue[key]
+            number[person] += 1
+    summed = filter_join_group_sum(
+        role_table, fact_table, "id", F.col("credit") != "", ["person"], "revenue", "t", "n"
+    )
+    assert {p: (t, n) for p, t, n in rows(summed)} == {p: (total[p], number[p]) for p in number}
+    assert "skew=true" in executed_plan(summed)
+    means = join_group_avg(role_table, fact_table, "id", ["person"], "revenue", "m")
+    assert {p: pytest.approx(total[p] / number[p]) for p in number} == dict(rows(means))
+    assert "skew=true" in executed_plan(means)
+
+
+def test_hot_key_is_divided_in_sorted_joins(hot, shuffled_joins, conf):
+    facts, roles, fact_table, role_table = hot
+    known = {key: (key, title, money) for key, title, money in facts}
+    expected = Counter(known[key] for key, _, _ in roles if key in known)
+    got = filter_join_sort(
+        role_table,
+        fact_table,
+        "id",
+        F.col("person") != "",
+        ["id", "title", "revenue"],
+        "revenue",
+        spread=["credit"],
+    )
+    result = rows(got)
+    assert Counter(result) == expected
+    assert [r[2] for r in result] == sorted((r[2] for r in result), reverse=True)
+    assert "skew=true" in executed_plan(got)
+    # copies of one fact and the many equal revenues do not end up in one sort task
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = defaultdict(int)
+    for row in got.select(F.spark_partition_id().alias("part")).collect():
+        sizes[row["part"]] += 1
+    assert max(sizes.values()) < len(result) / 6
+
+
+def test_scans_read_only_what_a_question_needs(hot):
+    _, _, fact_table, role_table = hot
+    got = filter_join_group_sum(
+        role_table, fact_table, "id", F.col("credit") == "c1", ["person"], "revenue", "t", "n"
+    )
+    plan = executed_plan(got)
+    assert "EqualTo(credit,c1)" in plan
+    assert "struct<id:int,revenue:bigint>" in plan and "title" not in plan
+
+
+def test_top_n_sorts_nothing_globally(hot):
+    plan = executed_plan(top_n(hot[2], ["id"], "revenue", 10, ["id"]))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_counts_combine_before_they_shuffle(hot):
+    plan = executed_plan(group_count(hot[3], ["person"], "n"))
+    assert "partial_count" in plan
