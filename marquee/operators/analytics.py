@@ -39,7 +39,8 @@ def filter_join_sort(
     hits = bridge.filter(where)
     facts = fact.select(*dict.fromkeys([key, *columns, order_by]))
     if distinct:
-        found, ties = facts.join(hits.select(key), key, "left_semi"), [key]
+        # map-side, the keys of a hot fact shrink to one; the join reuses their exchange
+        found, ties = facts.join(hits.select(key).distinct(), key, "left_semi"), [key]
     else:
         marks = [F.col(name).alias(f"_{name}") for name in spread]
         found = hits.select(key, *marks).join(facts, key)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import is_corrupt, json_array, lenient
@@ -35,13 +35,15 @@ def fact_select(df: DataFrame, columns: Iterable[tuple[str, str, str]]) -> DataF
 def explode_bridge(
     df: DataFrame,
     key: str,
-    array: str,
+    array: str | Column,
     fields: Iterable[tuple[str, str]],
     carry: Iterable[str] = (),
 ) -> DataFrame:
     """One row per array element: key, carried columns, then the renamed struct fields.
 
-    Rows whose array is NULL or empty leave no row.
+    Rows whose array is NULL or empty leave no row. To unroll a single JSON column, pass the
+    parsing expression as ``array``: below a parsed column, the filter for empty arrays that
+    Spark infers would parse the text a second time.
     """
     kept = [key, *carry]
     items = df.select(*kept, F.explode(array).alias("item"))
@@ -49,5 +51,9 @@ def explode_bridge(
 
 
 def orphan_rows(bridge: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """Bridge rows that an inner join with the fact table drops, NULL keys included."""
+    """Bridge rows that an inner join with the fact table drops, NULL keys included.
+
+    The bridge may hold a hot key, which adaptive execution divides; fact keys should be few
+    per key, or made distinct by the caller.
+    """
     return bridge.join(fact.select(key), key, "left_anti")

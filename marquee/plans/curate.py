@@ -128,10 +128,12 @@ def curation_report(movies: DataFrame, credits: DataFrame) -> DataFrame:
     ``rows`` per ``source`` and ``check``: all rows, rows without a usable key, arrays lost to
     malformed JSON, and credits whose movie does not exist.
     """
-    orphans = orphan_rows(credits.select(catalog.KEY), movies, catalog.KEY).agg(
+    # counted per key first, so that a hot key is one row in the join
+    keys = credits.groupBy(catalog.KEY).agg(F.count("*").alias("rows"))
+    orphans = orphan_rows(keys, movies, catalog.KEY).agg(
         F.lit("credits").alias("source"),
         F.lit("orphans").alias("check"),
-        F.count("*").alias("rows"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
     )
     parts = [
         _losses(movies, "movies", catalog.MOVIE_ARRAYS),

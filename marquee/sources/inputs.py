@@ -13,13 +13,13 @@ from marquee.sources.tables import literal_rows, table_path
 
 
 def input_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and ``length`` of the files below a path or glob; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-    )
+    """``path`` and ``length`` of the files below a path or glob; contents are not read.
+
+    A scan gives each large file a task of its own. There is next to nothing to do per file
+    here, so a few tasks per core take them all.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length").coalesce(4 * spark.sparkContext.defaultParallelism)
 
 
 def _glob_literal(name: str) -> str:

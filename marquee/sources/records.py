@@ -23,8 +23,9 @@ from pyspark.sql.types import StructType
 
 from marquee.scratch import scratch_root
 
-# A row per split of some 200 bytes: up to this many are safe to broadcast.
-MAX_BROADCAST_SPLITS = 200_000
+# A split is one row of some 250 bytes. Up to this many (at 128 MB each some 128 TB of text)
+# are broadcast to the lines; beyond, the lines are shuffled to them.
+MAX_BROADCAST_SPLITS = 1_000_000
 
 _SPLIT = ["file", "split"]
 
@@ -165,6 +166,7 @@ def read_quoted_records(
 ) -> DataFrame:
     """Rows of CSV files of any size, equal to a ``multiLine`` scan with a header."""
     staged = stage_lines(spark, path, scratch or scratch_root(spark, "records"))
-    records = assemble_records(*staged).select(F.regexp_replace("value", "\r$", "").alias("value"))
-    parsed = F.from_csv("value", schema.toDDL(), {**options, "multiLine": "true"})
-    return records.filter(F.length("value") > 0).select(parsed.alias("row")).select("row.*")
+    records = assemble_records(*staged).filter(~F.col("value").isin("", "\r"))
+    unended = F.expr("if(endswith(value, '\\r'), left(value, length(value) - 1), value)")
+    parsed = F.from_csv(unended, schema.toDDL(), {**options, "multiLine": "true"})
+    return records.select(parsed.alias("row")).select("row.*")

@@ -85,8 +85,9 @@ def q_join_group_avg(spark, sf_dir):
 
 def q_orphan_rows(spark, sf_dir):
     """Orders without a returned line: the bridge here is the orders table."""
-    returned = _lines(spark, sf_dir).filter(F.col("l_returnflag") == "R")
-    return orphan_rows(_orders(spark, sf_dir).select("o_orderkey", "cents"), returned, "o_orderkey")
+    returned = _lines(spark, sf_dir).filter(F.col("l_returnflag") == "R").select("o_orderkey")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "cents")
+    return orphan_rows(orders, returned.distinct(), "o_orderkey")
 
 
 def _number(name: str) -> Column:
@@ -131,9 +132,12 @@ def q_json_array_parse(spark, sf_dir):
 
 
 def q_explode_bridge(spark, sf_dir):
-    parsed = parse_json_arrays(tagged_lines(spark, sf_dir), _TAGS)
     return explode_bridge(
-        parsed, "l_orderkey", "tags", [("id", "tag_id"), ("name", "tag_name")], ["l_linenumber"]
+        tagged_lines(spark, sf_dir),
+        "l_orderkey",
+        json_array(F.col("tags"), _TAGS["tags"]),
+        [("id", "tag_id"), ("name", "tag_name")],
+        ["l_linenumber"],
     )
 
 

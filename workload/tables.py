@@ -128,13 +128,17 @@ def raw_credits(lineitem: DataFrame) -> DataFrame:
 _runs: dict[tuple[str, str], str] = {}
 
 
+def render_extracts(spark: SparkSession, sf_dir: str, root: str) -> None:
+    write_raw_csv(raw_movies(table(spark, sf_dir, "orders")), f"{root}/movies.csv")
+    write_raw_csv(raw_credits(table(spark, sf_dir, "lineitem")), f"{root}/credits.csv")
+
+
 def finished_run(spark: SparkSession, sf_dir: str) -> str:
     """The folder of a whole run over rendered extracts, made once per session and data."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _runs:
         root = scratch_root(spark, "run")
-        write_raw_csv(raw_movies(table(spark, sf_dir, "orders")), f"{root}/raw/movies.csv")
-        write_raw_csv(raw_credits(table(spark, sf_dir, "lineitem")), f"{root}/raw/credits.csv")
+        render_extracts(spark, sf_dir, f"{root}/raw")
         run(
             spark,
             f"{root}/raw",
