@@ -63,7 +63,7 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
     Split borders depend on the cores at hand when a scan is planned. The written tables
     fix them for the steps that follow, also when executors come and go.
     """
-    marks = F.octet_length("value") - F.octet_length(F.translate("value", '"', ""))
+    marks = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
     scan = spark.read.option("lineSep", "\n").text(path)
     scan.select(
         F.col("_metadata.file_path").alias("file"),
@@ -72,7 +72,7 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
         (marks % 2).cast("tinyint").alias("odd"),
         "value",
     ).withColumn("counts", _running_counts()("odd")).write.mode("overwrite").parquet(
-        f"{target}/lines"
+        f"{target}/lines", compression="zstd"
     )
     lines = spark.read.parquet(f"{target}/lines")
     lines.groupBy(*_SPLIT).agg(
