@@ -98,5 +98,7 @@ def run_analytics(
     if show:
         for name, table in written.items():
             n = catalog.PREVIEW_ROWS[name]
-            show_preview(preview(table, n, [F.col(RANKED_BY[name]).desc()]), n)
+            rank = RANKED_BY[name]
+            ties = [F.col(other) for other in table.columns if other != rank]
+            show_preview(preview(table, n, [F.col(rank).desc(), *ties]), n)
     return written

@@ -27,6 +27,9 @@ from marquee.scratch import scratch_root
 # are broadcast to the lines; beyond, the lines are shuffled to them.
 MAX_BROADCAST_SPLITS = 1_000_000
 
+# Fixed value: Spark's own bound on the bytes of one string.
+MAX_RECORD = 2**31
+
 _SPLIT = ["file", "split"]
 
 
@@ -109,10 +112,11 @@ def split_states(splits: DataFrame) -> DataFrame:
 
     return states.select(
         *_SPLIT,
+        "odd",
         "begins_open",
         "ends_open",
         "closed",
-        origin.alias("origin"),
+        F.when(F.col("begins_open"), origin).alias("origin"),
         record("first").alias("first_record"),
         record("last").alias("last_record"),
     )
@@ -120,13 +124,20 @@ def split_states(splits: DataFrame) -> DataFrame:
 
 def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """Staged lines to one row ``value`` per CSV record, headers left out."""
-    per_file = splits.groupBy("file").agg(
-        F.count("*").alias("splits"), (F.sum("odd") % 2).alias("unbalanced")
+    states = split_states(splits)
+    per_file = states.groupBy("file").agg(
+        F.count("*").alias("splits"),
+        (F.sum("odd") % 2).alias("unbalanced"),
+        F.max(F.col("split") - F.col("origin")).alias("longest"),
     )
-    count, unbalanced = per_file.agg(F.sum("splits"), F.sum("unbalanced")).first()
+    count, unbalanced, longest = per_file.agg(
+        F.sum("splits"), F.sum("unbalanced"), F.max("longest")
+    ).first()
     if unbalanced:
         raise ValueError(f"{unbalanced} files with unbalanced quotes cannot be read in splits")
-    states = split_states(splits)
+    if (longest or 0) > MAX_RECORD:
+        raise ValueError(f"stray quotes: a record of more than {longest} bytes")
+    states = states.drop("odd")
     if (count or 0) <= MAX_BROADCAST_SPLITS:
         states = F.broadcast(states)
 

@@ -96,6 +96,26 @@ def test_unbalanced_quotes_are_refused_in_splits(spark, tmp_path):
     assert read_extract(spark, str(tmp_path / "in.csv")).count() == 2
 
 
+def test_a_record_beyond_what_a_string_holds_is_refused(spark, conf, monkeypatch, tmp_path):
+    write_csv(tmp_path / "in.csv", [["1", "a\n" * 500, "b"]])
+    conf("spark.sql.files.maxPartitionBytes", "100")
+    monkeypatch.setattr("marquee.sources.records.MAX_RECORD", 400)
+    with pytest.raises(ValueError, match="stray quotes"):
+        read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+
+
+def test_states_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, conf, monkeypatch, tmp_path):
+    rows = random_rows(random.Random(9), 30)
+    write_csv(tmp_path / "in.csv", rows)
+    conf("spark.sql.files.maxPartitionBytes", "200")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr("marquee.sources.records.MAX_BROADCAST_SPLITS", 0)
+    got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+    assert sorted_rows(got) == sorted_rows(read_extract(spark, str(tmp_path / "in.csv")))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_reading_without_multiline_ends_records_at_line_breaks(spark, tmp_path):
     write_csv(tmp_path / "in.csv", [["1", "a\nb", "c"]])
     got = read_extract(spark, str(tmp_path / "in.csv"), multiline=False)
