@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from marquee.plans import curate, ping, run_analytics
 from marquee.plans.answers import ACTOR, DIRECTOR, TOP
 from marquee.session import build_session
@@ -37,7 +39,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
+    ours = SparkSession.getActiveSession() is None
     spark = build_session(f"marquee {args.job}", args.format, args.endpoint)
+    if not ours:
+        _work(spark, args)
+        return
+    spark.sparkContext.setLogLevel("WARN")
+    try:
+        _work(spark, args)
+    finally:
+        spark.stop()
+
+
+def _work(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ping":
         show_preview(ping(spark))
     if args.job == "check":

@@ -1,7 +1,7 @@
 from marquee.plans.answers import analytics_frames, run_analytics
-from marquee.plans.curate import curate, curated_frames, curation_report, stage_extracts
-from marquee.plans.ping import ping
-from marquee.plans.run import run
+from marquee.plans.curation import curate, curated_frames, curation_report, stage_extracts
+from marquee.plans.smoke import ping
+from marquee.plans.whole_run import run
 
 __all__ = [
     "analytics_frames",

@@ -15,7 +15,7 @@ from marquee.operators import (
     join_group_avg,
     top_n,
 )
-from marquee.plans.curate import write_tables
+from marquee.plans.curation import write_tables
 from marquee.sinks import preview, show_preview
 from marquee.sources import read_table
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans.answers import run_analytics
-from marquee.plans.curate import curate
+from marquee.plans.curation import curate
 from marquee.sources import require_inputs
 
 

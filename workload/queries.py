@@ -21,7 +21,7 @@ from marquee.operators import (
     top_n,
 )
 from marquee.plans import curation_report
-from marquee.plans.ping import PING_ROWS
+from marquee.plans.smoke import PING_ROWS
 from marquee.scratch import scratch_root
 from marquee.sinks import preview, write_table
 from marquee.sources import literal_rows, missing_inputs, read_extract, read_table
