@@ -6,11 +6,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from marquee.plans import curate, ping, run_analytics
+from marquee.plans import curate, curation_report, ping, run_analytics
 from marquee.plans.answers import ACTOR, DIRECTOR, TOP
+from marquee.scratch import scratch_root
 from marquee.session import build_session
 from marquee.sinks import show_preview
-from marquee.sources import missing_inputs, require_inputs
+from marquee.sources import missing_inputs, read_table, require_inputs
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -26,6 +27,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             job.add_argument("--credits", default="credits.csv")
         if name in ("curate", "run"):
             job.add_argument("--staged", help="root for staged tables")
+            job.add_argument("--report", action="store_true", help="print what was left out")
             job.add_argument("--single-line", action="store_true")
         if name in ("curate", "analytics", "run"):
             job.add_argument("--curated", required=True, help="root of the curated tables")
@@ -59,6 +61,7 @@ def _work(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job in ("check", "curate", "run"):
         require_inputs(spark, args.raw, [args.movies, args.credits])
     if args.job in ("curate", "run"):
+        staged = args.staged or scratch_root(spark, "staged")
         curate(
             spark,
             args.raw,
@@ -67,8 +70,11 @@ def _work(spark: SparkSession, args: argparse.Namespace) -> None:
             args.movies,
             args.credits,
             multiline=not args.single_line,
-            staged_root=args.staged,
+            staged_root=staged,
         )
+        if args.report:
+            extracts = (read_table(spark, staged, name) for name in ("movies", "credits"))
+            show_preview(curation_report(*extracts))
     if args.job in ("analytics", "run"):
         run_analytics(
             spark,

@@ -29,9 +29,10 @@ def test_jobs_from_the_command_line(spark, tmp_path, capfd):
     write_extracts(tmp_path / "raw")
     main(["ping"])
     main(["check", "--raw", raw])
-    main(["curate", "--raw", raw, "--curated", curated, "--staged", str(tmp_path / "staged")])
+    main(["curate", "--raw", raw, "--curated", curated, "--staged", str(tmp_path / "staged"), "--report"])
     main(["analytics", "--curated", curated, "--analytics", answers, "--actor", "Sam Roe"])
-    assert "Hello" in capfd.readouterr().out
+    printed = capfd.readouterr().out
+    assert "Hello" in printed and "corrupt_genres" in printed
     assert read_table(spark, answers, "tom_cruise_revenue").count() == 2
     main(["run", "--raw", raw, "--curated", curated, "--analytics", answers, "--top", "2"])
     assert read_table(spark, answers, "top_revenue_movies").count() == 2

@@ -2,8 +2,17 @@
 
 import pytest
 from catalogue import write_extracts
-
-from marquee.plans import curate, curation_report, run, run_analytics, stage_extracts
+from pyspark.sql import functions as F
+
+from marquee.plans import (
+    curate,
+    curated_frames,
+    curation_report,
+    run,
+    run_analytics,
+    stage_extracts,
+)
+from marquee.plans.curation import write_tables
 from marquee.sources import read_table
 
 
@@ -177,3 +186,35 @@ def test_staged_tables_hold_parsed_arrays(spark, tmp_path):
     assert credits.schema["crew"].dataType.elementType.names == [
         "credit_id", "department", "gender", "id", "job", "name",
     ]
+
+
+def test_bridges_read_only_their_array(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    staged = stage_extracts(spark, write_extracts(tmp_path / "raw"), str(tmp_path / "s"))
+    frames = curated_frames(*staged)
+    plan = frames["genres"]._jdf.queryExecution().executedPlan().toString()
+    schema = "ReadSchema: struct<movie_id:int,genres:array<struct<id:int,name:string>>>"
+    assert schema in plan and "Exchange" not in plan
+    for name, frame in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "Exchange" not in plan and "Python" not in plan, name
+
+
+def test_a_failed_write_fails_the_step(spark, tmp_path):
+    bad = spark.range(3).select(F.raise_error(F.lit("broken")).alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        write_tables({"good": spark.range(3), "bad": bad}, str(tmp_path), "parquet", {})
+
+
+@pytest.mark.parametrize("setting", ["spark.sql.ansi.enabled", "spark.sql.adaptive.enabled"])
+def test_results_do_not_depend_on_session_modes(spark, conf, tmp_path, setting):
+    (tmp_path / "raw").mkdir()
+    raw = write_extracts(tmp_path / "raw")
+    outcomes = []
+    for value in ("true", "false"):
+        conf(setting, value)
+        roots = [str(tmp_path / value / layer) for layer in ("curated", "answers", "staged")]
+        results = run(spark, raw, roots[0], roots[1], actor="Pat Lee", staged_root=roots[2])
+        tables = [read_table(spark, roots[0], name) for name in ("movies", "genres", "cast")]
+        outcomes.append([sorted(map(str, rows(df))) for df in (*results.values(), *tables)])
+    assert outcomes[0] == outcomes[1]
