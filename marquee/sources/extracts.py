@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.sources.inputs import input_files
-from marquee.sources.records import read_quoted_records
+from marquee.sources.records import Irregular, read_quoted_records
 
 # Quoting of the extracts.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
@@ -35,7 +37,8 @@ def read_extract(
     many files of like size, but not where one is huge: when the largest file exceeds
     ``whole_file_limit`` bytes (by default a core's share of the input, within bounds), lines
     are read in splits and put together to records (see :mod:`marquee.sources.records`).
-    Both plans give the same rows.
+    Both plans give the same rows; an extract with irregular quotes or
+    line ends falls back to the first.
 
     ``multiline=False`` ends a record at every line break, also inside quotes.
     """
@@ -49,4 +52,8 @@ def read_extract(
         whole_file_limit = _whole_file_limit(spark, total)
     if largest <= whole_file_limit:
         return plain
-    return read_quoted_records(spark, path, plain.schema, CSV_OPTIONS, scratch)
+    try:
+        return read_quoted_records(spark, path, plain.schema, CSV_OPTIONS, scratch)
+    except Irregular as error:
+        warnings.warn(f"{path} is read in a task per file: {error}", stacklevel=2)
+        return plain

@@ -7,8 +7,9 @@ begins, and with it every line knows its state. A line that is a record by itsel
 most are, goes straight on. Only the lines of longer records are shuffled, by record, and
 it does not matter whether those cross a split border.
 
-The input must quote as RFC 4180 says: a quote occurs only around a field or doubled
-inside a quoted field, and records end in LF or CRLF.
+That holds where quotes stand only around a field or doubled inside a quoted field, as RFC
+4180 says. Every line is checked for it in the state it turns out to have, and a file with any
+other quote is refused rather than misread. Records end in LF or CRLF.
 """
 
 from __future__ import annotations
@@ -33,6 +34,22 @@ MAX_RECORD = 2**31
 _SPLIT = ["file", "split"]
 
 
+class Irregular(ValueError):
+    """Quotes or line ends by which the records cannot be told from the lines."""
+
+
+def _has_stray_quote(line: Column) -> Column:
+    """Whether a line that starts outside quotes has one that is not at a field's border."""
+    fields = F.regexp_replace(F.replace(line, F.lit('""')), '"[^"]*"', "\x01")
+    return fields.rlike('[^,]\x01|\x01(?!,|\r?\\z)|[^,]"')
+
+
+def _ending(line: Column) -> Column:
+    """How a line up to its LF goes on: 0 plainly, 1 with a CR before the LF, 2 with a lone CR."""
+    place = F.instr(line, "\r")
+    return F.when(place == 0, 0).when(place == F.length(line), 1).otherwise(2)
+
+
 def _running_counts() -> Callable[[Column], Column]:
     """Counts over the lines of a scan task, in scan order.
 
@@ -72,15 +89,31 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("line"),
+        F.when(F.col("_metadata.file_block_start") == 0, _ending(F.col("value"))).alias("ending"),
+        F.endswith("value", F.lit("\r")).alias("cr"),
         (marks % 2).cast("tinyint").alias("odd"),
+        ((marks > 0) & _has_stray_quote(F.col("value"))).alias("bad_outside"),
+        ((marks > 0) & _has_stray_quote(F.concat(F.lit('"'), "value"))).alias("bad_inside"),
         "value",
     ).withColumn("counts", _running_counts()("odd")).write.mode("overwrite").parquet(
         f"{target}/lines", compression="zstd"
     )
     lines = spark.read.parquet(f"{target}/lines")
+
+    def irregular(outside: int) -> Column:
+        """A bad line, and a line that ends a record by LF alone, if ``outside`` is the parity
+        of quotes outside of quotes."""
+        starts_outside = F.col("counts.quotes") % 2 == outside
+        ends_outside = (F.col("counts.quotes") + F.col("odd")) % 2 == outside
+        bad = F.when(starts_outside, F.col("bad_outside")).otherwise(F.col("bad_inside"))
+        return F.struct(F.bool_or(bad).alias("bad"), F.bool_or(ends_outside & ~F.col("cr")).alias("lf"))
+
     lines.groupBy(*_SPLIT).agg(
         F.sum("odd").alias("odd"),
+        irregular(0).alias("if_0"),
+        irregular(1).alias("if_1"),
         F.min("counts.quotes").alias("quotes"),
+        F.min_by("ending", "line").alias("ending"),
         *(
             bound(f"counts.{name}").alias(f"{end}_{name}")
             for end, bound in (("first", F.min), ("last", F.max))
@@ -113,6 +146,9 @@ def split_states(splits: DataFrame) -> DataFrame:
     return states.select(
         *_SPLIT,
         "odd",
+        F.when(F.col("closed") == 0, F.col("if_0")).otherwise(F.col("if_1")).alias("lines"),
+        # as Spark does, take the first line end of a file for all of them
+        F.max("ending").over(Window.partitionBy("file")).alias("ending"),
         "begins_open",
         "ends_open",
         "closed",
@@ -125,25 +161,29 @@ def split_states(splits: DataFrame) -> DataFrame:
 def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """Staged lines to one row ``value`` per CSV record, headers left out."""
     states = split_states(splits)
+    mixed_ends = (F.col("ending") == 2) | ((F.col("ending") == 1) & F.col("lines.lf"))
     per_file = states.groupBy("file").agg(
         F.count("*").alias("splits"),
-        (F.sum("odd") % 2).alias("unbalanced"),
+        (F.bool_or(F.col("lines.bad") | mixed_ends) | (F.sum("odd") % 2 == 1)).alias("irregular"),
         F.max(F.col("split") - F.col("origin")).alias("longest"),
     )
-    count, unbalanced, longest = per_file.agg(
-        F.sum("splits"), F.sum("unbalanced"), F.max("longest")
+    count, irregular, longest = per_file.agg(
+        F.sum("splits"), F.count_if("irregular"), F.max("longest")
     ).first()
-    if unbalanced:
-        raise ValueError(f"{unbalanced} files with unbalanced quotes cannot be read in splits")
-    if (longest or 0) > MAX_RECORD:
-        raise ValueError(f"stray quotes: a record of more than {longest} bytes")
-    states = states.drop("odd")
+    if irregular or (longest or 0) > MAX_RECORD:
+        raise Irregular(f"{irregular or 0} irregular files, longest record {longest or 0} bytes")
+    states = states.drop("odd", "lines")
     if (count or 0) <= MAX_BROADCAST_SPLITS:
         states = F.broadcast(states)
 
     inside = F.col("counts.quotes") % 2 != F.col("closed")
     record = F.when(F.col("closed") == 0, F.col("counts.evens")).otherwise(F.col("counts.odds"))
-    numbered = lines.join(states, _SPLIT).withColumn("inside", inside).withColumn("record", record)
+    unended = F.expr("if(ending = 1 and endswith(value, '\\r'), left(value, length(value) - 1), value)")
+    numbered = (
+        lines.drop("ending")
+        .join(states, _SPLIT)
+        .withColumns({"inside": inside, "record": record, "value": unended})
+    )
     # the first record of a file is its header
     header = (F.col("split") == 0) & (F.col("record") == F.col("first_record"))
     alone = ~F.col("inside") & (F.col("odd") == 0)
@@ -177,7 +217,6 @@ def read_quoted_records(
 ) -> DataFrame:
     """Rows of CSV files of any size, equal to a ``multiLine`` scan with a header."""
     staged = stage_lines(spark, path, scratch or scratch_root(spark, "records"))
-    records = assemble_records(*staged).filter(~F.col("value").isin("", "\r"))
-    unended = F.expr("if(endswith(value, '\\r'), left(value, length(value) - 1), value)")
-    parsed = F.from_csv(unended, schema.toDDL(), {**options, "multiLine": "true"})
+    records = assemble_records(*staged).filter(F.length("value") > 0)
+    parsed = F.from_csv("value", schema.toDDL(), {**options, "multiLine": "true"})
     return records.select(parsed.alias("row")).select("row.*")
