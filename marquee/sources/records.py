@@ -38,10 +38,17 @@ class Irregular(ValueError):
     """Quotes or line ends by which the records cannot be told from the lines."""
 
 
-def _has_stray_quote(line: Column) -> Column:
-    """Whether a line that starts outside quotes has one that is not at a field's border."""
-    fields = F.regexp_replace(F.replace(line, F.lit('""')), '"[^"]*"', "\x01")
-    return fields.rlike('[^,]\x01|\x01(?!,|\r?\\z)|[^,]"')
+def _has_stray_quote(line: Column, inside: bool) -> Column:
+    """Whether a line, less its doubled quotes, has one that is not at a field's border if the
+    line starts ``inside`` or outside of quotes.
+
+    Lines that in truth start the other way mostly fail by their first quote already.
+    """
+    first = '^[^"]*"(?!,|\r?\\z)' if inside else '^[^"]*[^",]"'
+    opened = F.concat(F.lit('"'), line) if inside else line
+    fields = F.regexp_replace(opened, '"[^"]*"', "\x01")
+    stray = fields.rlike('[^,]\x01|\x01(?!,|\r?\\z)|[^,]"')
+    return F.contains(line, F.lit('"')) & F.when(line.rlike(first), True).otherwise(stray)
 
 
 def _ending(line: Column) -> Column:
@@ -83,21 +90,27 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
     Split borders depend on the cores at hand when a scan is planned. The written tables
     fix them for the steps that follow, also when executors come and go.
     """
-    marks = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
+    bare = F.col("bare")
+    marks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit('"')))
     scan = spark.read.option("lineSep", "\n").text(path)
-    scan.select(
+    places = scan.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("line"),
         F.when(F.col("_metadata.file_block_start") == 0, _ending(F.col("value"))).alias("ending"),
         F.endswith("value", F.lit("\r")).alias("cr"),
-        (marks % 2).cast("tinyint").alias("odd"),
-        ((marks > 0) & _has_stray_quote(F.col("value"))).alias("bad_outside"),
-        ((marks > 0) & _has_stray_quote(F.concat(F.lit('"'), "value"))).alias("bad_inside"),
+        F.replace("value", F.lit('""')).alias("bare"),
         "value",
-    ).withColumn("counts", _running_counts()("odd")).write.mode("overwrite").parquet(
-        f"{target}/lines", compression="zstd"
     )
+    flagged = places.withColumns(
+        {
+            "odd": (marks % 2).cast("tinyint"),
+            "bad_outside": _has_stray_quote(bare, inside=False),
+            "bad_inside": _has_stray_quote(bare, inside=True),
+        }
+    ).drop("bare")
+    counted = flagged.withColumn("counts", _running_counts()("odd"))
+    counted.write.mode("overwrite").parquet(f"{target}/lines", compression="zstd")
     lines = spark.read.parquet(f"{target}/lines")
 
     def irregular(outside: int) -> Column:
