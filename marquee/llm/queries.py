@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from marquee.llm.common import table
 from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
+from marquee.llm.language_bloom import language_id
 from marquee.llm.token_frames import scratch_uri, token_file_digests, tokenizer_path, write_token_files
+from marquee.llm.toxicity_cnn import toxicity
 from marquee.llm.window_packing import pack_documents
 
 # The id that ends a document, in files and in windows.
@@ -31,6 +33,11 @@ def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(files)
 
 
+def op3_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All page urls; labels of equal id are the outcomes hosts are judged by."""
     outcomes = table(spark, sf_dir, "labels").select(
@@ -65,9 +72,16 @@ def op9_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op10_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_token_frames": op2_token_frames,
+    "op3_language_bloom": op3_language_bloom,
     "op5_host_reputation": op5_host_reputation,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_window_packing": op9_window_packing,
+    "op10_toxicity_cnn": op10_toxicity_cnn,
 }
