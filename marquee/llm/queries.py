@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.chosen_path import near_duplicates
 from marquee.llm.common import table
 from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
@@ -46,6 +47,11 @@ def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES)
 
 
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards whose row counts differ by one at most."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -81,6 +87,7 @@ QUERIES = {
     "op2_token_frames": op2_token_frames,
     "op3_language_bloom": op3_language_bloom,
     "op5_host_reputation": op5_host_reputation,
+    "op6_chosen_path": op6_chosen_path,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_window_packing": op9_window_packing,
     "op10_toxicity_cnn": op10_toxicity_cnn,
