@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from marquee.llm.chosen_path import near_duplicates
 from marquee.llm.common import table
+from marquee.llm.decontamination import contaminated
 from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
 from marquee.llm.language_bloom import language_id
+from marquee.llm.multi_index import nearest
 from marquee.llm.token_frames import scratch_uri, token_file_digests, tokenizer_path, write_token_files
 from marquee.llm.toxicity_cnn import toxicity
 from marquee.llm.window_packing import pack_documents
@@ -39,6 +41,11 @@ def op3_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All page urls; labels of equal id are the outcomes hosts are judged by."""
     outcomes = table(spark, sf_dir, "labels").select(
@@ -52,6 +59,11 @@ def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards whose row counts differ by one at most."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -86,8 +98,10 @@ def op10_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_frames": op2_token_frames,
     "op3_language_bloom": op3_language_bloom,
+    "op4_edit_decontamination": op4_edit_decontamination,
     "op5_host_reputation": op5_host_reputation,
     "op6_chosen_path": op6_chosen_path,
+    "op7_multi_index": op7_multi_index,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_window_packing": op9_window_packing,
     "op10_toxicity_cnn": op10_toxicity_cnn,
