@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.chosen_path import near_duplicates
 from marquee.llm.common import table
+from marquee.llm.context_tree import language_model_scores
 from marquee.llm.decontamination import contaminated
 from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
@@ -29,6 +30,11 @@ RULES = (
 )
 
 
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lengths of all documents."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to files of frames and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +102,7 @@ def op10_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_tree": op1_context_tree,
     "op2_token_frames": op2_token_frames,
     "op3_language_bloom": op3_language_bloom,
     "op4_edit_decontamination": op4_edit_decontamination,

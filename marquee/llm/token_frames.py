@@ -267,7 +267,8 @@ def _read(files: DataFrame, column: str, of_ids, wanted: np.ndarray | None) -> D
                         yield pa.RecordBatch.from_pylist(out, schema)
 
     based = files.join(prefix_offsets(files, "part", "ids"), "part").select("file", "base")
-    return based.repartition("file").mapInArrow(read, f"doc_id long, start long, n_tokens long, {column}")
+    # by number, so that these few short rows stay a task each
+    return based.repartition(max(1, files.count())).mapInArrow(read, f"doc_id long, start long, n_tokens long, {column}")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

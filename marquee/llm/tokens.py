@@ -2,7 +2,8 @@
 
 A tokenizer that drops white space and never joins across it gives a text the ids of its words
 one after the other. So each distinct word is encoded once per Python worker, and ids are
-gathered per text. Texts for which that might differ (with combining marks, which can
+gathered per text. Words of letters alone are encoded together: each gives one run of
+ids, of which only the last ends a word in the vocabulary. Texts for which that might differ (with combining marks, which can
 compose with what a split cuts off, or with a ``<|`` that could be a special token) are encoded whole.
 """
 
@@ -20,6 +21,8 @@ from marquee.llm.text import Words, ragged
 # Words remembered by a Python worker; beyond that only those met again are kept. This bounds
 # memory, not the result.
 REMEMBERED = 600_000
+# Words of letters that are encoded in one go.
+LINE_WORDS = 1_000
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -37,38 +40,69 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends_word[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self._start()
 
     def _start(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.starts, self.ends_sentence = array("I"), array("q", [0]), array("b")
 
-    def _remember(self, word: str, ids) -> None:
-        self.known[word] = len(self.known)
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-        self.ends_sentence.append(word[-1:] in ".!?")
-
-    def _forget_all_but(self, words: list[str]) -> None:
-        kept = [(word, self.known[word]) for word in words if word in self.known]
-        ids, starts = self.ids, self.starts
-        self._start()
-        for word, number in kept:
-            self._remember(word, ids[starts[number] : starts[number + 1]])
-
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _numbers(self, vocabulary: list[str]) -> np.ndarray:
-        if len(self.known) + len(vocabulary) > REMEMBERED:
-            self._forget_all_but(vocabulary)
-        known = self.known
-        new = [word for word in vocabulary if word not in known]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, ids in zip(part, self.whole(part)):
-                self._remember(word, ids)
-        return np.fromiter((known[word] for word in vocabulary), np.int64, len(vocabulary))
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        base = len(self.known)
+        self.known.update(zip(words, range(base, base + len(words))))
+        ends = len(self.ids) + np.cumsum(lengths, dtype=np.int64)
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+        self.starts.frombytes(ends.tobytes())
+        self.ends_sentence.extend(word[-1:] in ".!?" for word in words)
+
+    def _forget_all_but(self, words: list[str]) -> None:
+        kept = [word for word in words if word in self.known]
+        numbers = np.array([self.known[word] for word in kept], dtype=np.int64)
+        starts = np.array(self.starts, dtype=np.int64)
+        lengths = starts[numbers + 1] - starts[numbers]
+        ids = np.array(self.ids, dtype=np.uint32)[ragged(starts[numbers], lengths)]
+        self._start()
+        self._remember(kept, ids, lengths)
+
+    def _learn_apart(self, words: list[str]) -> None:
+        encoded = self.whole(words)
+        flat = np.array([number for ids in encoded for number in ids], dtype=np.uint32)
+        self._remember(words, flat, np.array([len(ids) for ids in encoded], dtype=np.int64))
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words of letters in long lines, cut after each id that ends a word."""
+        if not words:
+            return
+        lines = [" ".join(words[at : at + LINE_WORDS]) for at in range(0, len(words), LINE_WORDS)]
+        ids = np.concatenate([np.array(x, dtype=np.uint32) for x in self.whole(lines)])
+        ends = np.flatnonzero(self.ends_word[ids])
+        if len(ends) != len(words) or ends[-1] != len(ids) - 1:
+            self._learn_apart(words)
+        else:
+            self._remember(words, ids, np.diff(np.append(-1, ends)))
+
+    def _numbers(self, vocabulary: pa.Array) -> np.ndarray:
+        words = vocabulary.to_pylist()
+        if len(self.known) + len(words) > REMEMBERED:
+            self._forget_all_but(words)
+        numbers = np.fromiter((self.known.get(word, -1) for word in words), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            unknown = vocabulary.take(pa.array(new))
+            plain = pc.match_substring_regex(unknown, r"^\pL+$")
+            self._learn(unknown.filter(plain).to_pylist())
+            odd = unknown.filter(pc.invert(plain)).to_pylist()
+            if odd:
+                self._learn_apart(odd)
+            numbers[new] = [self.known[word] for word in unknown.to_pylist()]
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``offsets`` (one more than texts), ``ids``, and which ids end a sentence."""
@@ -78,7 +112,7 @@ class WordEncoder:
         # letters and the punctuation after them are encoded apart anyway; so there are fewer words
         spaced = pc.replace_substring_regex(pc.ascii_lower(plain), r"(\pL)([.,;:!?])", r"\1 \2")
         words = Words(spaced)
-        numbers = self._numbers(words.vocabulary.to_pylist())
+        numbers = self._numbers(words.vocabulary)
         all_starts = np.frombuffer(self.starts, dtype=np.int64)
         starts, lengths = all_starts[numbers], all_starts[numbers + 1] - all_starts[numbers]
         closing = np.frombuffer(self.ends_sentence, dtype=np.int8)[numbers] if len(numbers) else numbers

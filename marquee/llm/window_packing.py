@@ -43,25 +43,38 @@ PIECES = (
 PIECE_SCHEMA = pa.schema([(column.split()[0].strip("`"), pa.int64()) for column in PIECES.split(", ")])
 
 
+def _union(*places: np.ndarray) -> np.ndarray:
+    merged = np.sort(np.concatenate(places))
+    return merged[np.append(True, merged[1:] != merged[:-1])] if len(merged) else merged
+
+
+def _among(places: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which places occur in an ascending array."""
+    if not len(ascending):
+        return np.zeros(len(places), dtype=bool)
+    at = np.minimum(np.searchsorted(ascending, places), len(ascending) - 1)
+    return ascending[at] == places
+
+
 def cut_points(offsets: np.ndarray, ends: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     """Places where the stream of ids may be cut, ascending, and the penalty of each.
 
     ``offsets`` are document borders from 0 to the number of ids, ``ends`` the places after
-    sentence ends. No two cut points in a row are more than ``size`` apart.
+    sentence ends, both ascending. No two cut points in a row are more than ``size`` apart.
     """
     stride = min(HARD_STRIDE, size)
-    soft = np.union1d(offsets, ends)
+    soft = _union(offsets, ends)
     gaps = np.diff(soft)
     wide = gaps > stride
     per_gap = (gaps[wide] - 1) // stride
     inner = np.repeat(soft[:-1][wide], per_gap) + stride * (
         np.arange(int(per_gap.sum())) - np.repeat(np.cumsum(per_gap) - per_gap, per_gap) + 1
     )
-    points = np.union1d(soft, inner)
+    points = _union(soft, inner)
     points = points[points > 0]
     penalty = np.full(len(points), HARD_CUT)
-    penalty[np.isin(points, ends)] = SENTENCE_CUT
-    penalty[np.isin(points, offsets)] = 0
+    penalty[_among(points, ends)] = SENTENCE_CUT
+    penalty[_among(points, offsets)] = 0
     return points, penalty
 
 
@@ -139,7 +152,7 @@ class _Stream:
         end = cuts[-1]
         doc_ids, null, tokens, starts = self.docs
         inside = starts[(starts >= 0) & (starts < end)]
-        begins = np.union1d(np.concatenate([[0], cuts[:-1]]), inside)
+        begins = _union([0], cuts[:-1], inside)
         lengths = np.diff(np.append(begins, end))
         doc = np.searchsorted(starts, begins, side="right") - 1
         window = np.searchsorted(cuts, begins, side="right")
