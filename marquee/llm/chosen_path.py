@@ -17,12 +17,13 @@ confirmation, so components lack nothing by it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.llm.common import ship, written
 from marquee.llm.components import components
@@ -85,8 +86,9 @@ def sketch(shingles: np.ndarray) -> bytes:
     return (least >> np.uint64(32)).astype("<u4").tobytes()
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_id`` (null for no words) and ``sketch`` per document."""
+def document_sets(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``set_id`` (null for no words), ``sketch`` and carried columns
+    per document."""
     ship(docs.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,12 +101,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([set_id(x) for x in sets], pa.binary()),
                         pa.array([sketch(x) if len(x) else None for x in sets], pa.binary()),
+                        *(piece.column(name) for name in carry),
                     ],
-                    names=["doc_id", "n_shingles", "set_id", "sketch"],
+                    names=["doc_id", "n_shingles", "set_id", "sketch", *carry],
                 )
 
-    frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return frame.mapInArrow(measure, "doc_id long, n_shingles long, set_id binary, sketch binary")
+    frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    schema = StructType().add("doc_id", "long").add("n_shingles", "long").add("set_id", "binary").add("sketch", "binary")
+    return frame.mapInArrow(measure, StructType([*schema.fields, *frame.select(*carry).schema.fields]))
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -304,17 +308,18 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.filter(root("a") != root("b")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per document ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and the columns ``carry``.
 
     Documents are linked if 100 times the shingles they share reach ``percent`` times the
     shingles either has; components are those of the links. ``component_id`` is the least
     ``doc_id`` of a component and ``kept`` marks the rows that have it. A text with fewer words than
     a shingle counts as one shingle; null and empty texts have none, are linked with nothing and
     kept. Null ids come into no minimum; a component of null ids only has a null id, and its rows
-    are kept. Rows that repeat a kept id are kept, too. An empty table gives no rows.
+    are kept. Rows that repeat a kept id are kept, too. Other columns are ignored. An empty table
+    gives no rows.
     """
-    measured = written(document_sets(docs), "document-sets")
+    measured = written(document_sets(docs, carry), "document-sets")
     worded = measured.filter("set_id is not null")
     firsts = written(worded.groupBy("set_id").agg(F.min("doc_id").alias("first_id")), "classes")
     # one sketch per class: rows of a class have equal ones
@@ -327,9 +332,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     least = with_root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = written(with_root.join(least, "root").select("set_id", "component_id"), "class-components")
-    linked = worded.join(named, "set_id").select("doc_id", "n_shingles", "component_id")
-    alone = measured.filter("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = worded.join(named, "set_id").select("doc_id", "n_shingles", "component_id", *carry)
+    alone = measured.filter("set_id is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *carry
+    )
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept, *carry)
 
 
 def class_links(docs: DataFrame, firsts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pathlib import Path
 from tempfile import mkdtemp
 from weakref import WeakSet
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import marquee
@@ -45,6 +45,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of the frame has, whatever the case."""
+    taken = {column.lower() for column in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lowered, other letters left alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,7 +77,5 @@ def prefix_offsets(counts: DataFrame, key: str, count: str) -> DataFrame:
 
     For tables with a row per file or partition only: the running sum is one task.
     """
-    from pyspark.sql import Window
-
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(key, F.coalesce(F.sum(count).over(before), F.lit(0)).alias("base"))

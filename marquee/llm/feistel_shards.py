@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prefix_offsets, written
+from marquee.llm.common import fresh, prefix_offsets, written
 
 ROUNDS = 6
 
@@ -76,44 +76,36 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_number") -> tu
     A distributed sort is written out once; a row's number is its place in its part of the sort
     plus the rows in all parts before. Nulls come first. Rows that are equal in all order columns
     get adjacent numbers in no defined order; the place in the input comes last in the sort key,
-    so that the sort can divide any number of them.
+    so that the sort can divide any number of them. A column called ``name`` is replaced.
     """
-    if name in df.columns or "_place" in df.columns:
-        raise ValueError(f"the columns {name} and _place are made here")
-    placed = df.withColumn("_place", F.monotonically_increasing_id())
-    in_order = placed.orderBy(*order, "_place").withColumn("_place", F.monotonically_increasing_id())
+    place, part, number = fresh(df, "place", "part", "number")
+    placed = df.withColumn(place, F.monotonically_increasing_id())
+    in_order = placed.orderBy(*order, place).withColumn(place, F.monotonically_increasing_id())
     kept = written(in_order, "numbered")
-    part = F.shiftright("_place", 33)
-    counts = kept.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).first()[0] or 0
-    bases = prefix_offsets(counts, "_part", "_rows")
-    local = F.col("_place").bitwiseAND((1 << 33) - 1)
-    numbered = (
-        kept.withColumn("_part", part)
-        .join(bases, "_part")
-        .withColumn(name, F.col("base") + local)
-        .drop("_part", "_place", "base")
-    )
-    return numbered, total
+    counts = kept.groupBy(F.shiftright(place, 33).alias(part)).agg(F.count("*").alias("rows"))
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    bases = prefix_offsets(counts, part, "rows").withColumnRenamed("base", number)
+    local = F.col(place).bitwiseAND((1 << 33) - 1)
+    numbered = kept.withColumn(part, F.shiftright(place, 33)).join(bases, part)
+    numbered = numbered.withColumn(number, F.col(number) + local).drop(part, place)
+    return (numbered if number == name else numbered.drop(name).withColumnRenamed(number, name)), total
 
 
 def shard_rows(df: DataFrame, order: list[str], shards: int, seed: int = 0) -> DataFrame:
     """The frame with ``row_number``, ``shard`` and ``slot``.
 
     Shard sizes differ by one row at most and slots are gapless. Columns of these names in the
-    input are an error. An empty table stays empty; null and repeated order values are rows like
-    any other.
+    input are replaced, all others kept. An empty table stays empty; null and repeated
+    order values, null and long texts are values like any other.
     """
-    clash = {"row_number", "shard", "slot", "_at"} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are made here")
     if shards < 1:
         raise ValueError("there must be a shard")
     numbered, rows = number_rows(df, order)
-    at = numbered.withColumn("_at", permuted(F.col("row_number"), rows, seed))
-    return at.withColumns(
-        {"shard": (F.col("_at") % shards).cast("int"), "slot": F.floor(F.col("_at") / shards).cast("long")}
-    ).drop("_at")
+    (at,) = fresh(numbered, "at")
+    placed = numbered.withColumn(at, permuted(F.col("row_number"), rows, seed))
+    return placed.withColumns(
+        {"shard": (F.col(at) % shards).cast("int"), "slot": F.floor(F.col(at) / shards).cast("long")}
+    ).drop(at)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

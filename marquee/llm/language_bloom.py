@@ -15,7 +15,7 @@ another; the filter has a fixed number of cells, so what the driver sends out is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -185,24 +185,26 @@ def learn_filter(docs: DataFrame, share: float = SHARE) -> LanguageFilter:
     return LanguageFilter(languages, cells, np.array(fill) ** HASHES)
 
 
-def identify_languages(docs: DataFrame, model: LanguageFilter, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (``doc_id`` by default) with ``lang_pred`` and ``score``.
+def identify_languages(
+    docs: DataFrame,
+    model: LanguageFilter,
+    keep: Sequence[str] = ("doc_id",),
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The columns ``keep`` with language and score under ``names``.
 
-    Only the text is used. ``score`` is the share of the text's n-grams that the language has,
+    Only the text is used. Other columns are ignored, kept ones of these names give way. The score is the share of the text's n-grams that the language has,
     corrected for false positives. A null text and one without a letter is ``und`` with score 0, and
     so is every text if nothing was learnt; repeated rows get equal results.
     """
-    keep = ["doc_id"] if keep is None else keep
-    clash = {"lang_pred", "score"} & set(keep)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are made here")
+    keep = [column for column in keep if column not in names]
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS * 8 bytes for each 64 languages
     frame = docs.select(*keep, *([] if "text" in keep else ["text"]))
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt = shared.value
-        names = pa.array([*learnt.languages, UNKNOWN])
+        values = pa.array([*learnt.languages, UNKNOWN])
         for batch in batches:
             for piece in slices(batch):
                 texts = filled(piece.column("text"))
@@ -213,11 +215,11 @@ def identify_languages(docs: DataFrame, model: LanguageFilter, keep: list[str] |
                     best, share = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
                 best[~lettered], share[~lettered] = len(learnt.languages), 0.0
                 yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(name) for name in keep), names.take(pa.array(best)), pa.array(share)],
-                    names=[*keep, "lang_pred", "score"],
+                    [*(piece.column(name) for name in keep), values.take(pa.array(best)), pa.array(share)],
+                    names=[*keep, *names],
                 )
 
-    schema = frame.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = frame.select(*keep).schema.add(names[0], "string").add(names[1], "double")
     return frame.mapInArrow(identify, schema)
 
 
