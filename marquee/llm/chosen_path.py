@@ -5,14 +5,13 @@ hash values of its set. A tree splits the classes by a minwise value at chosen p
 nodes that stay large are split again, at places that the node's path chooses, into an expected
 ``1 / similarity`` children per class: so a pair at the threshold is expected to stay together in
 one child, however deep the tree, while dissimilar classes part quickly. In small nodes
-all pairs are compared by their sketches; independent trees are repeated to the target recall.
+all pairs are compared by their sketches, and independent trees are repeated to the target recall.
 
-Classes that stay together to the last level of a tree are mostly copies of one another; comparing
-all pairs of thousands of copies would be quadratic. There each class is compared with the
-node's least one, then what those comparisons left in different components is compared in full.
-
-Every link is confirmed on full shingle sets. Pairs whose ends are connected already need no
-confirmation, so components lack nothing by it.
+That gives loose groups: classes connected by sketches that agree, or by staying in one node to the
+last level of a tree. Every link lies inside one of them. Then the full shingle sets of each group
+are compared, all with all; a group that is too large for one task is cut into blocks, and each two
+blocks are a task. A task returns the components it found, not the pairs: a group of
+thousands of near copies has millions of those.
 """
 
 from __future__ import annotations
@@ -27,19 +26,21 @@ from pyspark.sql.types import StructType
 
 from marquee.llm.common import ship, written
 from marquee.llm.components import components
-from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, slices
+from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, ragged, slices
 
 SHINGLE = 5
 PERCENT = 85
-PLACES = 64
+PLACES = 128
 TREES = 6
 # Children per class at the root of each tree; below, 1 / similarity are expected.
 ROOT_CHILDREN = 2
 SMALL_NODE = 48
 LEVELS = 4
-# Minwise values that must agree before a pair is confirmed: five standard deviations below what
-# a pair at the threshold is expected to share.
-MARGIN = 5.0
+# Sketches agree if their minwise values do in so many places: this many standard deviations below
+# what a pair at the threshold is expected to share.
+MARGIN = 4.5
+# Classes in a block of a large group.
+BLOCK = 512
 
 _ODD = np.array(
     [0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64 | 1 for k in range(SHINGLE)], dtype=np.uint64
@@ -173,13 +174,37 @@ def _least_agreement(similarity: float) -> int:
     return max(1, int(PLACES * similarity - MARGIN * deviation))
 
 
-def small_node_pairs(members: DataFrame, least: int, buckets: int) -> DataFrame:
-    """Pairs ``a`` < ``b`` of classes in one small node whose sketches agree in ``least`` places.
+def _forest(size: int, pairs: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    """Of links, given per element with larger ones, those that join two trees."""
+    parent = list(range(size))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for left, partners in pairs:
+        for right in partners.tolist():
+            a, b = root(left), root(right)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                yield left, right
+
+
+_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.Table:
+    columns = [pa.array([pair[k] for pair in pairs], pa.binary()) for k in (0, 1)]
+    return pa.Table.from_arrays(columns, schema=_EDGES)
+
+
+def small_node_edges(members: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Edges ``a``, ``b`` that connect the classes of each small node whose sketches agree in
+    ``least`` places, directly or over others of the node.
 
-    ``first`` marks those with the least class of their node's group; they suffice where all are
-    links. Nodes are dealt into buckets, so that a task call holds whole nodes of bounded size.
+    Nodes are dealt into buckets, so that a task call holds whole nodes of bounded size.
     """
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("first", pa.bool_())])
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by([("node", "ascending"), ("set_id", "ascending")]).combine_chunks()
@@ -187,35 +212,16 @@ def small_node_pairs(members: DataFrame, least: int, buckets: int) -> DataFrame:
         ids = group.column("set_id").to_pylist()
         sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u4").reshape(-1, PLACES)
         starts = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
-        found: dict[tuple[bytes, bytes], bool] = {}
+        found = set()
         for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)]):
-            size = end - begin
-            if size < 2:
-                continue
             block = sketches[begin:end]
-            agree = (block[:, None, :] == block[None, :, :]).sum(axis=2)
-            left, right = np.nonzero(np.triu(agree >= least, 1))
-            grouped = np.zeros(size, dtype=bool)
-            for i, j in zip(left.tolist(), right.tolist()):
-                # a class without a smaller partner leads its group
-                leads = not grouped[i] and not grouped[j]
-                pair = (ids[begin + i], ids[begin + j])
-                found[pair] = found.get(pair, False) or leads
-                if leads or not grouped[i]:
-                    grouped[j] = True
-        pairs = list(found)
-        return pa.Table.from_arrays(
-            [
-                pa.array([a for a, _ in pairs], pa.binary()),
-                pa.array([b for _, b in pairs], pa.binary()),
-                pa.array(list(found.values()), pa.bool_()),
-            ],
-            schema=schema,
-        )
+            agree = (block[:, None, :] == block[None, :, :]).sum(axis=2) >= least
+            partners = ((k, k + 1 + np.flatnonzero(agree[k, k + 1 :])) for k in range(end - begin))
+            found.update((ids[begin + i], ids[begin + j]) for i, j in _forest(end - begin, partners))
+        return _edges(list(found))
 
     bucketed = members.select("node", "set_id", "sketch", F.pmod(F.xxhash64("node"), F.lit(buckets)).alias("bucket"))
-    pairs = bucketed.groupBy("bucket").applyInArrow(compare, "a binary, b binary, first boolean")
-    return pairs.groupBy("a", "b").agg(F.bool_or("first").alias("first"))
+    return bucketed.groupBy("bucket").applyInArrow(compare, "a binary, b binary")
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
@@ -227,9 +233,9 @@ def _sized(nodes: DataFrame) -> DataFrame:
     return nodes.join(sizes, "node")
 
 
-def candidate_pairs(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes from small nodes, and the members ``node``, ``set_id`` of nodes that stay
-    large to the last level. ``classes`` is a written table of ``set_id`` and ``sketch``."""
+def loose_edges(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges that connect all classes that may be linked. ``classes`` is a written table of
+    ``set_id`` and ``sketch``."""
     similarity = percent / 100
     nodes = written(root_nodes(classes), "nodes")
     small = None
@@ -245,39 +251,84 @@ def candidate_pairs(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFra
     rows = small.count()
     partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = small.join(classes, "set_id")
-    pairs = small_node_pairs(members, _least_agreement(similarity), max(2 * partitions, rows // 20_000))
-    return written(pairs, "pairs"), large
-
-
-def _linked(percent: int):
-    """Whether two sets, as bytes of sorted 64-bit values, reach the similarity."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                x, y = (np.frombuffer(side.as_buffer(), dtype="<u8") for side in (left, right))
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return confirm
-
+    edges = small_node_edges(members, _least_agreement(similarity), max(2 * partitions, rows // 20_000))
+    leaders = written(large.groupBy("node").agg(F.min("set_id").alias("a")), "leaders")
+    stars = large.join(leaders, "node").filter("set_id > a").select("a", F.col("set_id").alias("b"))
+    return edges.unionByName(stars)
+
+
+def linked_sets(sets: list[np.ndarray], percent: int, across: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Links that connect all of the sets that are linked. With ``across``, only links between sets
+    of different marks are looked for."""
+    sizes = np.array([len(x) for x in sets])
+    values = np.concatenate(sets)
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    ranked, owners = values[order], owners[order]
+    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    lengths = np.diff(np.append(starts, len(ranked)))
+    number = np.empty(len(values), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(starts)), lengths)
+    ends = np.cumsum(sizes)
+
+    def partners(k: int) -> np.ndarray:
+        own = number[ends[k] - sizes[k] : ends[k]]
+        own = own[lengths[own] > 1]
+        common = np.bincount(owners[ragged(starts[own], lengths[own])], minlength=len(sets))
+        linked = 100 * common >= percent * (sizes + sizes[k] - common)
+        linked[: k + 1] = False
+        if across is not None:
+            linked &= across != across[k]
+        return np.flatnonzero(linked)
+
+    return _forest(len(sets), ((k, partners(k)) for k in range(len(sets))))
+
+
+def confirmed_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges ``a``, ``b`` between classes that connect all that are linked.
+
+    ``members`` is a written table of loose groups: ``root``, ``set_id``, ``shingles``. Groups of one
+    block are dealt into units of bounded size; of a larger group each two blocks are a unit.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = written(members.groupBy("root").agg(F.count("*").alias("size")).withColumn("blocks", blocks), "group-sizes")
+    rows = sizes.agg(F.sum("size")).first()[0] or 0
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = max(2 * partitions, rows // BLOCK)
+    placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "root",
+        "set_id",
+        "shingles",
+        "block",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(units)))
+        .otherwise(F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")))
+        .alias("unit"),
+    )
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full sets reach the similarity. ``sets`` is a written table of
-    ``set_id`` and ``shingles``."""
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("right"))
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("left"))
-    joined = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    return joined.mapInArrow(_linked(percent), "a binary, b binary")
+    def link(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(x, "ascending") for x in ("root", "low", "high", "set_id")]).combine_chunks()
+        ids, blocks = group.column("set_id").to_pylist(), group.column("block").to_numpy()
+        keys = list(zip(group.column("root").to_pylist(), group.column("low").to_pylist(), group.column("high").to_pylist()))
+        shingles = group.column("shingles")
+        found, begin = [], 0
+        while begin < len(keys):
+            end = begin
+            while end < len(keys) and keys[end] == keys[begin]:
+                end += 1
+            sets = [np.frombuffer(shingles[k].as_buffer(), dtype="<u8") for k in range(begin, end)]
+            across = blocks[begin:end] if keys[begin][1] != keys[begin][2] else None
+            found += [(ids[begin + i], ids[begin + j]) for i, j in linked_sets(sets, percent, across)]
+            begin = end
+        return _edges(found)
+
+    return paired.groupBy("unit").applyInArrow(link, "a binary, b binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set_id`` and ``shingles`` of the documents whose ids are in ``wanted``, each set once."""
+    """``set_id`` and ``shingles`` of the documents whose ids are in ``wanted``, once per document."""
     ship(docs.sparkSession)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,20 +343,24 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["set_id", "shingles"],
                 )
 
-    chosen = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("text")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = chosen.join(wanted, chosen["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text")
     return chosen.mapInArrow(collect, "set_id binary, shingles binary")
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    return written(components(links), "roots")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
-    of = lambda end: roots.select(F.col("vertex").alias(end), F.col("root").alias(f"{end}_root"))
-    joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    root = lambda end: F.coalesce(F.col(f"{end}_root"), F.col(end))
-    return joined.filter(root("a") != root("b")).select("a", "b")
+def class_links(docs: DataFrame, firsts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between classes: enough of them to connect all that are connected."""
+    groups = written(components(loose_edges(classes, percent)), "loose-groups")
+    wanted = written(
+        firsts.join(groups.select(F.col("vertex").alias("set_id")), "set_id", "left_semi").select(
+            F.col("first_id").alias("doc_id")
+        ),
+        "wanted",
+    )
+    # of documents that repeat an id, only the sets asked for, each once
+    sets = full_sets(docs, wanted).dropDuplicates(["set_id"])
+    members = sets.join(groups, sets["set_id"] == groups["vertex"]).select("root", "set_id", "shingles")
+    return confirmed_links(written(members, "group-sets"), percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, carry: Sequence[str] = ()) -> DataFrame:
@@ -326,7 +381,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, carry: Sequence[str
     sketches = worded.join(firsts, (worded.set_id == firsts.set_id) & worded.doc_id.eqNullSafe(firsts.first_id), "left_semi")
     classes = written(sketches.select("set_id", "sketch").distinct(), "sketches")
     links = class_links(docs, firsts, classes, percent)
-    roots = _roots(links)
+    roots = written(components(links), "roots")
     with_root = firsts.join(roots, firsts.set_id == roots.vertex, "left").select(
         "set_id", "first_id", F.coalesce("root", "set_id").alias("root")
     )
@@ -338,52 +393,3 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, carry: Sequence[str
     )
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept, *carry)
-
-
-def class_links(docs: DataFrame, firsts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links between classes: enough of them to connect all that are connected."""
-    pairs, dense = candidate_pairs(classes, percent)
-    leaders = written(dense.groupBy("node").agg(F.min("set_id").alias("a")), "leaders")
-    stars = dense.join(leaders, "node").filter("set_id > a").select("a", F.col("set_id").alias("b")).distinct()
-    first = written(pairs.filter("first").select("a", "b").unionByName(stars).distinct(), "first-pairs")
-    involved = (
-        pairs.select(F.explode(F.array("a", "b")).alias("set_id")).unionByName(dense.select("set_id")).distinct()
-    )
-    wanted = firsts.join(involved, "set_id", "left_semi").select(F.col("first_id").alias("doc_id"))
-    sets = written(full_sets(docs, wanted), "full-sets").dropDuplicates(["set_id"])
-    sets = written(sets, "full-sets")
-    links = written(confirmed(first, sets, percent), "links")
-    roots = _roots(links)
-    rest = _apart(pairs.filter("not first"), roots)
-    # in a dense node: all classes outside the node's largest component against all of the node
-    placed = dense.join(roots, dense.set_id == roots.vertex, "left").select(
-        "node", "set_id", F.coalesce("root", "set_id").alias("root")
-    )
-    placed = written(placed, "dense-members")
-    sizes = placed.groupBy("node", "root").agg(F.count("*").alias("n"))
-    main = written(sizes.groupBy("node").agg(F.max_by("root", F.struct("n", "root")).alias("main")), "main")
-    outside = written(
-        placed.join(main, "node").filter("root <> main").select("node", F.col("set_id").alias("x"), F.col("root").alias("x_root")),
-        "outside",
-    )
-    across = placed.join(outside, "node").filter("root <> x_root").select(
-        F.least("set_id", "x").alias("a"), F.greatest("set_id", "x").alias("b")
-    )
-    agreeing = _agreeing(rest.unionByName(across).distinct(), classes, _least_agreement(percent / 100))
-    more = written(confirmed(written(agreeing, "second-pairs"), sets, percent), "links")
-    return links.unionByName(more)
-
-
-def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """Pairs whose sketches agree in ``least`` places."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                same = _sketches(batch.column("left")) == _sketches(batch.column("right"))
-                yield batch.select(["a", "b"]).filter(pa.array(same.sum(axis=1) >= least))
-
-    left = classes.select(F.col("set_id").alias("a"), F.col("sketch").alias("left"))
-    right = classes.select(F.col("set_id").alias("b"), F.col("sketch").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(agree, "a binary, b binary")
