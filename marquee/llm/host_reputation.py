@@ -109,17 +109,22 @@ def host_posteriors(outcomes: DataFrame, double_suffixes: Sequence[str] = ()) ->
     n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
     overall = ((bad or 0) + 0.5) / ((n or 0) + 1)
 
-    def shrunk(prior: Column, weight: float) -> Column:
-        return (F.col("bad") + prior * weight) / (F.col("n") + weight)
-
-    rated = suffixes.select(
-        "suffix",
-        shrunk(F.lit(overall), _concentration(suffixes.withColumn("all", F.lit(1)), ["all"])).alias("prior"),
-    )
-    rated = domains.join(rated, "suffix").select(
-        "suffix", "domain", shrunk(F.col("prior"), _concentration(domains, ["suffix"])).alias("prior")
-    )
-    weight = _concentration(hosts, ["suffix", "domain"])
+    def pooled(frame: DataFrame, keys: list[str], weight: Column) -> DataFrame:
+        """Rate of each group under its parent's ``prior``, and the weight behind that rate: what
+        is known of the parent bounds what the prior weighs."""
+        known = weight + F.col("n")
+        rate = (F.col("bad") + F.col("prior") * weight) / known
+        return frame.select(*keys, rate.alias("prior"), known.alias("known"))
+
+    def under(weight: float) -> Column:
+        return 1 / (1 / F.lit(weight) + 1 / F.col("known"))
+
+    top = _concentration(suffixes.withColumn("every", F.lit(1)), ["every"])
+    everywhere = suffixes.withColumns({"prior": F.lit(overall), "known": F.lit((n or 0) + 1.0)})
+    rated = pooled(everywhere, ["suffix"], under(top))
+    weight = under(_concentration(domains, ["suffix"]))
+    rated = pooled(domains.join(rated, "suffix"), ["suffix", "domain"], weight)
+    weight = under(_concentration(hosts, ["suffix", "domain"]))
     return hosts.join(rated, ["suffix", "domain"]).select(
         "host",
         "n",

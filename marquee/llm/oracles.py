@@ -1,3 +1,126 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others learn models, call a tokenizer, use checksums or hashes that DuckDB lacks, or may miss
+some neighbours by design; the tests hold them against plain Python.
+"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SPACE = r"[\x20\x09-\x0D]+"
+
+OP6 = rf"""
+with recursive words as (
+    select doc_id,
+           list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '{_SPACE}'), x -> x <> '') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+    from words
+), shingles as (
+    select doc_id, len(s) as n, unnest(s) as shingle from sets
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(a, b) as (
+    select a, b from links
+    union
+    select reach.a, links.b from reach join links on reach.b = links.a
+), least_of as (
+    select a as doc_id, min(b) as b from reach group by a
+)
+select doc_id, len(s) as n_shingles, least(doc_id, coalesce(b, doc_id)) as component_id,
+       doc_id <= coalesce(b, doc_id) as kept
+from sets left join least_of using (doc_id)
+"""
+
+
+def _weight(children: str, parents: str) -> str:
+    """Concentration of a level's prior by the moments of the beta-binomial."""
+    return f"""
+    select coalesce(case when room > 0 and excess <> 0
+               then 1 / least(greatest(excess / room, 1e-4), 0.999) - 1 end, 10000.0) as k
+    from (
+        select sum((bad2 - bad * bad / n) / (bad / n * (1 - bad / n)) - (kids - 1)) as excess,
+               sum(n - n2 / n - (kids - 1)) as room
+        from (
+            select sum(n)::double as n, sum(bad)::double as bad, sum(n * n)::double as n2,
+                   sum(bad * bad / n::double) as bad2, count(*) as kids
+            from {children} where n > 0 group by {parents}
+        ) where bad > 0 and bad < n
+    )
+    """
+
+
+_FITS = "(host = '{own}' or ends_with(host, '.{own}')) and starts_with(path, '{path}')"
+
+
+def _rules(rules: list[tuple[str, str]], column: int) -> str:
+    """The longest fitting rule, or its verdict."""
+    cases = []
+    for rule in sorted(rules, key=lambda r: -len(r[1])):
+        own, slash, rest = rule[1].partition("/")
+        cases.append(f"when {_FITS.format(own=own, path=slash + rest)} then '{rule[column]}'")
+    return f"case {' '.join(cases)} end"
+
+
+_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+_REST = "substr(url, strpos(url, '://') + 3)"
+
+OP5 = rf"""
+with located as (
+    select page_id,
+           case when coalesce(strpos(url, '://'), 0) = 0 then ''
+                else {_LOWER.format(f"regexp_extract({_REST}, '^([^/?#]*)', 1)")} end as host,
+           case when coalesce(strpos(url, '://'), 0) = 0 then ''
+                else regexp_extract({_REST}, '^[^/?#]*(/[^?#]*)', 1) end as path
+    from pages
+), marks as (
+    select doc_id as page_id, count(*) as n, count(*) filter (toxic = 1 or quality = 0) as bad
+    from labels where doc_id is not null and (toxic = 1 or quality = 0) is not null group by doc_id
+), hosts as (
+    select host, regexp_extract(host, '([^.]*)$', 1) as suffix,
+           regexp_extract(host, '([^.]*\.)?[^.]*$', 0) as domain, sum(coalesce(n, 0)) as n, sum(coalesce(bad, 0)) as bad
+    from located left join marks using (page_id) group by all
+), domains as (
+    select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by all
+), suffixes as (
+    select suffix, 1 as every, sum(n) as n, sum(bad) as bad from domains group by all
+), weights as (
+    select (select k from ({_weight("suffixes", "every")})) as k1,
+           (select k from ({_weight("domains", "suffix")})) as k2,
+           (select k from ({_weight("hosts", "suffix, domain")})) as k3,
+           (select (sum(bad) + 0.5) / (sum(n) + 1) from suffixes) as overall,
+           (select sum(n) + 1.0 from suffixes) as total
+), by_suffix as (
+    select suffix, (bad + overall * w) / (w + n) as prior, w + n as known
+    from (select suffix, n, bad, overall, 1 / (1 / k1 + 1 / total) as w from suffixes, weights)
+), by_domain as (
+    select domain, (bad + prior * w) / (w + n) as prior, w + n as known
+    from (select d.domain, d.n, d.bad, prior, 1 / (1 / k2 + 1 / known) as w
+          from domains d join by_suffix using (suffix), weights)
+), posterior as (
+    select host, bad + prior * w as alpha, n - bad + (1 - prior) * w as beta
+    from (select host, h.n, h.bad, prior, 1 / (1 / k3 + 1 / known) as w
+          from hosts h join by_domain using (domain), weights)
+), bounds as (
+    select host, alpha / (alpha + beta)
+        - 1.64 * sqrt(alpha * beta / ((alpha + beta) * (alpha + beta) * (alpha + beta + 1))) as bad_bound
+    from posterior
+)
+select page_id, host, path, {_rules(_RULES, 1)} as rule,
+       coalesce({_rules(_RULES, 0)}, case when bad_bound > 0.25 then 'block' else 'allow' end) as verdict
+from located join bounds using (host)
+"""
+
+ORACLES: dict[str, str] = {"op5_host_reputation": OP5, "op6_chosen_path": OP6}

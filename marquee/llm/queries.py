@@ -57,7 +57,7 @@ def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
     )
-    return judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES)
+    return judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES).drop("bad_bound")
 
 
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
