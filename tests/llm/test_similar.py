@@ -79,7 +79,7 @@ def as_rows(df):
 def test_components_equal_brute_force(spark, seed):
     rows = planted(seed)
     want = plain_components(rows)
-    assert 40 < sum(row[3] for row in want) < len(rows) - 30
+    assert 40 < sum(row[3] for row in want) < len(rows) - 20
     assert as_rows(near_duplicates(frame(spark, rows))) == Counter(want)
 
 
@@ -185,7 +185,8 @@ def test_passages_within_the_distance_are_found_and_no_others(spark):
         for share in (0.0, 0.1):
             around = [prose(rng, "de", rng.randint(0, 30)) for _ in range(2)]
             inside = " ".join(edited(rng, words, int(share * len(words))))
-            rows.append(document(3000 + len(rows), f"{around[0]} {inside.upper()} {around[1]}"))
+            inside = "".join(c.upper() if c.isascii() else c for c in inside)
+            rows.append(document(3000 + len(rows), f"{around[0]} {inside} {around[1]}"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(row.doc_id, row.item_id): row for row in contaminated(frame(spark, rows), bench).collect()}
     want = {}
