@@ -10,7 +10,7 @@ all pairs are compared by their sketches, and independent trees are repeated to
 That gives loose groups: classes connected by sketches that agree, or by staying in one node to the
 last level of a tree. Every link lies inside one of them. Then the full shingle sets of each group
 are compared, all with all; a group that is too large for one task is cut into blocks, and each two
-blocks are a task. A task returns the components it found, not the pairs: a group of
+blocks are a task. A task returns the components it found, as stars, not the pairs: a group of
 thousands of near copies has millions of those.
 """
 
@@ -34,8 +34,8 @@ PLACES = 128
 TREES = 6
 # Children per class at the root of each tree; below, 1 / similarity are expected.
 ROOT_CHILDREN = 2
-SMALL_NODE = 48
-LEVELS = 4
+SMALL_NODE = 256
+LEVELS = 3
 # Sketches agree if their minwise values do in so many places: this many standard deviations below
 # what a pair at the threshold is expected to share.
 MARGIN = 4.5
@@ -174,8 +174,9 @@ def _least_agreement(similarity: float) -> int:
     return max(1, int(PLACES * similarity - MARGIN * deviation))
 
 
-def _forest(size: int, pairs: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int]]:
-    """Of links, given per element with larger ones, those that join two trees."""
+def _connected(size: int, pairs: Iterator[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Each element but the least of its component, after that least one. Links are given per
+    element, with the larger ones it is linked to."""
     parent = list(range(size))
 
     def root(x: int) -> int:
@@ -188,7 +189,7 @@ def _forest(size: int, pairs: Iterator[tuple[int, np.ndarray]]) -> Iterator[tupl
             a, b = root(left), root(right)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                yield left, right
+    return [(root(x), x) for x in range(size) if root(x) != x]
 
 
 _EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -217,7 +218,7 @@ def small_node_edges(members: DataFrame, least: int, buckets: int) -> DataFrame:
             block = sketches[begin:end]
             agree = (block[:, None, :] == block[None, :, :]).sum(axis=2) >= least
             partners = ((k, k + 1 + np.flatnonzero(agree[k, k + 1 :])) for k in range(end - begin))
-            found.update((ids[begin + i], ids[begin + j]) for i, j in _forest(end - begin, partners))
+            found.update((ids[begin + i], ids[begin + j]) for i, j in _connected(end - begin, partners))
         return _edges(list(found))
 
     bucketed = members.select("node", "set_id", "sketch", F.pmod(F.xxhash64("node"), F.lit(buckets)).alias("bucket"))
@@ -251,14 +252,14 @@ def loose_edges(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = small.count()
     partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = small.join(classes, "set_id")
-    edges = small_node_edges(members, _least_agreement(similarity), max(2 * partitions, rows // 20_000))
+    edges = small_node_edges(members, _least_agreement(similarity), max(partitions, rows // 20_000))
     leaders = written(large.groupBy("node").agg(F.min("set_id").alias("a")), "leaders")
     stars = large.join(leaders, "node").filter("set_id > a").select("a", F.col("set_id").alias("b"))
     return edges.unionByName(stars)
 
 
-def linked_sets(sets: list[np.ndarray], percent: int, across: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
-    """Links that connect all of the sets that are linked. With ``across``, only links between sets
+def linked_sets(sets: list[np.ndarray], percent: int, across: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Each set but the first of its component, after that first one. With ``across``, only links between sets
     of different marks are looked for."""
     sizes = np.array([len(x) for x in sets])
     values = np.concatenate(sets)
@@ -281,7 +282,7 @@ def linked_sets(sets: list[np.ndarray], percent: int, across: np.ndarray | None
             linked &= across != across[k]
         return np.flatnonzero(linked)
 
-    return _forest(len(sets), ((k, partners(k)) for k in range(len(sets))))
+    return _connected(len(sets), ((k, partners(k)) for k in range(len(sets))))
 
 
 def confirmed_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -294,7 +295,7 @@ def confirmed_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = written(members.groupBy("root").agg(F.count("*").alias("size")).withColumn("blocks", blocks), "group-sizes")
     rows = sizes.agg(F.sum("size")).first()[0] or 0
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = max(2 * partitions, rows // BLOCK)
+    units = max(partitions, rows // BLOCK)
     placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root",
@@ -376,11 +377,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, carry: Sequence[str
     """
     measured = written(document_sets(docs, carry), "document-sets")
     worded = measured.filter("set_id is not null")
-    firsts = written(worded.groupBy("set_id").agg(F.min("doc_id").alias("first_id")), "classes")
-    # one sketch per class: rows of a class have equal ones
-    sketches = worded.join(firsts, (worded.set_id == firsts.set_id) & worded.doc_id.eqNullSafe(firsts.first_id), "left_semi")
-    classes = written(sketches.select("set_id", "sketch").distinct(), "sketches")
-    links = class_links(docs, firsts, classes, percent)
+    # rows of a class have equal sketches
+    first = [F.min("doc_id").alias("first_id"), F.any_value("sketch").alias("sketch")]
+    classes = written(worded.groupBy("set_id").agg(*first), "classes")
+    firsts = classes.select("set_id", "first_id")
+    links = class_links(docs, firsts, classes.select("set_id", "sketch"), percent)
     roots = written(components(links), "roots")
     with_root = firsts.join(roots, firsts.set_id == roots.vertex, "left").select(
         "set_id", "first_id", F.coalesce("root", "set_id").alias("root")
