@@ -42,9 +42,8 @@ MARGIN = 4.5
 # Classes in a block of a large group.
 BLOCK = 512
 
-_ODD = np.array(
-    [0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64 | 1 for k in range(SHINGLE)], dtype=np.uint64
-)
+# Unrelated odd factors per place in a shingle: related ones would confuse some orders of words.
+_ODD = mix(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 _FACTORS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
 

@@ -34,8 +34,10 @@ from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, slices
 
 DEPTH = 6
 # Bytes of text in a part, and the most parts whose counts one task call puts together.
-PART_BYTES = 20 << 20
+PART_BYTES = 14 << 20
 FAN_IN = 128
+# Bytes of text that a task works on at a time.
+STEP_BYTES = 2 << 20
 LEAST_BUCKETS = 64
 # Levels above this depth are put together on the driver: at most 2**16 contexts of 255 nodes.
 TOP = 2
@@ -103,7 +105,7 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, DEPTH + 1):
         rolling |= data[DEPTH - k : len(data) - k] << np.uint64(8 * k)
     lengths = np.diff(offsets) - DEPTH
-    rows = np.repeat(np.arange(len(texts)), lengths)
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     places = np.arange(len(rows)) + DEPTH * rows
     return rolling[places], rows
 
@@ -128,13 +130,13 @@ def counted_parts(docs: DataFrame, buckets: int) -> DataFrame:
     def flush(part: int, texts: list[pa.Array], ids: list, flags: list, parts: dict) -> pa.RecordBatch:
         import zstandard
 
-        body = _END.join(x for chunk in texts for x in chunk.to_pylist()).encode()
+        body = pc.binary_join(pa.ListArray.from_arrays([0, sum(map(len, texts))], pa.concat_arrays(texts)), _END)
         rows = [
             {
                 "kind": TEXT,
                 "bucket": -1,
                 "part": part,
-                "a": zstandard.ZstdCompressor(level=3).compress(body),
+                "a": zstandard.ZstdCompressor(level=3).compress(body[0].as_buffer()),
                 "b": np.concatenate(ids).astype("<i8").tobytes(),
                 "c": np.concatenate(flags).astype(np.uint8).tobytes(),
             }
@@ -148,7 +150,7 @@ def counted_parts(docs: DataFrame, buckets: int) -> DataFrame:
         texts, ids, flags, size = [], [], [], 0
         parts: dict = {GRAMS: ([], []), WORDS: ([], [])}
         for batch in batches:
-            for piece in slices(batch, size=4 << 20):
+            for piece in slices(batch, size=STEP_BYTES):
                 own = normalized(filled(piece.column("text")))
                 held_out = piece.column("held_out").to_numpy(zero_copy_only=False)
                 doc_ids = piece.column("doc_id")
@@ -443,7 +445,7 @@ def _scored(tokens: int, distinct: int):
         at = 0
         while at < len(ids):
             # a text's number fits the byte above the sequence
-            reach = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (4 << 20), side="right"))
+            reach = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + STEP_BYTES, side="right"))
             stop = min(max(at + 1, reach), at + 256, len(ids))
             own = texts.slice(at, stop - at)
             keys, rows = grams(own)

@@ -11,11 +11,11 @@ _SPACE = r"[\x20\x09-\x0D]+"
 OP6 = rf"""
 with recursive words as (
     select doc_id,
-           list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '{_SPACE}'), x -> x <> '') as w
+           [x for x in regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '{_SPACE}') if x <> ''] as w
     from documents
 ), sets as (
     select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-        else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+        else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as s
     from words
 ), shingles as (
     select doc_id, len(s) as n, unnest(s) as shingle from sets

@@ -123,11 +123,14 @@ def test_links_connect_what_is_linked():
 
 def test_shingles_are_of_words():
     texts = ["A b\tc\nd e", "a b c d e", "a b c d", "a b c d ", "", "a b c d e f", "x a b c d"]
+    rng = random.Random(1)
+    texts += [" ".join(rng.choices("ab", k=200)), " ".join(rng.choices("abc", k=300))]
     sets = [set(x.tolist()) for x in shingle_sets(pa.array(texts))]
     plain = [plain_shingles(x) for x in texts]
     for i in range(len(texts)):
         for j in range(len(texts)):
             assert len(sets[i] & sets[j]) == len(plain[i] & plain[j])
+    assert [len(x) for x in sets] == [len(x) for x in plain]
 
 
 def test_connected_components(spark):
