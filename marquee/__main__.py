@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import sys
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+if not __package__:  # started by path: the package's parent has to be found, not its folder
+    sys.path[0] = str(Path(__file__).resolve().parents[1])
 
-from marquee.plans import curate, curation_report, ping, run_analytics
-from marquee.plans.answers import ACTOR, DIRECTOR, TOP
-from marquee.scratch import scratch_root
-from marquee.session import build_session
-from marquee.sinks import show_preview
-from marquee.sources import missing_inputs, read_table, require_inputs
+from pyspark.sql import SparkSession  # noqa: E402
+
+from marquee.plans import curate, curation_report, ping, run_analytics  # noqa: E402
+from marquee.plans.answers import ACTOR, DIRECTOR, TOP  # noqa: E402
+from marquee.scratch import scratch_folder  # noqa: E402
+from marquee.session import build_session  # noqa: E402
+from marquee.sinks import show_preview  # noqa: E402
+from marquee.sources import read_table, require_inputs  # noqa: E402
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -28,7 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         if name in ("curate", "run"):
             job.add_argument("--staged", help="root for staged tables")
             job.add_argument("--report", action="store_true", help="print what was left out")
-            job.add_argument("--single-line", action="store_true")
+            job.add_argument("--single-line", action="store_true", help="end records at every line break")
+            job.add_argument("--split-records", action="store_true", help="read large files in splits")
         if name in ("curate", "analytics", "run"):
             job.add_argument("--curated", required=True, help="root of the curated tables")
         if name in ("analytics", "run"):
@@ -56,25 +62,26 @@ def main(argv: list[str] | None = None) -> None:
 def _work(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ping":
         show_preview(ping(spark))
-    if args.job == "check":
-        show_preview(missing_inputs(spark, args.raw, [args.movies, args.credits]))
     if args.job in ("check", "curate", "run"):
         require_inputs(spark, args.raw, [args.movies, args.credits])
+    if args.job == "check":
+        print("all inputs are there")
     if args.job in ("curate", "run"):
-        staged = args.staged or scratch_root(spark, "staged")
-        curate(
-            spark,
-            args.raw,
-            args.curated,
-            args.format,
-            args.movies,
-            args.credits,
-            multiline=not args.single_line,
-            staged_root=staged,
-        )
-        if args.report:
-            extracts = (read_table(spark, staged, name) for name in ("movies", "credits"))
-            show_preview(curation_report(*extracts))
+        with scratch_folder(spark, "staged", args.staged) as staged:
+            curate(
+                spark,
+                args.raw,
+                args.curated,
+                args.format,
+                args.movies,
+                args.credits,
+                multiline=not args.single_line,
+                staged_root=staged,
+                split_records=args.split_records,
+            )
+            if args.report:
+                extracts = (read_table(spark, staged, name) for name in ("movies", "credits"))
+                show_preview(curation_report(*extracts))
     if args.job in ("analytics", "run"):
         run_analytics(
             spark,

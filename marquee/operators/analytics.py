@@ -45,7 +45,7 @@ def filter_join_sort(
         marks = [F.col(name).alias(f"_{name}") for name in spread]
         found = hits.select(key, *marks).join(facts, key)
         ties = [key, *(f"_{name}" for name in spread)]
-    return _descending(found, order_by, *ties).select(*columns)
+    return _descending(found.repartition(*ties), order_by, *ties).select(*columns)
 
 
 def top_n(

@@ -19,7 +19,7 @@ from pyspark.util import inheritable_thread_target
 from marquee import catalog
 from marquee.operators import explode_bridge, fact_select, orphan_rows, parse_json_arrays
 from marquee.operators.shaping import CORRUPT
-from marquee.scratch import scratch_root
+from marquee.scratch import remove_folder, scratch_folder
 from marquee.sinks import write_table
 from marquee.sources import read_extract, read_table
 
@@ -57,8 +57,12 @@ def stage_extracts(
     movies: str = "movies.csv",
     credits: str = "credits.csv",
     multiline: bool = True,
+    split_records: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Read and parse both extracts into staged parquet tables, and read those back."""
+    """Read and parse both extracts into staged parquet tables, and read those back.
+
+    What reading in splits writes below ``staged_root`` is removed once a table is staged.
+    """
     staged_root = staged_root.rstrip("/")
     shapes = {
         "movies": (movies, catalog.MOVIE_COLUMNS, catalog.MOVIE_ARRAYS),
@@ -68,8 +72,12 @@ def stage_extracts(
     def stage(name: str) -> DataFrame:
         file, columns, arrays = shapes[name]
         path = f"{raw_root.rstrip('/')}/{file}"
-        raw = read_extract(spark, path, multiline, scratch=f"{staged_root}/raw_{name}")
-        write_table(shaped(raw, columns, arrays), staged_root, name)
+        lines = f"{staged_root}/raw_{name}"
+        try:
+            raw = read_extract(spark, path, multiline, split_records, lines)
+            write_table(shaped(raw, columns, arrays), staged_root, name)
+        finally:
+            remove_folder(spark, lines)
         return read_table(spark, staged_root, name)
 
     movies_table, credits_table = side_by_side(spark, stage, shapes)
@@ -96,17 +104,19 @@ def curate(
     credits: str = "credits.csv",
     multiline: bool = True,
     staged_root: str | None = None,
+    split_records: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the curated tables below ``curated_root`` and return them as read back.
 
     Each table is replaced on its own. For a set of tables that changes all at once, give
-    every run a root of its own and publish that root.
+    every run a root of its own and publish that root. The staged tables stay in
+    ``staged_root``; without one they are removed in the end, also if the run fails.
     """
-    staged_root = staged_root or scratch_root(spark, "staged")
-    staged = stage_extracts(spark, raw_root, staged_root, movies, credits, multiline)
     bridges = catalog.MOVIE_BRIDGES | catalog.CREDIT_BRIDGES
     rebalance = {name: [catalog.KEY] for name, spec in bridges.items() if spec.compact}
-    write_tables(curated_frames(*staged), curated_root, fmt, rebalance)
+    with scratch_folder(spark, "staged", staged_root) as folder:
+        staged = stage_extracts(spark, raw_root, folder, movies, credits, multiline, split_records)
+        write_tables(curated_frames(*staged), curated_root, fmt, rebalance)
     return {name: read_table(spark, curated_root, name, fmt) for name in catalog.CURATED_TABLES}
 
 

@@ -19,9 +19,10 @@ def run(
     credits: str = "credits.csv",
     multiline: bool = True,
     staged_root: str | None = None,
+    split_records: bool = False,
     **questions,
 ) -> dict[str, DataFrame]:
     """Fail if an extract is missing, else write curated and result tables; return the results."""
     require_inputs(spark, raw_root, [movies, credits])
-    curate(spark, raw_root, curated_root, fmt, movies, credits, multiline, staged_root)
+    curate(spark, raw_root, curated_root, fmt, movies, credits, multiline, staged_root, split_records)
     return run_analytics(spark, curated_root, analytics_root, fmt, **questions)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -23,3 +25,22 @@ def scratch_root(spark: SparkSession, label: str) -> str:
         _local.append(tempfile.TemporaryDirectory(prefix="marquee-"))
         shared = _local[-1].name
     return f"{shared.rstrip('/')}/marquee-{label}-{uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark can reach; an absent one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str, given: str | None = None) -> Iterator[str]:
+    """The folder the caller gave, which stays, or a fresh one, which goes with the block."""
+    if given:
+        yield given
+        return
+    folder = scratch_root(spark, label)
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)

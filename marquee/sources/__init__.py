@@ -1,5 +1,5 @@
 from marquee.sources.extracts import read_extract
-from marquee.sources.inputs import input_files, missing_inputs, require_inputs
+from marquee.sources.inputs import input_files, missing_inputs, require_inputs, unread_files
 from marquee.sources.tables import literal_rows, read_table, table_path
 
 __all__ = [
@@ -10,4 +10,5 @@ __all__ = [
     "read_table",
     "require_inputs",
     "table_path",
+    "unread_files",
 ]

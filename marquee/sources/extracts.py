@@ -7,53 +7,41 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.sources.inputs import input_files
-from marquee.sources.records import Irregular, read_quoted_records
+from marquee.sources.records import read_quoted_records
 
 # Quoting of the extracts.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-# A file below the first is never worth splitting, one above the second always is.
-SMALL_FILE = 32 * 1024 * 1024
-LARGE_FILE = 1024 * 1024 * 1024
-
-
-def _whole_file_limit(spark: SparkSession, total: int) -> int:
-    """A core's share of all bytes: a larger file would keep one task busy after the others."""
-    share = total // spark.sparkContext.defaultParallelism
-    return min(max(share, SMALL_FILE), LARGE_FILE)
-
 
 def read_extract(
     spark: SparkSession,
     path: str,
     multiline: bool = True,
-    whole_file_limit: int | None = None,
+    split_records: bool = False,
     scratch: str | None = None,
 ) -> DataFrame:
-    """Read an extract as text columns named by its header.
+    """Read an extract as text columns named by its header, and its partition columns.
 
     Spark's ``multiLine`` scan reads each file in one task. That is the plan of choice for
-    many files of like size, but not where one is huge: when the largest file exceeds
-    ``whole_file_limit`` bytes (by default a core's share of the input, within bounds), lines
-    are read in splits and put together to records (see :mod:`marquee.sources.records`).
-    Both plans give the same rows; an extract with irregular quotes or
-    line ends falls back to the first.
+    many files of like size. For an extract with files so large that one task is too slow,
+    ``split_records`` has lines read in splits and put together to records (see
+    :mod:`marquee.sources.records`). Both give the same rows. Files with quotes or line ends by
+    which records cannot be told from lines are left to the first scan, with a warning.
+
+    Splitting runs jobs when this is called, and writes every column of the extract to ``scratch``,
+    which the returned frame reads: keep that folder until the frame has been used.
 
     ``multiline=False`` ends a record at every line break, also inside quotes.
     """
     reader = spark.read.options(header=True, multiLine=multiline, **CSV_OPTIONS)
     plain = reader.csv(path)
-    if not multiline:
-        return plain
-    sizes = input_files(spark, path).agg(F.max("length"), F.sum("length"))
-    largest, total = (size or 0 for size in sizes.first())
-    if whole_file_limit is None:
-        whole_file_limit = _whole_file_limit(spark, total)
-    if largest <= whole_file_limit:
-        return plain
-    try:
-        return read_quoted_records(spark, path, plain.schema, CSV_OPTIONS, scratch)
-    except Irregular as error:
-        warnings.warn(f"{path} is read in a task per file: {error}", stacklevel=2)
+    if not (multiline and split_records):
         return plain
+    # without partition discovery, only what the files hold
+    own = reader.option("recursiveFileLookup", True).csv(path).schema
+    records, irregular = read_quoted_records(spark, path, own, plain.columns, CSV_OPTIONS, scratch)
+    if not irregular:
+        return records
+    warnings.warn(f"{path}: {len(irregular)} irregular files are read in a task per file", stacklevel=2)
+    # the scan is narrowed to those files when it is planned
+    return records.unionByName(plain.filter(F.col("_metadata.file_path").isin(irregular)))

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from marquee.sources.tables import literal_rows, table_path
 
 
-def input_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and ``length`` of the files below a path or glob; contents are not read.
+def input_files(spark: SparkSession, path: str, deep: bool = False) -> DataFrame:
+    """``path`` and ``length`` of the files a reader of this path reads; contents are not read.
 
-    A scan gives each large file a task of its own. There is next to nothing to do per file
-    here, so a few tasks per core take them all.
+    That is the files right below it and those in partition folders (``day=1``). With ``deep`` it is
+    all files at any depth. A scan gives each large file a task of its own. There is next
+    to nothing to do per file here, so a few tasks per core take them all.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", deep).load(path)
     return files.select("path", "length").coalesce(4 * spark.sparkContext.defaultParallelism)
 
 
@@ -26,29 +27,50 @@ def _glob_literal(name: str) -> str:
     return re.sub(r"([{}\[\]*?,\\])", r"\\\1", name)
 
 
+def _listed(spark: SparkSession, root: str, names: Sequence[str], deep: bool = False) -> DataFrame:
+    """``name`` and ``path`` of every file of each input. Inputs are listed one by one, as they are
+    read, since partition folders of one say nothing about another."""
+    found = literal_rows(spark, [], "name string, path string")
+    for name in names:
+        try:
+            files = input_files(spark, table_path(root, _glob_literal(name)), deep)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found = found.unionByName(files.select(F.lit(name).alias("name"), "path"))
+    return found
+
+
 def missing_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
-    """The names with no file below ``root``, as a one-column DataFrame ``name``.
+    """The names with no file that a reader would read, as a one-column DataFrame ``name``.
 
     An input is a file of that name or a folder of part files. Spark lists no files without
-    content, so an empty input, which could not be read either, is missing. An absent root
-    means that everything is missing.
+    content, so an empty input, which could not be read either, is missing. So is one whose files
+    all lie in plain sub-folders. An absent root means that everything is missing.
     """
     expected = literal_rows(spark, [(name,) for name in names], "name string")
-    wanted = ",".join(_glob_literal(name) for name in names)
-    try:
-        files = input_files(spark, table_path(root, f"{{{wanted}}}"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return expected
-    parts = F.filter(F.split("path", "/"), lambda part: part.isin(*names))
-    present = files.select(F.element_at(parts, -1).alias("name")).distinct()
-    return expected.join(present, "name", "left_anti")
+    return expected.join(_listed(spark, root, names).select("name").distinct(), "name", "left_anti")
+
+
+def unread_files(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """``name`` and ``path`` of files below an input that its reader does not read, as they lie in
+    plain sub-folders."""
+    return _listed(spark, root, names, deep=True).join(
+        _listed(spark, root, names), ["name", "path"], "left_anti"
+    )
 
 
 def require_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> None:
-    """Raise one ``FileNotFoundError`` that lists every missing input."""
+    """Raise one ``FileNotFoundError`` that lists every missing input, and a ``ValueError`` if
+    files of an input would be left out."""
     # at most len(names) rows come back
-    missing = [row["name"] for row in missing_inputs(spark, root, names).sort("name").collect()]
+    refuse_missing(root, [row["name"] for row in missing_inputs(spark, root, names).sort("name").collect()])
+    unread = [row["path"] for row in unread_files(spark, root, names).sort("path").limit(5).collect()]
+    if unread:
+        raise ValueError(f"files in sub-folders would not be read, such as {unread}")
+
+
+def refuse_missing(root: str, missing: Sequence[str]) -> None:
     if missing:
         raise FileNotFoundError(f"missing inputs under {root}: {missing}")

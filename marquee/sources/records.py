@@ -9,12 +9,12 @@ it does not matter whether those cross a split border.
 
 That holds where quotes stand only around a field or doubled inside a quoted field, as RFC
 4180 says. Every line is checked for it in the state it turns out to have, and a file with any
-other quote is refused rather than misread. Records end in LF or CRLF.
+other quote is left out and named rather than misread. Records end in LF or CRLF.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,31 +24,29 @@ from pyspark.sql.types import StructType
 
 from marquee.scratch import scratch_root
 
-# A split is one row of some 250 bytes. Up to this many (at 128 MB each some 128 TB of text)
-# are broadcast to the lines; beyond, the lines are shuffled to them.
-MAX_BROADCAST_SPLITS = 1_000_000
-
 # Fixed value: Spark's own bound on the bytes of one string.
 MAX_RECORD = 2**31
 
 _SPLIT = ["file", "split"]
 
+# Partition columns travel with the lines under names of their own.
+_CARRIED = "_in_"
 
-class Irregular(ValueError):
-    """Quotes or line ends by which the records cannot be told from the lines."""
+# A field that starts in a line: quoted, up to its closing quote or on beyond the line, or bare.
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+(?:"|\z)|[^",]*+)'
+# A line in which every quote has its place, if it starts outside or inside of quotes. No
+# quantifier gives back what it took, so a line is read once.
+_OUTSIDE = rf"^{_FIELD}(?:,{_FIELD})*+\r?\z"
+_INSIDE = rf'^[^"]*+(?:""[^"]*+)*+(?:"(?:,{_FIELD})*+\r?)?\z'
 
 
 def _has_stray_quote(line: Column, inside: bool) -> Column:
-    """Whether a line, less its doubled quotes, has one that is not at a field's border if the
+    """Whether a line has a quote that is not at a field's border, nor doubled inside one, if the
     line starts ``inside`` or outside of quotes.
 
     Lines that in truth start the other way mostly fail by their first quote already.
     """
-    first = '^[^"]*"(?!,|\r?\\z)' if inside else '^[^"]*[^",]"'
-    opened = F.concat(F.lit('"'), line) if inside else line
-    fields = F.regexp_replace(opened, '"[^"]*"', "\x01")
-    stray = fields.rlike('[^,]\x01|\x01(?!,|\r?\\z)|[^,]"')
-    return F.contains(line, F.lit('"')) & F.when(line.rlike(first), True).otherwise(stray)
+    return F.contains(line, F.lit('"')) & ~line.rlike(_INSIDE if inside else _OUTSIDE)
 
 
 def _ending(line: Column) -> Column:
@@ -90,8 +88,8 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
     Split borders depend on the cores at hand when a scan is planned. The written tables
     fix them for the steps that follow, also when executors come and go.
     """
-    bare = F.col("bare")
-    marks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit('"')))
+    value = F.col("value")
+    marks = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"')))
     scan = spark.read.option("lineSep", "\n").text(path)
     places = scan.select(
         F.col("_metadata.file_path").alias("file"),
@@ -99,16 +97,17 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
         F.monotonically_increasing_id().alias("line"),
         F.when(F.col("_metadata.file_block_start") == 0, _ending(F.col("value"))).alias("ending"),
         F.endswith("value", F.lit("\r")).alias("cr"),
-        F.replace("value", F.lit('""')).alias("bare"),
+        (~value.isin("", "\r")).alias("filled"),
         "value",
+        *(F.col(name).alias(_CARRIED + name) for name in scan.columns if name != "value"),
     )
     flagged = places.withColumns(
         {
             "odd": (marks % 2).cast("tinyint"),
-            "bad_outside": _has_stray_quote(bare, inside=False),
-            "bad_inside": _has_stray_quote(bare, inside=True),
+            "bad_outside": _has_stray_quote(value, inside=False),
+            "bad_inside": _has_stray_quote(value, inside=True),
         }
-    ).drop("bare")
+    )
     counted = flagged.withColumn("counts", _running_counts()("odd"))
     counted.write.mode("overwrite").parquet(f"{target}/lines", compression="zstd")
     lines = spark.read.parquet(f"{target}/lines")
@@ -127,6 +126,8 @@ def stage_lines(spark: SparkSession, path: str, target: str) -> tuple[DataFrame,
         irregular(1).alias("if_1"),
         F.min("counts.quotes").alias("quotes"),
         F.min_by("ending", "line").alias("ending"),
+        F.min(F.when(F.col("filled"), F.col("counts.evens"))).alias("filled_evens"),
+        F.min(F.when(F.col("filled"), F.col("counts.odds"))).alias("filled_odds"),
         *(
             bound(f"counts.{name}").alias(f"{end}_{name}")
             for end, bound in (("first", F.min), ("last", F.max))
@@ -154,6 +155,7 @@ def split_states(splits: DataFrame) -> DataFrame:
     origin = F.last(F.when(starts_one, F.col("split")), ignorenulls=True).over(earlier)
 
     def record(end: str) -> Column:
+        # of the lines that start outside of quotes in truth
         return F.when(F.col("closed") == 0, F.col(f"{end}_evens")).otherwise(F.col(f"{end}_odds"))
 
     return states.select(
@@ -162,6 +164,11 @@ def split_states(splits: DataFrame) -> DataFrame:
         F.when(F.col("closed") == 0, F.col("if_0")).otherwise(F.col("if_1")).alias("lines"),
         # as Spark does, take the first line end of a file for all of them
         F.max("ending").over(Window.partitionBy("file")).alias("ending"),
+        # the header is the first line with anything in it
+        F.min(F.when(F.col("filled_evens").isNotNull(), F.col("split")))
+        .over(Window.partitionBy("file"))
+        .alias("header_split"),
+        record("filled").alias("header_record"),
         "begins_open",
         "ends_open",
         "closed",
@@ -171,24 +178,26 @@ def split_states(splits: DataFrame) -> DataFrame:
     )
 
 
-def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """Staged lines to one row ``value`` per CSV record, headers left out."""
-    states = split_states(splits)
+def irregular_files(states: DataFrame) -> list[str]:
+    """Files whose records cannot be told from their lines; a row comes back for each of them.
+
+    A record longer than a string can be is an error, as no reader could give it.
+    """
     mixed_ends = (F.col("ending") == 2) | ((F.col("ending") == 1) & F.col("lines.lf"))
     per_file = states.groupBy("file").agg(
-        F.count("*").alias("splits"),
         (F.bool_or(F.col("lines.bad") | mixed_ends) | (F.sum("odd") % 2 == 1)).alias("irregular"),
         F.max(F.col("split") - F.col("origin")).alias("longest"),
     )
-    count, irregular, longest = per_file.agg(
-        F.sum("splits"), F.count_if("irregular"), F.max("longest")
-    ).first()
-    if irregular or (longest or 0) > MAX_RECORD:
-        raise Irregular(f"{irregular or 0} irregular files, longest record {longest or 0} bytes")
-    states = states.drop("odd", "lines")
-    if (count or 0) <= MAX_BROADCAST_SPLITS:
-        states = F.broadcast(states)
+    longest = per_file.filter("not irregular").agg(F.max("longest")).first()[0] or 0
+    if longest > MAX_RECORD:
+        raise ValueError(f"a record of {longest} bytes or more is longer than a Spark string can be")
+    return [row["file"] for row in per_file.filter("irregular").select("file").collect()]
+
 
+def assemble_records(lines: DataFrame, states: DataFrame) -> DataFrame:
+    """Staged lines of the files in ``states`` to one row per CSV record: ``value`` and what else
+    the scan gives, headers left out. Spark broadcasts the states if their table is small."""
+    carried = [name for name in lines.columns if name.startswith(_CARRIED)]
     inside = F.col("counts.quotes") % 2 != F.col("closed")
     record = F.when(F.col("closed") == 0, F.col("counts.evens")).otherwise(F.col("counts.odds"))
     unended = F.expr("if(ending = 1 and endswith(value, '\\r'), left(value, length(value) - 1), value)")
@@ -197,10 +206,9 @@ def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
         .join(states, _SPLIT)
         .withColumns({"inside": inside, "record": record, "value": unended})
     )
-    # the first record of a file is its header
-    header = (F.col("split") == 0) & (F.col("record") == F.col("first_record"))
+    header = (F.col("split") == F.col("header_split")) & (F.col("record") == F.col("header_record"))
     alone = ~F.col("inside") & (F.col("odd") == 0)
-    single = numbered.filter(alone & ~header).select("value")
+    single = numbered.filter(alone & ~header).select("value", *carried)
 
     head = F.col("begins_open") & (F.col("record") == F.col("first_record"))
     tail = F.col("ends_open") & (F.col("record") == F.col("last_record"))
@@ -214,9 +222,10 @@ def assemble_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
         .agg(
             F.expr("listagg(value, '\\n') within group (order by split, line)").alias("value"),
             F.bool_or(header).alias("header"),
+            *(F.first(name).alias(name) for name in carried),
         )
         .filter("not header")
-        .select("value")
+        .select("value", *carried)
     )
     return single.unionByName(several)
 
@@ -225,11 +234,22 @@ def read_quoted_records(
     spark: SparkSession,
     path: str,
     schema: StructType,
+    columns: Sequence[str],
     options: Mapping[str, str],
     scratch: str | None = None,
-) -> DataFrame:
-    """Rows of CSV files of any size, equal to a ``multiLine`` scan with a header."""
-    staged = stage_lines(spark, path, scratch or scratch_root(spark, "records"))
-    records = assemble_records(*staged).filter(F.length("value") > 0)
+) -> tuple[DataFrame, list[str]]:
+    """Rows of CSV files of any size, equal to a ``multiLine`` scan with a header, and the files left
+    out as irregular. ``schema`` is what the files hold; of ``columns`` the rest are partition columns."""
+    target = scratch or scratch_root(spark, "records")
+    lines, splits = stage_lines(spark, path, target)
+    split_states(splits).write.mode("overwrite").parquet(f"{target}/states")
+    states = spark.read.parquet(f"{target}/states")
+    irregular = irregular_files(states)
+    regular = states.filter(~F.col("file").isin(irregular)) if irregular else states
+    records = assemble_records(lines, regular.drop("odd", "lines")).filter(F.length("value") > 0)
     parsed = F.from_csv("value", schema.toDDL(), {**options, "multiLine": "true"})
-    return records.select(parsed.alias("row")).select("row.*")
+    row = records.withColumn("_row", parsed)
+    # a partition column stands for a column of its name in the files
+    partitions = {name.removeprefix(_CARRIED) for name in records.columns} - {"value"}
+    taken = [F.col(_CARRIED + name) if name in partitions else F.col("_row")[name] for name in columns]
+    return row.select(*(column.alias(name) for column, name in zip(taken, columns))), irregular

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -5,7 +7,7 @@ from pyspark.sql import SparkSession
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[8]"))
         .appName("marquee-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from plans import scan_metrics
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
@@ -194,3 +195,13 @@ def test_top_n_sorts_nothing_globally(hot):
 def test_counts_combine_before_they_shuffle(hot):
     plan = executed_plan(group_count(hot[3], ["person"], "n"))
     assert "partial_count" in plan
+
+
+def test_a_sorted_join_scans_its_tables_once(spark, tmp_path):
+    bridge = spark.range(5000).selectExpr("id % 100 as id", "id % 7 as person", "id as credit")
+    write_table(bridge, str(tmp_path), "bridge")
+    write_table(spark.range(100).selectExpr("id", "id * 3 as revenue"), str(tmp_path), "fact")
+    bridge, fact = (read_table(spark, str(tmp_path), name) for name in ("bridge", "fact"))
+    got = filter_join_sort(bridge, fact, "id", F.col("person") == 1, ["id", "revenue"], "revenue", ["credit"])
+    assert "BroadcastHashJoin" in executed_plan(got)
+    assert sorted(scan_metrics(got, "Scan parquet", "numOutputRows")) == [100, 5000]

@@ -1,5 +1,9 @@
 """Session helper and job entry points."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from catalogue import write_extracts
 
@@ -37,3 +41,12 @@ def test_jobs_from_the_command_line(spark, tmp_path, capfd):
     main(["run", "--raw", raw, "--curated", curated, "--analytics", answers, "--top", "2"])
     assert read_table(spark, answers, "top_revenue_movies").count() == 2
     assert read_table(spark, answers, "tom_cruise_revenue").count() == 0
+
+
+def test_a_job_starts_by_path_from_any_folder_and_ends(tmp_path):
+    script = Path(__file__).resolve().parents[1] / "marquee" / "__main__.py"
+    done = subprocess.run(
+        [sys.executable, str(script), "ping"], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "Hello" in done.stdout and "World" in done.stdout

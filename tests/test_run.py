@@ -1,5 +1,7 @@
 """The hand-made extract, end to end."""
 
+from uuid import uuid4
+
 import pytest
 from catalogue import write_extracts
 from pyspark.sql import functions as F
@@ -152,17 +154,44 @@ def test_run_twice_is_run_once(outcome, spark):
     assert again["top_directors"].count() == 2
 
 
-def test_split_reading_gives_the_same_tables(outcome, spark, conf, monkeypatch, tmp_path):
+def test_split_reading_gives_the_same_tables(outcome, spark, conf, tmp_path):
     multiline, table, _, folder = outcome
     if not multiline:
         pytest.skip("split reading is for quoted line breaks")
-    monkeypatch.setattr("marquee.sources.extracts.read_extract.__defaults__", (True, 0, None))
     conf("spark.sql.files.maxPartitionBytes", "100")
-    tables = curate(spark, str(folder / "raw"), str(tmp_path))
+    tables = curate(spark, str(folder / "raw"), str(tmp_path), split_records=True)
     for name, frame in tables.items():
         assert sorted(map(str, rows(frame))) == sorted(map(str, rows(table(name)))), name
 
 
+def scratch_of(path):
+    return sorted(folder.name for folder in path.glob("marquee-*"))
+
+
+def test_scratch_is_removed_also_after_a_failure(spark, monkeypatch, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "shared").mkdir()
+    raw = write_extracts(tmp_path / "raw")
+    monkeypatch.setattr(
+        "marquee.scratch.scratch_root", lambda spark, label: f"{tmp_path}/shared/marquee-{label}-{uuid4().hex}"
+    )
+    curate(spark, raw, str(tmp_path / "c"), split_records=True)
+    assert scratch_of(tmp_path / "shared") == []
+    curate(spark, raw, str(tmp_path / "c"), split_records=True, staged_root=str(tmp_path / "staged"))
+    assert sorted(path.name for path in (tmp_path / "staged").iterdir()) == ["credits", "movies"]
+
+    def broken(*_):
+        raise RuntimeError("no tables today")
+
+    monkeypatch.setattr("marquee.plans.curation.write_tables", broken)
+    with pytest.raises(RuntimeError, match="today"):
+        curate(spark, raw, str(tmp_path / "c"), split_records=True)
+    assert scratch_of(tmp_path / "shared") == []
+    with pytest.raises(RuntimeError, match="today"):
+        curate(spark, raw, str(tmp_path / "c"), staged_root=str(tmp_path / "staged"))
+    assert (tmp_path / "staged" / "movies").exists()
+
+
 def test_missing_input_stops_the_run(spark, tmp_path):
     write_extracts(tmp_path)
     with pytest.raises(FileNotFoundError, match="keywords.csv"):

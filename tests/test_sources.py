@@ -5,6 +5,7 @@ import random
 import warnings
 
 import pytest
+from plans import scan_metrics
 
 from marquee.scratch import scratch_root
 from marquee.sinks import preview, show_preview, write_table
@@ -46,13 +47,13 @@ def test_split_reading_equals_whole_file_reading(spark, conf, tmp_path, seed, sp
     for number in range(3):
         quoting = csv.QUOTE_ALL if number == 2 else csv.QUOTE_MINIMAL
         write_csv(folder / f"{number}.csv", random_rows(rng, count), "\n", quoting)
-    whole = read_extract(spark, str(folder), whole_file_limit=10**9)
+    whole = read_extract(spark, str(folder), split_records=False)
     expected = sorted_rows(whole)
     assert len(expected) == 3 * count
     conf("spark.sql.files.maxPartitionBytes", split_bytes)
     with warnings.catch_warnings():
         warnings.simplefilter("error")
-        split = read_extract(spark, str(folder), whole_file_limit=0, scratch=str(tmp_path / "scratch"))
+        split = read_extract(spark, str(folder), split_records=True, scratch=str(tmp_path / "scratch"))
     assert split.schema == whole.schema
     assert sorted_rows(split) == expected
 
@@ -62,7 +63,7 @@ def test_a_record_may_span_many_splits(spark, conf, tmp_path):
     rows = [["1", long, "end"], ["2", "short", long], ["3", "", "last"]]
     write_csv(tmp_path / "in.csv", rows)
     conf("spark.sql.files.maxPartitionBytes", "300")
-    got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+    got = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
     assert [tuple(row) for row in got.sort("id").collect()] == [
         ("1", long, "end"), ("2", "short", long), ("3", None, "last"),
     ]
@@ -81,10 +82,10 @@ LINE_ENDS = {
 @pytest.mark.parametrize("name", LINE_ENDS)
 def test_line_ends_are_taken_as_by_the_whole_file_scan(spark, conf, tmp_path, name):
     (tmp_path / "in.csv").write_bytes(LINE_ENDS[name].encode())
-    whole = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=10**9)
+    whole = read_extract(spark, str(tmp_path / "in.csv"), split_records=False)
     expected = sorted_rows(whole)
     conf("spark.sql.files.maxPartitionBytes", "12")
-    got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+    got = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
     assert got.columns == whole.columns
     assert sorted_rows(got) == expected
 
@@ -92,7 +93,7 @@ def test_line_ends_are_taken_as_by_the_whole_file_scan(spark, conf, tmp_path, na
 def test_header_with_a_line_break(spark, conf, tmp_path):
     (tmp_path / "in.csv").write_text('id,"two\nlines"\n1,"a"\n2,"b\nc"\n')
     conf("spark.sql.files.maxPartitionBytes", "9")
-    got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+    got = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
     assert got.columns == ["id", "two\nlines"]
     assert [tuple(row) for row in got.sort("id").collect()] == [("1", "a"), ("2", "b\nc")]
 
@@ -100,8 +101,8 @@ def test_header_with_a_line_break(spark, conf, tmp_path):
 def test_short_rows_and_missing_last_line_break(spark, tmp_path):
     (tmp_path / "in.csv").write_text('id,first,second\n1\n2,"x ""y"" z"\n3,,"q"')
     expected = [("1", None, None), ("2", 'x "y" z', None), ("3", None, "q")]
-    for limit in (0, 10**9):
-        got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=limit)
+    for limit in (True, False):
+        got = read_extract(spark, str(tmp_path / "in.csv"), split_records=limit)
         assert [tuple(row) for row in got.sort("id").collect()] == expected
 
 
@@ -121,11 +122,11 @@ IRREGULAR = {
 @pytest.mark.parametrize("split_bytes", ["7", "1000"])
 def test_irregular_quotes_are_left_to_the_whole_file_scan(spark, conf, tmp_path, name, split_bytes):
     (tmp_path / "in.csv").write_text("id,first,second\n" + IRREGULAR[name])
-    expected = sorted_rows(read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=10**9))
+    expected = sorted_rows(read_extract(spark, str(tmp_path / "in.csv"), split_records=False))
     conf("spark.sql.files.maxPartitionBytes", split_bytes)
     with warnings.catch_warnings(record=True) as caught:
         warnings.simplefilter("always")
-        got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+        got = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
     assert any("task per file" in str(w.message) for w in caught) or name == "control character"
     assert sorted_rows(got) == expected
 
@@ -134,23 +135,73 @@ def test_a_record_beyond_what_a_string_holds_is_refused(spark, conf, monkeypatch
     write_csv(tmp_path / "in.csv", [["1", "a\n" * 500, "b"]])
     conf("spark.sql.files.maxPartitionBytes", "100")
     monkeypatch.setattr("marquee.sources.records.MAX_RECORD", 400)
-    with pytest.warns(UserWarning, match="longest record"):
-        got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
-    assert got.count() == 1
+    with pytest.raises(ValueError, match="longer than a Spark string"):
+        read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
 
 
-def test_states_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, conf, monkeypatch, tmp_path):
-    rows = random_rows(random.Random(9), 30)
-    write_csv(tmp_path / "in.csv", rows)
+def test_only_irregular_files_are_read_whole(spark, conf, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rng = random.Random(4)
+    for number in range(2):
+        write_csv(folder / f"{number}.csv", random_rows(rng, 30))
+    (folder / "bad.csv").write_text('id,first,second\n1,5" disk,a\n2,"x\ny",b\n')
+    expected = sorted_rows(read_extract(spark, str(folder)))
+    conf("spark.sql.files.maxPartitionBytes", "100")
+    with pytest.warns(UserWarning, match="1 irregular files"):
+        got = read_extract(spark, str(folder), split_records=True, scratch=str(tmp_path / "scratch"))
+    assert sorted_rows(got) == expected
+    assert scan_metrics(got, "Scan csv", "numFiles") == [1]
+
+
+def test_splits_have_no_forced_broadcast(spark, conf, tmp_path):
+    write_csv(tmp_path / "in.csv", random_rows(random.Random(9), 30))
     conf("spark.sql.files.maxPartitionBytes", "200")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr("marquee.sources.records.MAX_BROADCAST_SPLITS", 0)
-    got = read_extract(spark, str(tmp_path / "in.csv"), whole_file_limit=0)
+    got = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
     assert sorted_rows(got) == sorted_rows(read_extract(spark, str(tmp_path / "in.csv")))
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def both_readers(spark, path):
+    return [read_extract(spark, path, split_records=split) for split in (False, True)]
+
+
+def test_partition_folders_give_columns_to_both_readers(spark, conf, tmp_path):
+    for year in (1, 2):
+        folder = tmp_path / "in" / f"y={year}"
+        folder.mkdir(parents=True)
+        write_csv(folder / "a.csv", [[str(year), "a\nb", "c"]])
+    conf("spark.sql.files.maxPartitionBytes", "9")
+    whole, split = both_readers(spark, str(tmp_path / "in"))
+    assert split.schema == whole.schema
+    assert sorted_rows(split) == sorted_rows(whole)
+    assert [tuple(row) for row in sorted_rows(split)] == [("1", "a\nb", "c", 1), ("2", "a\nb", "c", 2)]
+
+
+def test_a_partition_folder_stands_for_a_column_of_its_name(spark, tmp_path):
+    folder = tmp_path / "in" / "second=7"
+    folder.mkdir(parents=True)
+    write_csv(folder / "a.csv", [["1", "a", "c"]])
+    whole, split = both_readers(spark, str(tmp_path / "in"))
+    assert split.schema == whole.schema
+    assert sorted_rows(split) == sorted_rows(whole)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("split_bytes", ["3", "1000"])
+def test_blank_lines_before_the_header_are_skipped(spark, conf, tmp_path, end, split_bytes):
+    text = end * 5 + f'id,"fir{end}st"{end}1,a{end}{end}2,"b{end}c"{end}'
+    (tmp_path / "in.csv").write_bytes(text.encode())
+    whole = read_extract(spark, str(tmp_path / "in.csv"))
+    expected = sorted_rows(whole)
+    conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    split = read_extract(spark, str(tmp_path / "in.csv"), split_records=True)
+    assert split.columns == whole.columns
+    assert sorted_rows(split) == expected and len(expected) == 2
+
+
 def test_reading_without_multiline_ends_records_at_line_breaks(spark, tmp_path):
     write_csv(tmp_path / "in.csv", [["1", "a\nb", "c"]])
     got = read_extract(spark, str(tmp_path / "in.csv"), multiline=False)
@@ -177,6 +228,17 @@ def test_gate_reports_exactly_the_missing_names(spark, tmp_path):
     require_inputs(spark, str(tmp_path), ["a.csv", "folder.csv"])
 
 
+def test_files_in_plain_folders_are_reported(spark, tmp_path):
+    (tmp_path / "m.csv" / "sub").mkdir(parents=True)
+    (tmp_path / "m.csv" / "sub" / "b").write_text("id\n1\n")
+    assert names(missing_inputs(spark, str(tmp_path), ["m.csv"])) == ["m.csv"]
+    (tmp_path / "m.csv" / "a").write_text("id\n2\n")
+    assert names(missing_inputs(spark, str(tmp_path), ["m.csv"])) == []
+    assert read_extract(spark, str(tmp_path / "m.csv")).count() == 1
+    with pytest.raises(ValueError, match="sub/b"):
+        require_inputs(spark, str(tmp_path), ["m.csv"])
+
+
 def test_overwrite_replaces_everything(spark, tmp_path):
     root = str(tmp_path)
     write_table(literal_rows(spark, [(1, "x"), (2, "y")], "id int, text string"), root, "t")

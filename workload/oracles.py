@@ -103,7 +103,7 @@ _REPORT = " union all ".join(
     for source, check, rows in _LOSSES
 )
 
-_DOCUMENTS = "select doc_id, text, lang from documents"
+_DOCUMENTS = "select doc_id, text, lang, source, n_chars from documents"
 
 ORACLES = {
     "top_n": f"""
@@ -148,6 +148,14 @@ ORACLES = {
     "json_object_field": "select event_id, cast(props->>'$.k' as integer) as k from events",
     "csv_scan": _DOCUMENTS,
     "csv_scan_in_splits": _DOCUMENTS,
+    "csv_scan_single_line": """
+        select doc_id, replace(replace(text, chr(13), ' '), chr(10), ' ') as text, lang, source, n_chars
+        from documents
+    """,
+    "csv_scan_irregular": f"""
+        {_DOCUMENTS} union all
+        select doc_id, '5" disk', lang, source, n_chars from documents where n_chars < 500
+    """,
     "lenient_cast": """
         select l_orderkey, l_linenumber,
                try_cast(case l_linenumber when 1 then l_partkey when 2 then l_partkey
