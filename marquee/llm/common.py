@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from tempfile import mkdtemp
 from weakref import WeakSet
@@ -11,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import marquee
-from marquee.scratch import scratch_root
+from marquee.scratch import remove_folder, scratch_root
 
 _shipped: WeakSet = WeakSet()
+_written: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +44,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_root(spark, label)
+    _written.append(path)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def removing_written(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``written`` makes in the block when it ends, also by an error."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[start:]:
+            remove_folder(spark, path)
+        del _written[start:]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that no column of the frame has, whatever the case."""
     taken = {column.lower() for column in df.columns}

@@ -37,9 +37,9 @@ PLACES = 3
 CLASS_RATIO = 1.3
 # A word in at most so many items is rare.
 RARE = 2
-# Items in a block, which a task holds as a whole, and bytes of one that is sent.
+# Items and bytes of text in a block, which a task holds as a whole.
 BLOCK_ITEMS = 20_000
-LONGEST_ITEM = 1 << 20
+BLOCK_BYTES = 16 << 20
 
 _PAD = np.uint64(0)
 
@@ -201,11 +201,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The distinct items in blocks of bounded size."""
     items = written(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-        .filter(F.octet_length("text") <= LONGEST_ITEM)
+        .filter(F.col("text").isNotNull())
         .distinct(),
         "items",
     )
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    count, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    blocks = max(1, -(-count // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
     spread = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = items.filter(spread == block).collect()
