@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.chosen_path import near_duplicates
-from marquee.llm.common import fresh, table, training_part, written
+from marquee.llm.common import fresh, removing_written, table, training_part, written
 from marquee.llm.decontamination import contaminated
 from marquee.llm.language_bloom import UNKNOWN, identify_languages, learn_filter
 from marquee.llm.queries import END_ID
 from marquee.llm.token_frames import tokenizer_path
 from marquee.llm.toxicity_cnn import fit, labelled_sample, score_documents
 from marquee.llm.window_packing import pack_documents
+from marquee.scratch import remove_folder, scratch_root
 
 # A text is in a language if that share of its n-grams is: prose has nearly all of them.
 READABLE = 0.4
@@ -102,8 +103,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. What a stage leaves in the scratch folder goes when the next
+    one has read it; the table behind the returned frame stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_root(spark, f"pipeline-{name}")
+        with removing_written(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
