@@ -47,6 +47,8 @@ BLOCK = "kind int, bucket long, part long, a binary, b binary, c binary"
 _BLOCK_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("bucket", pa.int64()), ("part", pa.int64())] + [(x, pa.binary()) for x in "abc"]
 )
+# Code lengths are sent in whole numbers of this part of a bit.
+_GRAIN = 4096
 _END = "\n"
 _NODE_BITS = np.uint64(8)
 
@@ -402,7 +404,9 @@ def _answers(blocks: DataFrame, model: DataFrame, parts: int, top) -> DataFrame:
         if asking.num_rows and known.num_rows:
             kind = known.column("kind")[0].as_py()
             keys, counts = _merged(known)
-            values = code_lengths(keys, counts, *top.value).astype(np.float32) if kind == GRAMS else counts
+            values = counts
+            if kind == GRAMS:
+                values = np.rint(code_lengths(keys, counts, *top.value) * _GRAIN).astype(np.uint32)
             for part, a in zip(asking.column("part").to_pylist(), asking.column("a").to_pylist()):
                 own = values[np.searchsorted(keys, unpack(a, np.uint64, ascending=True))]
                 out.append({"kind": kind, "bucket": -1, "part": part, "a": a, "b": pack(own), "c": None})
@@ -436,7 +440,7 @@ def _scored(tokens: int, distinct: int):
         ids = np.frombuffer(text.column("b")[0].as_py(), dtype="<i8")
         flags = np.frombuffer(text.column("c")[0].as_py(), dtype=np.uint8)
         texts = pa.array(body.decode().split(_END))
-        known, lengths = _table(answers, GRAMS, np.float32)
+        known, lengths = _table(answers, GRAMS, np.uint32)
         words_known, word_counts = _table(answers, WORDS, np.int64)
         bits, base = np.zeros(len(ids)), np.zeros(len(ids))
         n_tokens, n_known = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
@@ -453,7 +457,7 @@ def _scored(tokens: int, distinct: int):
             first = _runs(packed)
             times = np.diff(np.append(first, len(packed)))
             packed = packed[first]
-            cost = lengths[np.searchsorted(known, packed >> np.uint64(8))].astype(np.float64)
+            cost = lengths[np.searchsorted(known, packed >> np.uint64(8))] / _GRAIN
             bits[at:stop] = np.bincount((packed & np.uint64(255)).astype(np.int64), cost * times, minlength=stop - at)
             words = Words(own)
             number = np.searchsorted(words_known, np.append(hash_words(words.vocabulary), _end_hash()))
@@ -491,7 +495,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     probabilities of the sequence of words, their letters A-Z lowered. Null texts count as empty:
     they have an end only. Repeated rows are learnt from and scored each; an empty table gives no
     rows; with nothing to learn from, every bit of a text costs a bit. Words are counted by 64-bit
-    hashes. Other columns are ignored.
+    hashes, code lengths of bytes rounded to 1/4096 bit. Other columns are ignored.
     """
     spark = docs.sparkSession
     buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
