@@ -34,7 +34,7 @@ from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, slices
 
 DEPTH = 6
 # Bytes of text in a part, and the most parts whose counts one task call puts together.
-PART_BYTES = 14 << 20
+PART_BYTES = 10 << 20
 FAN_IN = 128
 # Bytes of text that a task works on at a time.
 STEP_BYTES = 2 << 20
@@ -112,45 +112,71 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rolling[places], rows
 
 
-def counted_parts(docs: DataFrame, buckets: int) -> DataFrame:
-    """Blocks of all parts: their texts, and their counts of byte sequences and words by bucket.
+class PartCounts:
+    """Distinct byte sequences and words of some texts, with their counts in training texts; of
+    those that occur in held-out texts only, the count is 0."""
+
+    def __init__(self) -> None:
+        self.parts: dict[int, tuple[list, list]] = {GRAMS: ([], []), WORDS: ([], [])}
+
+    def add(self, texts: pa.Array, held_out: np.ndarray) -> None:
+        keys, rows = grams(texts)
+        # the lowest bit tells training from held-out occurrences
+        marked = keys << np.uint64(1) | (~held_out[rows]).astype(np.uint64)
+        marked.sort()
+        first = _runs(marked >> np.uint64(1))
+        self._hold(GRAMS, (marked >> np.uint64(1))[first], np.add.reduceat(marked & np.uint64(1), first))
+        words = Words(texts)
+        learnt = np.repeat(~held_out, np.diff(words.offsets))
+        hashes = np.append(hash_words(words.vocabulary), _end_hash())
+        counts = np.bincount(words.codes[learnt], minlength=len(hashes))
+        counts[-1] = np.count_nonzero(~held_out)
+        self._hold(WORDS, hashes, counts)
+
+    def _hold(self, kind: int, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts[kind][0].append(keys)
+        self.parts[kind][1].append(counts.astype(np.int32))
+
+    def by_bucket(self, kind: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and counts by bucket, ascending in each, and where each bucket ends. Forgets them."""
+        keys, counts = summed(*self.parts.pop(kind))
+        bucket = _bucket(kind, keys, buckets)
+        order = np.argsort(bucket, kind="stable")
+        return keys[order], counts[order], np.cumsum(np.bincount(bucket, minlength=buckets))
 
-    Of sequences and words that occur in held-out texts only, the count is 0.
-    """
+
+def counted_parts(docs: DataFrame, buckets: int) -> DataFrame:
+    """Blocks of all parts: their texts, and their counts of byte sequences and words by bucket."""
     ship(docs.sparkSession)
 
-    def split(kind: int, part: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[dict]:
-        bucket = _bucket(kind, keys, buckets)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-        for k in range(buckets):
-            rows = order[ends[k - 1] if k else 0 : ends[k]]
-            if len(rows):
-                a, b = pack(keys[rows], ascending=True), pack(counts[rows].astype(np.int64))
-                yield {"kind": kind, "bucket": k, "part": part, "a": a, "b": b, "c": None}
-
-    def flush(part: int, texts: list[pa.Array], ids: list, flags: list, parts: dict) -> pa.RecordBatch:
+    def flush(part: int, texts: list[pa.Array], ids: list, flags: list, held: PartCounts) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         body = pc.binary_join(pa.ListArray.from_arrays([0, sum(map(len, texts))], pa.concat_arrays(texts)), _END)
-        rows = [
-            {
-                "kind": TEXT,
-                "bucket": -1,
-                "part": part,
-                "a": zstandard.ZstdCompressor(level=3).compress(body[0].as_buffer()),
-                "b": np.concatenate(ids).astype("<i8").tobytes(),
-                "c": np.concatenate(flags).astype(np.uint8).tobytes(),
-            }
-        ]
-        for kind, (keys, counts) in parts.items():
-            rows += split(kind, part, *summed(keys, counts))
-        return pa.RecordBatch.from_pylist(rows, _BLOCK_SCHEMA)
+        texts.clear()
+        whole = {
+            "kind": TEXT,
+            "bucket": -1,
+            "part": part,
+            "a": zstandard.ZstdCompressor(level=3).compress(body[0].as_buffer()),
+            "b": np.concatenate(ids).astype("<i8").tobytes(),
+            "c": np.concatenate(flags).astype(np.uint8).tobytes(),
+        }
+        del body
+        yield pa.RecordBatch.from_pylist([whole], _BLOCK_SCHEMA)
+        for kind in (GRAMS, WORDS):
+            keys, counts, ends = held.by_bucket(kind, buckets)
+            rows, begin = [], 0
+            for bucket, end in enumerate(ends.tolist()):
+                if end > begin:
+                    a, b = pack(keys[begin:end], ascending=True), pack(counts[begin:end].astype(np.int64))
+                    rows.append({"kind": kind, "bucket": bucket, "part": part, "a": a, "b": b, "c": None})
+                begin = end
+            yield pa.RecordBatch.from_pylist(rows, _BLOCK_SCHEMA)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 24
-        texts, ids, flags, size = [], [], [], 0
-        parts: dict = {GRAMS: ([], []), WORDS: ([], [])}
+        texts, ids, flags, size, held = [], [], [], 0, PartCounts()
         for batch in batches:
             for piece in slices(batch, size=STEP_BYTES):
                 own = normalized(filled(piece.column("text")))
@@ -159,27 +185,14 @@ def counted_parts(docs: DataFrame, buckets: int) -> DataFrame:
                 texts.append(own)
                 ids.append(doc_ids.fill_null(0).to_numpy(zero_copy_only=False))
                 flags.append(held_out + 2 * doc_ids.is_null().to_numpy(zero_copy_only=False))
-                keys, rows = grams(own)
-                # the lowest bit tells training from held-out occurrences
-                marked = np.sort(keys << np.uint64(1) | (~held_out[rows]).astype(np.uint64))
-                first = _runs(marked >> np.uint64(1))
-                parts[GRAMS][0].append((marked >> np.uint64(1))[first])
-                parts[GRAMS][1].append(np.add.reduceat(marked & np.uint64(1), first).astype(np.int64))
-                words = Words(own)
-                learnt = np.repeat(~held_out, np.diff(words.offsets))
-                hashes = np.append(hash_words(words.vocabulary), _end_hash())
-                counts = np.bincount(words.codes[learnt], minlength=len(hashes)).astype(np.int64)
-                counts[-1] = np.count_nonzero(~held_out)
-                parts[WORDS][0].append(hashes)
-                parts[WORDS][1].append(counts)
+                held.add(own, held_out)
                 size += pc.sum(pc.binary_length(own)).as_py() or 0
                 if size >= PART_BYTES:
-                    yield flush(part, texts, ids, flags, parts)
+                    yield from flush(part, texts, ids, flags, held)
                     part += 1
-                    texts, ids, flags, size = [], [], [], 0
-                    parts = {GRAMS: ([], []), WORDS: ([], [])}
+                    texts, ids, flags, size, held = [], [], [], 0, PartCounts()
         if texts:
-            yield flush(part, texts, ids, flags, parts)
+            yield from flush(part, texts, ids, flags, held)
 
     return docs.mapInArrow(count, BLOCK)
 
@@ -395,21 +408,21 @@ def _word_totals(model: DataFrame) -> tuple[int, int]:
 
 
 def _answers(blocks: DataFrame, model: DataFrame, parts: int, top) -> DataFrame:
-    """For every part and bucket: its byte sequences with their code lengths, its words with their
-    counts. A model block goes to each group of ``FAN_IN`` parts."""
+    """For every part and bucket the code lengths of its byte sequences or the counts of its words, in
+    the order it asked. A model block goes to each group of ``FAN_IN`` parts."""
     groups = max(1, -(-parts // FAN_IN))
 
     def answer(asking: pa.Table, known: pa.Table) -> pa.Table:
         out = []
         if asking.num_rows and known.num_rows:
-            kind = known.column("kind")[0].as_py()
+            kind, bucket = known.column("kind")[0].as_py(), known.column("bucket")[0].as_py()
             keys, counts = _merged(known)
             values = counts
             if kind == GRAMS:
                 values = np.rint(code_lengths(keys, counts, *top.value) * _GRAIN).astype(np.uint32)
             for part, a in zip(asking.column("part").to_pylist(), asking.column("a").to_pylist()):
                 own = values[np.searchsorted(keys, unpack(a, np.uint64, ascending=True))]
-                out.append({"kind": kind, "bucket": -1, "part": part, "a": a, "b": pack(own), "c": None})
+                out.append({"kind": kind, "bucket": bucket, "part": part, "a": None, "b": pack(own), "c": None})
         return pa.Table.from_pylist(out, _BLOCK_SCHEMA)
 
     left = blocks.filter(F.col("kind") != TEXT).withColumn("spread", F.pmod(F.xxhash64("part"), F.lit(groups)))
@@ -418,9 +431,10 @@ def _answers(blocks: DataFrame, model: DataFrame, parts: int, top) -> DataFrame:
     return left.drop("b", "c").groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, BLOCK)
 
 
-def _table(rows: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
-    own = rows.filter(pc.equal(rows.column("kind"), kind))
-    keys = np.concatenate([unpack(x, np.uint64, ascending=True) for x in own.column("a").to_pylist()])
+def _table(asked: PartCounts, kind: int, buckets: int, answers: pa.Table, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """A part's keys, ascending, and what the buckets answered for them."""
+    keys, _, _ = asked.by_bucket(kind, buckets)
+    own = answers.filter(pc.equal(answers.column("kind"), kind)).sort_by("bucket")
     values = np.concatenate([unpack(x, dtype) for x in own.column("b").to_pylist()])
     order = np.argsort(keys)
     return keys[order], values[order]
@@ -432,7 +446,7 @@ SCORES = (
 )
 
 
-def _scored(tokens: int, distinct: int):
+def _scored(tokens: int, distinct: int, buckets: int):
     def score(text: pa.Table, answers: pa.Table) -> pa.Table:
         import zstandard
 
@@ -440,8 +454,11 @@ def _scored(tokens: int, distinct: int):
         ids = np.frombuffer(text.column("b")[0].as_py(), dtype="<i8")
         flags = np.frombuffer(text.column("c")[0].as_py(), dtype=np.uint8)
         texts = pa.array(body.decode().split(_END))
-        known, lengths = _table(answers, GRAMS, np.uint32)
-        words_known, word_counts = _table(answers, WORDS, np.int64)
+        asked = PartCounts()
+        for piece in slices(pa.record_batch([texts], names=["text"]), size=STEP_BYTES):
+            asked.add(piece.column("text"), np.ones(piece.num_rows, dtype=bool))
+        known, lengths = _table(asked, GRAMS, buckets, answers, np.uint32)
+        words_known, word_counts = _table(asked, WORDS, buckets, answers, np.int64)
         bits, base = np.zeros(len(ids)), np.zeros(len(ids))
         n_tokens, n_known = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
         logs = np.log10((word_counts + 1.0) / (tokens + distinct + 1.0))
@@ -511,7 +528,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     top = spark.sparkContext.broadcast(_top_table(model))  # at most 2**16 * 255 nodes
     tokens, distinct = _word_totals(model)
     answers = _answers(blocks, model, parts, top)
-    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_scored(tokens, distinct), SCORES)
+    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_scored(tokens, distinct, buckets), SCORES)
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
