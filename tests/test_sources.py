@@ -190,7 +190,7 @@ def test_a_partition_folder_stands_for_a_column_of_its_name(spark, tmp_path):
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
-@pytest.mark.parametrize("split_bytes", ["3", "1000"])
+@pytest.mark.parametrize("split_bytes", ["20", "1000"])
 def test_blank_lines_before_the_header_are_skipped(spark, conf, tmp_path, end, split_bytes):
     text = end * 5 + f'id,"fir{end}st"{end}1,a{end}{end}2,"b{end}c"{end}'
     (tmp_path / "in.csv").write_bytes(text.encode())
