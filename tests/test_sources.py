@@ -119,7 +119,7 @@ IRREGULAR = {
 
 
 @pytest.mark.parametrize("name", IRREGULAR)
-@pytest.mark.parametrize("split_bytes", ["7", "1000"])
+@pytest.mark.parametrize("split_bytes", ["16", "1000"])
 def test_irregular_quotes_are_left_to_the_whole_file_scan(spark, conf, tmp_path, name, split_bytes):
     (tmp_path / "in.csv").write_text("id,first,second\n" + IRREGULAR[name])
     expected = sorted_rows(read_extract(spark, str(tmp_path / "in.csv"), split_records=False))
