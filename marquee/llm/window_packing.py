@@ -31,8 +31,9 @@ from marquee.llm.tokens import encoder, with_end
 SIZE = 4096
 SENTENCE_CUT = 8
 HARD_CUT = 64
-# Cut points inside runs without sentence ends lie so many tokens apart.
-HARD_STRIDE = 256
+# Runs of more tokens than this without a sentence end have cut points inside, so far apart.
+HARD_RUN = 128
+HARD_STRIDE = 16
 # A block of the dynamic program has at least so many windows; all but its last two are final.
 BLOCK_WINDOWS = 64
 
@@ -62,10 +63,10 @@ def cut_points(offsets: np.ndarray, ends: np.ndarray, size: int = SIZE) -> tuple
     ``offsets`` are document borders from 0 to the number of ids, ``ends`` the places after
     sentence ends, both ascending. No two cut points in a row are more than ``size`` apart.
     """
-    stride = min(HARD_STRIDE, size)
+    run, stride = min(HARD_RUN, size), min(HARD_STRIDE, size)
     soft = _union(offsets, ends)
     gaps = np.diff(soft)
-    wide = gaps > stride
+    wide = gaps > run
     per_gap = (gaps[wide] - 1) // stride
     inner = np.repeat(soft[:-1][wide], per_gap) + stride * (
         np.arange(int(per_gap.sum())) - np.repeat(np.cumsum(per_gap) - per_gap, per_gap) + 1
