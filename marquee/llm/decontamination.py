@@ -1,17 +1,15 @@
-"""Benchmark passages in documents: edit distance by random-walk embedding and bit-sampling.
-
-Items and texts are sequences of words. A window of an item's size starts at every word of a
-text. The CGK embedding walks along a sequence: each step writes the current word and moves on or
-stays as a random bit of step and word says, so that after an edit two walks soon fall into step
-again, and a small edit distance becomes a small Hamming distance. Bit-sampling hashes a few places
-of the embedding; repeated with independent walks, it brings an item and a window within the distance
-together with the target recall. What it brings together is confirmed by the exact edit
-distance between the item and any part of the text that begins at the window.
-
-A window can only be within ``d`` edits of an item of ``n`` words if at least ``n - d`` of its
-words are words of the benchmark, and as many of its rare words (found in few items) as it has,
-less ``d``. Windows that fail these counts are skipped before they are embedded, which loses
-nothing. Items go to the tasks in blocks of bounded size.
+"""Benchmark passages in documents: edit distance, with candidates by the pigeonhole principle.
+
+Items and texts are sequences of words. An item within which ``d`` edits are allowed is cut into
+``d + 1`` pieces of three to five words: wherever the edits are, one piece has none, and stands in
+the text at most ``d`` words from its place in the passage. So the texts' runs of words are looked up
+among the pieces, and no passage within the distance is missed. What a piece names is confirmed by
+the exact edit distance between the item and any part of the text that begins near by.
+
+A passage can only be within ``d`` edits of an item of ``n`` words if at least ``n - d`` words
+around it are words of the benchmark, and as many of its rare words (found in few items) as it has,
+less ``d``. Candidates that fail these counts are skipped, which loses nothing. Items go to the
+tasks in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -30,111 +28,91 @@ from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, ragged
 # Edits per item, as a share of its words; shorter items name no passage.
 EDITS = 0.2
 SHORTEST = 8
-# Walks, and places sampled from each.
-WALKS = 24
-PLACES = 3
-# Items of one size class differ by this factor in words at most.
-CLASS_RATIO = 1.3
 # A word in at most so many items is rare.
 RARE = 2
 # Items and bytes of text in a block, which a task holds as a whole.
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 
-_PAD = np.uint64(0)
+# Candidates that are checked at once, which bounds a task's memory, not the result.
+CANDIDATES = 1 << 20
 
 
 @dataclass
-class SizeClass:
-    """Items of like size: ``shortest`` to ``longest`` words, ``edits`` edits at most. Within
-    ``longest + edits`` words from where a match begins are ``rare`` rare words at least."""
+class Pieces:
+    """Pieces of equal length, sorted by key: the item of each, and where in the item it begins."""
 
-    shortest: int
-    longest: int
-    edits: int
-    rare: int
-    keys: np.ndarray  # sorted bucket keys over all walks
-    items: np.ndarray  # the item of each key
+    keys: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
 
 
 @dataclass
 class Index:
     items: list[tuple[int, np.ndarray]]  # item id and word hashes
     sets: list[set[int]]  # the distinct words of each
+    sizes: np.ndarray  # its words
+    edits: np.ndarray  # the edits allowed
+    least_rare: np.ndarray  # rare words that a passage within them has at least
     vocabulary: np.ndarray
     rare: np.ndarray
-    classes: list[SizeClass]
-
-
-def _steps(shortest: int) -> np.ndarray:
-    """For each walk the steps whose words are sampled: early enough to lie inside the item."""
-    rng = np.random.default_rng(shortest)
-    reach = max(PLACES, int(0.8 * shortest))
-    return np.stack([np.sort(rng.choice(reach, PLACES, replace=False)) for _ in range(WALKS)])
-
-
-def bucket_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, shortest: int) -> Iterator[np.ndarray]:
-    """Per walk the bucket of each sequence ``words[start:end]``. Beyond its end a sequence goes on
-    with padding."""
-    if not len(words):
-        words = np.zeros(1, dtype=np.uint64)
-    for walk, sampled in enumerate(_steps(shortest)):
-        place = starts.copy()
-        key = np.full(len(starts), walk + 1, dtype=np.uint64)
-        taken = set(sampled.tolist())
-        for step in range(int(sampled[-1]) + 1):
-            word = np.where(place < ends, words[np.minimum(place, len(words) - 1)], _PAD)
-            if step in taken:
-                key = mix(key * np.uint64(31) + word)
-            seed = np.uint64((walk * 1_000_003 + step + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            place = place + (mix(word ^ seed) & np.uint64(1)).astype(np.int64)
-        yield key
+    pieces: dict[int, Pieces]  # by their length
+
+
+def run_keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A key per run of so many words from each start on."""
+    key = np.full(len(starts), length, dtype=np.uint64)
+    for step in range(length):
+        key = mix(key * np.uint64(31) + words[starts + step])
+    return key
 
 
 def build_index(items: list[tuple[int, str]]) -> Index:
-    """Items of ``SHORTEST`` words at least, by size, in the buckets of all walks."""
+    """Items of ``SHORTEST`` words at least, and their pieces."""
     words = Words(lower_ascii(pa.array([text for _, text in items], pa.string())))
     hashes = hash_words(words.vocabulary)[words.codes] if len(words.codes) else np.zeros(0, dtype=np.uint64)
     bounds = list(zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist()))
-    kept = sorted(
-        ((item, hashes[a:b], a, b) for (item, _), (a, b) in zip(items, bounds) if b - a >= SHORTEST),
-        key=lambda x: (len(x[1]), x[0]),
-    )
-    each = np.concatenate([np.unique(x[1]) for x in kept]) if kept else hashes[:0]
+    kept = [(item, hashes[a:b], a) for (item, _), (a, b) in zip(items, bounds) if b - a >= SHORTEST]
+    owned = [own for _, own, _ in kept]
+    each = np.concatenate([np.unique(own) for own in owned]) if kept else hashes[:0]
     vocabulary, items_with = np.unique(each, return_counts=True)
     rare = vocabulary[items_with <= RARE]
-    classes, at = [], 0
-    while at < len(kept):
-        shortest = len(kept[at][1])
-        stop = at
-        while stop < len(kept) and len(kept[stop][1]) <= CLASS_RATIO * shortest:
-            stop += 1
-        starts = np.array([x[2] for x in kept[at:stop]])
-        ends = np.array([x[3] for x in kept[at:stop]])
-        keys = np.concatenate(list(bucket_keys(hashes, starts, ends, shortest)))
-        owners = np.tile(np.arange(at, stop), WALKS)
+    sizes = np.array([len(own) for own in owned], dtype=np.int64)
+    edits = (EDITS * sizes).astype(np.int64)
+    owner = np.repeat(np.arange(len(kept)), edits + 1)
+    number = ragged(np.zeros(len(kept), dtype=np.int64), edits + 1)
+    place = number * sizes[owner] // (edits[owner] + 1)
+    length = (number + 1) * sizes[owner] // (edits[owner] + 1) - place
+    begin = np.array([a for _, _, a in kept], dtype=np.int64)[owner] + place
+    pieces = {}
+    for size in np.unique(length).tolist():
+        own = np.flatnonzero(length == size)
+        keys = run_keys(hashes, begin[own], size)
         order = np.argsort(keys, kind="stable")
-        longest = len(kept[stop - 1][1])
-        fewest = min(int(np.isin(x[1], rare).sum()) - int(EDITS * len(x[1])) for x in kept[at:stop])
-        classes.append(SizeClass(shortest, longest, int(EDITS * longest), fewest, keys[order], owners[order]))
-        at = stop
-    return Index([(x[0], x[1]) for x in kept], [set(x[1].tolist()) for x in kept], vocabulary, rare, classes)
-
+        pieces[size] = Pieces(keys[order], owner[own][order], place[own][order])
+    least_rare = np.array([np.isin(own, rare).sum() for own in owned], dtype=np.int64) - edits
+    return Index(
+        [(item, own) for item, own, _ in kept],
+        [set(own.tolist()) for own in owned],
+        sizes,
+        edits,
+        least_rare,
+        vocabulary,
+        rare,
+        pieces,
+    )
 
-def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
-    """Least edits of words from the item to a prefix of ``words``, and that prefix's length.
 
-    Bit-parallel dynamic programming, a column per word; of equal distances the longest prefix
-    not longer than the item, else the shortest, is taken.
-    """
+def _column(item: np.ndarray, words: np.ndarray, anywhere: bool) -> Iterator[int]:
+    """After each word the least edits between the item and the words up to there: all of them, or
+    if ``anywhere`` those from any word on. Bit-parallel dynamic programming, a column per word."""
     size = len(item)
     masks: dict[int, int] = {}
     for i, word in enumerate(item.tolist()):
         masks[word] = masks.get(word, 0) | 1 << i
     full, top = (1 << size) - 1, 1 << (size - 1)
-    up, down, score = full, 0, size
-    best, length = size, 0
-    for j, word in enumerate(words.tolist(), 1):
+    up, down, score, first = full, 0, size, int(not anywhere)
+    for word in words.tolist():
         equal = masks.get(word, 0)
         across = equal | down
         diagonal = (((equal & up) + up) ^ up) | equal
@@ -144,15 +122,33 @@ def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
             score += 1
         elif less & top:
             score -= 1
-        more = (more << 1 | 1) & full
+        more = (more << 1 | first) & full
         less = less << 1 & full
         up = less | (full & ~(across | more))
         down = more & across
-        if score < best or (score == best and j <= size):
+        yield score
+
+
+def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
+    """Least edits of words from the item to a prefix of ``words``, and that prefix's length.
+
+    Of equal distances the longest prefix not longer than the item, else the shortest, is taken.
+    """
+    best, length = len(item), 0
+    for j, score in enumerate(_column(item, words, anywhere=False), 1):
+        if score < best or (score == best and j <= len(item)):
             best, length = score, j
     return best, length
 
 
+def least_start(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
+    """Least edits between the item and any part of the words, and the first word such a part
+    begins at."""
+    scores = list(_column(item[::-1], words[::-1], anywhere=True))[::-1]
+    start = int(np.argmin(scores))
+    return scores[start], start
+
+
 def find_passages(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
     """Text, item, least distance, first word and number of words of the best match per pair."""
     words = Words(lower_ascii(texts))
@@ -163,38 +159,60 @@ def find_passages(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, int
         return np.concatenate([[0], np.cumsum(np.isin(known, some)[words.codes])]) if len(hashes) else np.zeros(1)
 
     covered, rare = running(index.vocabulary), running(index.rare)
-    ends = np.repeat(words.offsets[1:], np.diff(words.offsets))
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for group in index.classes:
-        starts = np.arange(len(hashes))
-        stops = np.minimum(starts + group.shortest, ends)
-        starts = starts[covered[stops] - covered[starts] >= group.shortest - group.edits]
-        stops = np.minimum(starts + group.longest + group.edits, ends[starts])
-        starts = starts[rare[stops] - rare[starts] >= group.rare]
-        if not len(starts):
-            continue
-        met = []
-        for key in bucket_keys(hashes, starts, ends[starts], group.shortest):
-            low = np.searchsorted(group.keys, key, side="left")
-            many = np.searchsorted(group.keys, key, side="right") - low
-            rows = np.flatnonzero(many)
-            items = group.items[ragged(low[rows], many[rows])]
-            met.append(np.repeat(starts[rows], many[rows]) * len(index.items) + items)
-        for pair in np.unique(np.concatenate(met)).tolist():
-            start, item = divmod(pair, len(index.items))
-            name, own = index.items[item]
-            most = int(EDITS * len(own))
-            reach = hashes[start : min(start + len(own) + most, int(ends[start]))]
+    text_of = np.repeat(np.arange(len(texts)), np.diff(words.offsets))
+    ends = words.offsets[1:][text_of]
+    met: list[np.ndarray] = [np.zeros((0, 3), dtype=np.int64)]
+    for length, pieces in index.pieces.items():
+        at = np.arange(len(hashes) - length + 1)
+        at = at[(at + length <= ends[at]) & (covered[at + length] - covered[at] == length)]
+        key = run_keys(hashes, at, length)
+        low = np.searchsorted(pieces.keys, key, side="left")
+        many = np.searchsorted(pieces.keys, key, side="right") - low
+        at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        done = np.cumsum(many)
+        first = 0
+        while first < len(at):
+            before = done[first - 1] if first else 0
+            stop = max(first + 1, int(np.searchsorted(done, before + CANDIDATES, side="right")))
+            named = ragged(low[first:stop], many[first:stop])
+            near = np.repeat(at[first:stop], many[first:stop])
+            met.append(_possible(index, words.offsets, covered, rare, text_of, near, pieces, named))
+            first = stop
+    pairs = np.unique(np.concatenate(met), axis=0)
+    borders = np.flatnonzero(np.any(np.diff(pairs[:, :2], axis=0), axis=1)) + 1
+    for group in np.split(pairs, borders) if len(pairs) else []:
+        text, item = int(group[0, 0]), int(group[0, 1])
+        name, own = index.items[item]
+        most, first, end = int(index.edits[item]), int(words.offsets[text]), int(words.offsets[text + 1])
+        found = None
+        # a passage begins within ``most`` words of where a piece says; what overlaps is read once
+        breaks = np.flatnonzero(np.diff(group[:, 2]) > 2 * most + 1) + 1
+        for starts in np.split(group[:, 2], breaks):
+            low, high = max(first, int(starts[0]) - most), int(starts[-1]) + len(own) + 2 * most
+            reach = hashes[low : min(high, end)]
             if sum(word in index.sets[item] for word in reach.tolist()) < len(own) - most:
                 continue
-            distance, length = edit_distance(own, reach)
-            if distance <= most:
-                text = int(np.searchsorted(words.offsets, start, side="right")) - 1
-                found = (distance, start - int(words.offsets[text]), length)
-                key = (text, name)
-                best[key] = min(best.get(key, found), found)
-    for (text, name), (distance, start, length) in sorted(best.items()):
-        yield text, name, distance, start, length
+            distance, start = least_start(own, reach)
+            if distance <= most and (found is None or distance < found[0]):
+                found = distance, low + start
+                if not distance:
+                    break
+        if found:
+            distance, start = found
+            length = edit_distance(own, hashes[start : min(start + len(own) + most, end)])[1]
+            yield text, name, distance, start - first, length
+
+
+def _possible(index, offsets, covered, rare, text_of, near, pieces, named) -> np.ndarray:
+    """Text, item and supposed first word of the candidates with words enough around them; ``near``
+    is where in the texts the piece ``named`` was met."""
+    item, text = pieces.items[named], text_of[near]
+    begin, edits = near - pieces.places[named], index.edits[item]
+    low = np.maximum(begin - edits, offsets[text])
+    high = np.minimum(begin + index.sizes[item] + edits, offsets[text + 1])
+    enough = covered[high] - covered[low] >= index.sizes[item] - edits
+    enough &= rare[high] - rare[low] >= index.least_rare[item]
+    return np.unique(np.stack([text[enough], item[enough], begin[enough]], axis=1), axis=0)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:

@@ -260,6 +260,31 @@ def test_recall_of_the_walks():
     assert found >= 0.95 * total
 
 
+def cluster_edited(rng, words, edits, at):
+    """All edits side by side, from the word ``at`` on."""
+    for how in rng.choices(["replace", "delete", "insert"], k=edits):
+        new = [] if how == "delete" else [f"new{rng.randrange(10**6)}"]
+        words = words[:at] + new + words[at + (how != "insert") :]
+        at += how != "delete"
+    return words
+
+
+@pytest.mark.parametrize("where", ["head", "middle", "end"])
+def test_all_edits_in_one_place_lose_nothing(where):
+    rng = random.Random(11)
+    items = [(k, prose(rng, "en", rng.randint(8, 60))) for k in range(100)]
+    index = build_index(items)
+    found = []
+    for item, text in items:
+        words = words_of(text)
+        edits = int(EDITS * len(words))
+        at = {"head": 0, "middle": (len(words) - edits) // 2, "end": len(words) - edits}[where]
+        inside = " ".join(cluster_edited(rng, words, edits, at))
+        hits = find_passages(index, pa.array([f"{prose(rng, 'de', 10)} {inside} {prose(rng, 'de', 10)}"]))
+        found += [hit[1] for hit in hits if hit[1] == item and hit[2] <= edits]
+    assert len(found) == len(items)
+
+
 # --- nearest neighbours ----------------------------------------------------------------------
 
 
