@@ -76,11 +76,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Null and empty texts hold none; equal texts
-    share their fate."""
+    """Documents that hold no benchmark item, however short it is. Null and empty texts hold none;
+    equal texts share their fate."""
     (key,) = fresh(docs, "text_key")
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    found = contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = contaminated(texts, table(spark, sf_dir, "benchmark"), shortest=1)
     # as a table its size is known before the join is planned, so few leaks move no documents
     leaks = written(found.select(F.col("doc_id").alias(key)).distinct(), "leaks")
     return keyed.join(leaks, key, "left_anti").select(*docs.columns)

@@ -1,7 +1,7 @@
 """Benchmark passages in documents: edit distance, with candidates by the pigeonhole principle.
 
 Items and texts are sequences of words. An item within which ``d`` edits are allowed is cut into
-``d + 1`` pieces of three to five words: wherever the edits are, one piece has none, and stands in
+``d + 1`` pieces of five words at most: wherever the edits are, one piece has none, and stands in
 the text at most ``d`` words from its place in the passage. So the texts' runs of words are looked up
 among the pieces, and no passage within the distance is missed. What a piece names is confirmed by
 the exact edit distance between the item and any part of the text that begins near by.
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from marquee.llm.common import ship, written
 from marquee.llm.text import Words, filled, hash_words, lower_ascii, mix, ragged, slices
 
-# Edits per item, as a share of its words; shorter items name no passage.
+# Edits per item, as a share of its words, rounded down; shorter items name no passage unless the
+# caller wants them.
 EDITS = 0.2
 SHORTEST = 8
 # A word in at most so many items is rare.
@@ -67,12 +68,12 @@ def run_keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return key
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    """Items of ``SHORTEST`` words at least, and their pieces."""
+def build_index(items: list[tuple[int, str]], shortest: int = SHORTEST) -> Index:
+    """Items of ``shortest`` words at least, and their pieces."""
     words = Words(lower_ascii(pa.array([text for _, text in items], pa.string())))
     hashes = hash_words(words.vocabulary)[words.codes] if len(words.codes) else np.zeros(0, dtype=np.uint64)
     bounds = list(zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist()))
-    kept = [(item, hashes[a:b], a) for (item, _), (a, b) in zip(items, bounds) if b - a >= SHORTEST]
+    kept = [(item, hashes[a:b], a) for (item, _), (a, b) in zip(items, bounds) if b - a >= max(shortest, 1)]
     owned = [own for _, own, _ in kept]
     each = np.concatenate([np.unique(own) for own in owned]) if kept else hashes[:0]
     vocabulary, items_with = np.unique(each, return_counts=True)
@@ -231,19 +232,20 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield sorted((-1 if row.item_id is None else row.item_id, row.text) for row in rows)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Rows ``doc_id``, ``item_id``, ``distance``, ``first_word``, ``n_words``: the best place of
     each benchmark item in each document that holds it, within ``EDITS`` of its words.
 
     Words are runs of anything but ASCII white space, with A-Z lowered. Items of fewer than
-    ``SHORTEST`` words match nothing, nor do null and empty texts; a null item id is given as -1;
+    ``shortest`` words match nothing, nor do null and empty texts; with 1 all items are matched, those
+    of fewer than five words as they are, without edits. A null item id is given as -1;
     repeated rows are matched each and reported once per ``doc_id`` and item. Other columns are
     ignored. An empty table on either side gives no rows.
     """
     ship(docs.sparkSession)
     found = None
     for block in _blocks(benchmark):
-        index = docs.sparkSession.sparkContext.broadcast(build_index(block))  # one bounded block
+        index = docs.sparkSession.sparkContext.broadcast(build_index(block, shortest))  # one bounded block
         part = _matched(docs, index)
         found = part if found is None else found.unionByName(part)
     least = F.struct("distance", "first_word", "n_words")

@@ -9,11 +9,13 @@ import pytest
 from tables import document, frame, odd_documents, prose, some_documents
 from test_models import words_of
 
+from corpus_pipeline import drop_leaks
 from marquee.llm import chosen_path, decontamination, multi_index
 from marquee.llm.chosen_path import linked_sets, near_duplicates, shingle_sets
 from marquee.llm.components import components
 from marquee.llm.decontamination import EDITS, SHORTEST, build_index, contaminated, edit_distance, find_passages
 from marquee.llm.multi_index import SubstringIndex, learn_codes, nearest
+from marquee.llm.queries import op4_edit_decontamination
 
 
 def plain_shingles(text):
@@ -285,6 +287,35 @@ def test_all_edits_in_one_place_lose_nothing(where):
     assert len(found) == len(items)
 
 
+def test_queries_find_short_items(spark, tmp_path):
+    items = [(1, "alpha"), (2, "Beta gamma"), (3, "one two three four five six seven"), (4, "")]
+    texts = ["x alpha y", "beta  GAMMA", "x one two three four six seven", "gamma beta", "one two three", "", None]
+    rows = [document(k, text) for k, text in enumerate(texts)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(row) for row in op4_edit_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {(0, 1, 0, 1, 1), (1, 2, 0, 0, 2), (2, 3, 1, 1, 6)}
+    clean = drop_leaks(spark, frame(spark, rows), str(tmp_path))
+    assert sorted(row.doc_id for row in clean.collect()) == [3, 4, 5, 6]
+
+
+def test_short_items_are_found():
+    rng = random.Random(12)
+    items = [(k, " ".join(f"w{k}x{n}" for n in range(k))) for k in range(8)]
+    index = build_index(items, shortest=1)
+    for item, text in items:
+        for edits in {0, int(EDITS * item)}:
+            inside = " ".join(edited(rng, text.split(), edits))
+            around = [prose(rng, "de", 6) for _ in range(2)]
+            hits = {hit[1]: hit for hit in find_passages(index, pa.array([f"{around[0]} {inside} {around[1]}"]))}
+            assert set(hits) == ({item} if item else set())
+            assert not item or hits[item][2] <= edits
+            assert not item or edits or hits[item][2:] == (0, 6, item)
+    # within the bound only
+    far = ["w4x0 w4x1 w4x3", "w7x0 w7x1 w7x2 a b w7x5 w7x6", "w3x0 w3x1"]
+    assert not list(find_passages(index, pa.array(far)))
+
+
 # --- nearest neighbours ----------------------------------------------------------------------
 
 
