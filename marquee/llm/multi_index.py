@@ -1,7 +1,7 @@
 """Nearest neighbours by multi-index hashing of learned rotated binary codes.
 
 Codes are the signs of rotated vectors; the rotations are learned (ITQ: rotation and codes are
-fitted to each other in turns) on a bounded sample. A code is cut into substrings of a byte, each
+fitted to each other in turns) on a bounded sample of the vectors of one length. A code is cut into substrings of a byte, each
 with an index of its own. Two codes within a Hamming radius ``r`` must, by the pigeonhole principle,
 be within ``r // m`` (or one less, in all but the first ``r % m + 1``) in one of ``m`` substrings: so
 probing all near values of every substring retrieves every code within the radius. What lies within
@@ -119,13 +119,12 @@ class SubstringIndex:
         return rows[near]
 
 
-def _usable(vectors: DataFrame, id_column: str, vector_column: str, dim: int | None) -> DataFrame:
+def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     vector = F.col(vector_column).cast("array<double>")
     frame = vectors.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
-    used = frame.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(finite & some)
-    return used if dim is None else used.filter(F.size("vector") == dim)
+    return frame.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(finite & some)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -189,20 +188,28 @@ def nearest(
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``, the cosine in double precision;
     ties go to the smaller id. Rows with a null id take no part, nor do vectors that are null, zero
-    or hold null or non-finite components, nor those of another length than most of the sample.
-    Rows that repeat an id and its vector count once. An empty table gives no rows.
+    or hold null or non-finite components. Vectors are compared with those of their own length, each
+    length with codes of its own. Rows that repeat an id and its vector count once. An empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
-    used = written(_usable(vectors, id_column, vector_column, None).distinct(), "vectors")
-    sample = used.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toPandas()["vector"]
+    used = written(_usable(vectors, id_column, vector_column).distinct(), "vectors")
+    asked = F.count_if(F.col("vec_id") % every == 0)
+    lengths = used.groupBy(F.size("vector").alias("dim")).agg(asked.alias("asked")).filter("asked > 0")
+    found = None
+    for row in lengths.select("dim").orderBy("dim").collect():
+        part = _nearest(used.filter(F.size("vector") == row.dim), k, every)
+        found = part if found is None else found.unionByName(part)
     empty = "query_id long, rank int, vec_id long, score double"
-    if not len(sample):
-        return spark.createDataFrame([], empty)
-    lengths = sample.map(len)
-    dim = int(lengths.mode().iloc[0])
-    codes = spark.sparkContext.broadcast(learn_codes(np.stack(sample[lengths == dim].to_list()), k))
-    used = used.filter(F.size("vector") == dim)
+    return spark.createDataFrame([], empty) if found is None else found
+
+
+def _nearest(used: DataFrame, k: int, every: int) -> DataFrame:
+    """``nearest`` among usable vectors of one length."""
+    spark = used.sparkSession
+    sample = used.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toPandas()["vector"]
+    codes = spark.sparkContext.broadcast(learn_codes(np.stack(sample.to_list()), k))
 
     # equal vectors are a class, named by its least id; its first k + 1 ids can be among the nearest
     least = written(used.groupBy("vector").agg(F.min("vec_id").alias("class")), "vector-classes")

@@ -373,6 +373,16 @@ def test_few_vectors(spark):
     assert [(row["rank"], row.vec_id) for row in got] == [(1, 1), (2, 2)]
 
 
+def test_every_length_is_searched(spark):
+    rows, rare = vectors(3, 400), [(k + 10_000, own, x) for k, own, x in vectors(4, 120, dim=6)]
+    got = nearest(spark.createDataFrame(rows + rare + [(20_000, [1.0], 0)], SCHEMA)).collect()
+    want = brute_force(rows) | brute_force(rare)
+    assert {row.query_id for row in got} == set(want) and 10_100 in want
+    assert Counter(row.query_id for row in got) == Counter({q: 5 for q in want})
+    hits = sum(row.vec_id in {x for x, _ in want[row.query_id]} for row in got)
+    assert hits >= 0.9 * len(got)
+
+
 def test_queries_short_of_rows_are_compared_with_all(spark, monkeypatch):
     rows = vectors(2, 300)
     monkeypatch.setattr(multi_index, "learn_codes", lambda sample, k: multi_index.Codes(learn_codes(sample, k).rotations, 0))
