@@ -47,8 +47,8 @@ BLOCK = "kind int, bucket long, part long, a binary, b binary, c binary"
 _BLOCK_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("bucket", pa.int64()), ("part", pa.int64())] + [(x, pa.binary()) for x in "abc"]
 )
-# Code lengths are sent in whole numbers of this part of a bit.
-_GRAIN = 4096
+# Code lengths are sent as 32-bit floats without this many of their last bits: to one part in 2**17.
+_DROPPED = np.uint32(7)
 _END = "\n"
 _NODE_BITS = np.uint64(8)
 
@@ -89,6 +89,17 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
+def short_floats(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 up as integers that take three bytes, small ones as finely as large ones."""
+    whole = np.maximum(values, 0).astype(np.float32).view(np.uint32)
+    return (whole + (np.uint32(1) << (_DROPPED - np.uint32(1)))) >> _DROPPED
+
+
+def long_floats(values: np.ndarray) -> np.ndarray:
+    """The numbers that ``short_floats`` was given, to one part in 2**17."""
+    return (values << _DROPPED).view(np.float32).astype(np.float64)
+
+
 # --- texts -----------------------------------------------------------------------------------
 
 
@@ -419,7 +430,7 @@ def _answers(blocks: DataFrame, model: DataFrame, parts: int, top) -> DataFrame:
             keys, counts = _merged(known)
             values = counts
             if kind == GRAMS:
-                values = np.rint(code_lengths(keys, counts, *top.value) * _GRAIN).astype(np.uint32)
+                values = short_floats(code_lengths(keys, counts, *top.value))
             for part, a in zip(asking.column("part").to_pylist(), asking.column("a").to_pylist()):
                 own = values[np.searchsorted(keys, unpack(a, np.uint64, ascending=True))]
                 out.append({"kind": kind, "bucket": bucket, "part": part, "a": None, "b": pack(own), "c": None})
@@ -458,6 +469,7 @@ def _scored(tokens: int, distinct: int, buckets: int):
         for piece in slices(pa.record_batch([texts], names=["text"]), size=STEP_BYTES):
             asked.add(piece.column("text"), np.ones(piece.num_rows, dtype=bool))
         known, lengths = _table(asked, GRAMS, buckets, answers, np.uint32)
+        lengths = long_floats(lengths)
         words_known, word_counts = _table(asked, WORDS, buckets, answers, np.int64)
         bits, base = np.zeros(len(ids)), np.zeros(len(ids))
         n_tokens, n_known = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
@@ -474,7 +486,7 @@ def _scored(tokens: int, distinct: int, buckets: int):
             first = _runs(packed)
             times = np.diff(np.append(first, len(packed)))
             packed = packed[first]
-            cost = lengths[np.searchsorted(known, packed >> np.uint64(8))] / _GRAIN
+            cost = lengths[np.searchsorted(known, packed >> np.uint64(8))]
             bits[at:stop] = np.bincount((packed & np.uint64(255)).astype(np.int64), cost * times, minlength=stop - at)
             words = Words(own)
             number = np.searchsorted(words_known, np.append(hash_words(words.vocabulary), _end_hash()))
@@ -512,7 +524,8 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     probabilities of the sequence of words, their letters A-Z lowered. Null texts count as empty:
     they have an end only. Repeated rows are learnt from and scored each; an empty table gives no
     rows; with nothing to learn from, every bit of a text costs a bit. Words are counted by 64-bit
-    hashes, code lengths of bytes rounded to 1/4096 bit. Other columns are ignored.
+    hashes; code lengths of bytes, and so the scores, are right to one part in 2**17. Other columns are
+    ignored.
     """
     spark = docs.sparkSession
     buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -112,6 +112,14 @@ def test_scores_are_those_of_a_plain_context_tree(spark):
     assert len({row.held_out for row in got}) == 2
 
 
+def test_scores_of_hot_copies_are_as_exact(spark):
+    rows = [document(k, "ab cd") for k in range(6000)]
+    tree = PlainTree(b"ab cd" for row in rows if remainder(row[0], 7) != 2)
+    want = -tree.bits(b"ab cd") * math.log10(2)
+    got = {row.score for row in language_model_scores(frame(spark, rows)).collect()}
+    assert -0.01 < want < 0 and all(score == pytest.approx(want, rel=1e-5) for score in got)
+
+
 def test_many_parts_and_rounds_give_the_same_scores(spark, monkeypatch):
     docs = frame(spark, some_documents(count=60)).repartition(6, "doc_id")
     want = {row.doc_id: row.score for row in language_model_scores(docs).collect()}
