@@ -39,16 +39,19 @@ def url_path(url: Column) -> Column:
 
 
 def suffix_and_domain(host: Column, double_suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
-    """A host's suffix (its last label, or one of the given longer ones) and its registered
-    domain, which has one label more. A host of too few labels is its own domain."""
-    suffix = F.substring_index(host, ".", -1)
-    domain = F.substring_index(host, ".", -2)
-    for longer in double_suffixes:
-        labels = longer.count(".") + 1
-        fits = (host == longer) | F.endswith(host, F.lit("." + longer))
-        suffix = F.when(fits, longer).otherwise(suffix)
-        domain = F.when(fits, F.substring_index(host, ".", -labels - 1)).otherwise(domain)
-    return suffix, domain
+    """A host's suffix (its last label, or the longest fitting one of those given) and its registered
+    domain, which has one label more. A host of too few labels is its own domain. A port belongs to
+    neither. An IP address is its own domain; all addresses share a suffix that no name has."""
+    name = F.regexp_replace(host, r":[0-9]*$", "")
+    suffix = F.substring_index(name, ".", -1)
+    domain = F.substring_index(name, ".", -2)
+    for labels in sorted({longer.count(".") + 1 for longer in double_suffixes}):
+        end = F.substring_index(name, ".", -labels)
+        fits = end.isin([longer for longer in double_suffixes if longer.count(".") + 1 == labels])
+        suffix = F.when(fits, end).otherwise(suffix)
+        domain = F.when(fits, F.substring_index(name, ".", -labels - 1)).otherwise(domain)
+    address = F.regexp_like(name, F.lit(r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$"))
+    return F.when(address, "[ip]").otherwise(suffix), F.when(address, name).otherwise(domain)
 
 
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:

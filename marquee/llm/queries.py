@@ -13,6 +13,7 @@ from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
 from marquee.llm.language_bloom import language_id
 from marquee.llm.multi_index import nearest
+from marquee.llm.suffixes import DOUBLE_SUFFIXES
 from marquee.llm.token_frames import scratch_uri, token_file_digests, tokenizer_path, write_token_files
 from marquee.llm.toxicity_cnn import toxicity
 from marquee.llm.window_packing import pack_documents
@@ -57,7 +58,8 @@ def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
     )
-    return judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES).drop("bad_bound")
+    judged = judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES, double_suffixes=DOUBLE_SUFFIXES)
+    return judged.drop("bad_bound")
 
 
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from marquee.llm import context_tree
 from marquee.llm.context_tree import language_model_scores, log_kt, pack, unpack
 from marquee.llm.host_reputation import host_posteriors, judge_urls, lower_bound, suffix_and_domain
 from marquee.llm.language_bloom import CELLS, HASHES, identify_languages, language_id, learn_filter
+from marquee.llm.queries import op5_host_reputation
 from marquee.llm.toxicity_cnn import Network, fit, labelled_sample, score_documents, toxicity
 
 DOCUMENTS = some_documents() + odd_documents()
@@ -363,3 +364,22 @@ def test_longer_suffixes(spark):
     parts = suffix_and_domain(F.col("host"), ["co.uk"])
     got = [tuple(row) for row in hosts.select(*parts).collect()]
     assert got == [("co.uk", "b.co.uk"), ("co.uk", "co.uk"), ("uk", "x.uk"), ("uk", "uk"), ("", "")]
+
+
+def test_ports_and_addresses(spark):
+    names = ["a.b.com:8080", "b.com:", "10.0.0.1", "10.0.0.1:80", "[::1]:443", "1.2.3.com"]
+    hosts = spark.createDataFrame([(name,) for name in names], "host string")
+    got = [tuple(row) for row in hosts.select(*suffix_and_domain(F.col("host"))).collect()]
+    assert got == [
+        ("com", "b.com"), ("com", "b.com"), ("[ip]", "10.0.0.1"), ("[ip]", "10.0.0.1"), ("[ip]", "[::1]"), ("com", "3.com")
+    ]
+
+
+def test_the_query_tells_domains_under_double_suffixes_apart(spark, tmp_path):
+    pages = [(k, f"http://www.{name}.co.uk/{k}", "") for k, name in enumerate(["bad"] * 300 + ["good"] * 300)]
+    pages += [(600, "http://new.bad.co.uk/", ""), (601, "http://new.good.co.uk/", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(k, 1, int(k < 300)) for k in range(600)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {row.page_id: row.verdict for row in op5_host_reputation(spark, str(tmp_path)).collect()}
+    assert (got[0], got[300], got[600], got[601]) == ("block", "allow", "block", "allow")
