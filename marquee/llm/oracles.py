@@ -123,4 +123,114 @@ select page_id, host, path, {_rules(_RULES, 1)} as rule,
 from located join bounds using (host)
 """
 
-ORACLES: dict[str, str] = {"op5_host_reputation": OP5, "op6_chosen_path": OP6}
+_TEXT = _LOWER.format("coalesce(text, '')")
+
+_TERMS = rf"regexp_extract_all({_TEXT}, '[0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+')"
+
+OP11 = f"""
+with terms as (
+    select doc_id, row_number() over () as r, {_TERMS} as t from documents
+), counted as (
+    select r, doc_id, t, len(t)::bigint as n from terms where len(t) > 0
+), totals as (
+    select count(*)::bigint as docs, sum(n)::bigint as length from counted
+), held as (
+    select r, term, count(*)::bigint as tf from (select r, unnest(t) as term from counted) group by all
+), items as (
+    select item_id, i, unnest(t) as term
+    from (select item_id, row_number() over () as i, {_TERMS} as t
+          from (select distinct item_id, text from benchmark))
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+    from held, totals where term in (select term from items) group by term, docs
+), scores as (
+    select i, item_id, doc_id, r,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))))::bigint as score
+    from items join weights using (term) join held using (term) join counted using (r), totals
+    group by i, item_id, doc_id, r
+), ranked as (
+    select item_id, doc_id, score,
+           row_number() over (partition by i order by score desc, doc_id nulls last, r) as rank
+    from scores where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+OP12 = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_TEXT}, '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), starts as (
+    select lang, w, unnest(range(1, len(w) + 1)) as p from words
+), grams as (
+    select lang, k, array_to_string(w[p:p + k - 1], ' ') as gram, count(*) as f
+    from starts, range(1, 6) as sizes(k) where p + k - 1 <= len(w) group by all
+), totals as (
+    select lang, sum(f)::hugeint as n from grams where k = 1 group by lang
+), candidates as (
+    select * from grams where k > 1 and f >= 100
+), free as (
+    select * from candidates c where not exists (
+        select 1 from candidates d where d.lang = c.lang and d.k > c.k and 100 * d.f >= 100 * c.f
+            and contains(' ' || d.gram || ' ', ' ' || c.gram || ' '))
+), cuts as (
+    select lang, gram, f, unnest(range(1, k)) as cut, string_split(gram, ' ') as w from free
+), parts as (
+    select *, array_to_string(w[1:cut], ' ') as head, array_to_string(w[cut + 1:], ' ') as rest from cuts
+), scored as (
+    select lang, parts.gram as phrase, parts.f as a, x.f as l, y.f as r, n, cut,
+           (1000 * parts.f::hugeint * n) // (x.f::hugeint * y.f::hugeint) as score
+    from parts join totals using (lang)
+        join (select lang, gram as head, f from grams) x using (lang, head)
+        join (select lang, gram as rest, f from grams) y using (lang, rest)
+), least as (
+    select *, row_number() over (partition by lang, phrase order by score, cut) as place from scored
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+      from least where place = 1)
+where rank <= 2000
+"""
+
+# Bytes are written as two hexadecimal digits each, since a string cannot be cut inside a character.
+OP13 = """
+with texts as (
+    select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), starts as (
+    select r, h, unnest(range(1, len(h) // 2 - 198)) as s from texts where len(h) >= 400
+), windows as (
+    select r, s, md5_number(substr(h, 2 * s - 1, 400)) as w from starts
+), repeated as (
+    select r, s from windows where w in (select w from windows group by w having count(*) > 1)
+), jumps as (
+    select r, s, lag(s) over (partition by r order by s) as before from repeated
+), runs as (
+    select r, s, sum(case when before is null or s > before + 200 then 1 else 0 end)
+        over (partition by r order by s) as run
+    from jumps
+), spans as (
+    select r, min(s) as first, max(s) + 199 as last from runs group by r, run
+), gaps as (
+    select r, first, last, coalesce(lag(last) over (partition by r order by first), 0) as before,
+           row_number() over (partition by r order by first desc) = 1 as final
+    from spans
+), kept as (
+    select r, sum(last - first + 1) as n_removed, count(*) as n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (first - before - 1))
+               || case when final then substr(h, 2 * last + 1) else '' end, '' order by first) as h
+    from gaps join texts using (r) group by r
+)
+select doc_id, (len(t.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(k.h, t.h))) as kept_sha256
+from texts t left join kept k using (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_host_reputation": OP5,
+    "op6_chosen_path": OP6,
+    "op11_bag_search": OP11,
+    "op12_phrase_graph": OP12,
+    "op13_radix_windows": OP13,
+}

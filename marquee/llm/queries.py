@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.bag_search import search
 from marquee.llm.chosen_path import near_duplicates
 from marquee.llm.common import table
 from marquee.llm.context_tree import language_model_scores
@@ -13,6 +14,8 @@ from marquee.llm.feistel_shards import shard_rows
 from marquee.llm.host_reputation import judge_urls
 from marquee.llm.language_bloom import language_id
 from marquee.llm.multi_index import nearest
+from marquee.llm.phrase_graph import phrases
+from marquee.llm.radix_windows import remove_repeats
 from marquee.llm.suffixes import DOUBLE_SUFFIXES
 from marquee.llm.token_frames import scratch_uri, token_file_digests, tokenizer_path, write_token_files
 from marquee.llm.toxicity_cnn import toxicity
@@ -103,6 +106,21 @@ def op10_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language in all documents."""
+    return phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the strings of 200 bytes that they repeat."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_token_frames": op2_token_frames,
@@ -114,4 +132,7 @@ QUERIES = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_window_packing": op9_window_packing,
     "op10_toxicity_cnn": op10_toxicity_cnn,
+    "op11_bag_search": op11_bag_search,
+    "op12_phrase_graph": op12_phrase_graph,
+    "op13_radix_windows": op13_radix_windows,
 }
