@@ -194,14 +194,14 @@ from (select *, row_number() over (partition by lang order by score desc, a desc
 where rank <= 2000
 """
 
-# Bytes are written as two hexadecimal digits each, since a string cannot be cut inside a character.
+# What is kept is put together as hexadecimal digits, since text cannot be cut inside a character.
 OP13 = """
 with texts as (
-    select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+    select row_number() over () as r, doc_id, encode(coalesce(text, '')) as b from documents
 ), starts as (
-    select r, h, unnest(range(1, len(h) // 2 - 198)) as s from texts where len(h) >= 400
+    select r, b, unnest(range(1, octet_length(b) - 198)) as s from texts where octet_length(b) >= 200
 ), windows as (
-    select r, s, md5_number(substr(h, 2 * s - 1, 400)) as w from starts
+    select r, s, array_slice(b, s, s + 199) as w from starts
 ), repeated as (
     select r, s from windows where w in (select w from windows group by w having count(*) > 1)
 ), jumps as (
@@ -218,13 +218,14 @@ with texts as (
     from spans
 ), kept as (
     select r, sum(last - first + 1) as n_removed, count(*) as n_spans,
-           string_agg(substr(h, 2 * before + 1, 2 * (first - before - 1))
-               || case when final then substr(h, 2 * last + 1) else '' end, '' order by first) as h
+           string_agg(hex(array_slice(b, before + 1, first - 1))
+               || case when final then hex(array_slice(b, last + 1, octet_length(b))) else '' end,
+               '' order by first) as h
     from gaps join texts using (r) group by r
 )
-select doc_id, (len(t.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
-       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(k.h, t.h))) as kept_sha256
-from texts t left join kept k using (r)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(coalesce(unhex(h), b)) as kept_sha256
+from texts left join kept using (r)
 """
 
 ORACLES: dict[str, str] = {
