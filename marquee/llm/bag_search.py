@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.buffers import LOWER, flags, text_bytes, word_table
-from marquee.llm.common import ship, written
+from marquee.llm.common import shared, ship, written
 from marquee.llm.text import ragged, slices
 
 # How many documents an item gets.
@@ -252,7 +252,7 @@ def _search_block(docs: DataFrame, block: list[tuple[int | None, str]], top: int
     index = build_postings(block)
     if not len(index.terms):
         return None
-    postings = spark.sparkContext.broadcast(index)  # a block of bounded size
+    postings = shared(spark, index)  # a block of bounded size
     bagged = written(bags(docs, postings), "bags")
     count, length = bagged.agg(F.count("*"), F.sum("n")).first()
     if not count:

@@ -5,10 +5,13 @@ from __future__ import annotations
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 from tempfile import mkdtemp
+from typing import Any
 from weakref import WeakSet
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +19,25 @@ import marquee
 from marquee.scratch import remove_folder, scratch_root
 
 _shipped: WeakSet = WeakSet()
-_written: list[str] = []
+
+
+class Run:
+    """What a run has made for itself: tables in the scratch folder and broadcast values."""
+
+    def __init__(self) -> None:
+        self.tables: list[str] = []
+        self.values: list[Broadcast] = []
+
+    def clear(self, spark: SparkSession) -> None:
+        for path in self.tables:
+            remove_folder(spark, path)
+        for value in self.values:
+            value.destroy()
+        self.tables, self.values = [], []
+
+
+# of this thread, so that runs side by side do not clear what is another's
+_run: ContextVar[Run | None] = ContextVar("run", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,21 +65,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_root(spark, label)
-    _written.append(path)
+    if run := _run.get():
+        run.tables.append(path)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value: Any) -> Broadcast:
+    """A broadcast value, which goes with the run that it is made in."""
+    sent = spark.sparkContext.broadcast(value)
+    if run := _run.get():
+        run.values.append(sent)
+    return sent
+
+
 @contextmanager
 def removing_written(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables that ``written`` makes in the block when it ends, also by an error."""
-    start = len(_written)
+    """A run: what ``written`` and ``shared`` make in the block goes when it ends, also by an error."""
+    run = Run()
+    token = _run.set(run)
     try:
         yield
     finally:
-        for path in _written[start:]:
-            remove_folder(spark, path)
-        del _written[start:]
+        _run.reset(token)
+        run.clear(spark)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

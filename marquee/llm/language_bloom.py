@@ -10,7 +10,9 @@ space. A language has an n-gram if its rate there is at least a tenth of the hig
 any language: a few quoted or mislabelled texts do not put n-grams into a language.
 
 Counts are made in tasks, summed by a shuffle of distinct n-grams, and or-ed into cells by
-another; the filter has a fixed number of cells, so what the driver sends out is bounded.
+another. The filter grows with the n-grams of the richest language, so that at most half of its bits are
+set. What the driver sends out is bounded all the same: beyond ``MOST_CELLS``, the n-grams that occur least
+often are left out of the filter, from as low a count on as makes the others fit.
 """
 
 from __future__ import annotations
@@ -24,12 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import held_out_part, ship, training_part, written
+from marquee.llm.common import held_out_part, shared, ship, training_part, written
 from marquee.llm.text import filled, mix, slices
 
-# Cells of 8 bytes for each 64 languages, and hash functions: fixed whatever is learnt.
+# Cells of 8 bytes for each 64 languages: at least, and at most (all planes together); hash functions; cells
+# for each n-gram of a language, by which half of its bits are set.
 CELLS = 1 << 20
+MOST_CELLS = 1 << 24
 HASHES = 3
+CELLS_PER_GRAM = 4
 SHARE = 0.1
 UNKNOWN = "und"
 
@@ -42,18 +47,33 @@ _BYTES = np.array(
 _HELD = 1 << 21
 
 
-def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that begins at each byte of the texts, and where each text begins.
+# N-grams that a task works on at once, also of one long text.
+BLOCK = 1 << 20
+
+
+def ngram_blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, slice]]:
+    """The n-gram that begins at each byte of the texts, a block at a time: the n-grams, where in the block
+    each text begins, and which texts these are. A text that began earlier begins at 0.
 
     Three spaces go before every text and after the last, so no n-gram reaches across texts and
     even a text of one letter has some.
     """
+    if not len(texts):
+        return
     framed = pc.binary_join_element_wise(pa.scalar("   "), texts, pa.scalar(""))
-    offsets = np.frombuffer(framed.buffers()[1], dtype=np.int32)[: len(framed) + 1].astype(np.int64)
-    data = np.frombuffer(framed.buffers()[2], dtype=np.uint8)[: offsets[-1]]
-    plain = np.append(_BYTES[data], np.full(3, 32, dtype=np.uint8)).astype(np.uint32)
-    grams = (plain[:-3] << 24) | (plain[1:-2] << 16) | (plain[2:-1] << 8) | plain[3:]
-    return grams, offsets[:-1]
+    starts = np.frombuffer(framed.buffers()[1], dtype=np.int32)[: len(framed) + 1].astype(np.int64)
+    data = np.frombuffer(framed.buffers()[2], dtype=np.uint8)[: starts[-1]]
+    for low in range(0, len(data), BLOCK):
+        high = min(low + BLOCK, len(data))
+        plain = np.full(high - low + 3, 32, dtype=np.uint8)
+        own = _BYTES[data[low : high + 3]]
+        plain[: len(own)] = own
+        grams = plain[3:].astype(np.uint32)
+        for step in range(3):
+            grams |= plain[step : step + high - low].astype(np.uint32) << np.uint32(24 - 8 * step)
+        first = int(np.searchsorted(starts, low, side="right")) - 1
+        last = int(np.searchsorted(starts, high, side="left"))
+        yield grams, np.maximum(starts[first:last] - low, 0), slice(first, last)
 
 
 def _counted(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -85,12 +105,12 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
                 )
 
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=BLOCK):
                 langs = piece.column("lang")
                 for lang in pc.unique(langs).to_pylist():
-                    grams, _ = ngrams(piece.column("text").filter(pc.equal(langs, lang)))
-                    held.setdefault(lang, []).append(_counted(grams[grams != _SPACES]))
-                    size += len(held[lang][-1][0])
+                    for grams, _, _ in ngram_blocks(piece.column("text").filter(pc.equal(langs, lang))):
+                        held.setdefault(lang, []).append(_counted(grams[grams != _SPACES]))
+                        size += len(held[lang][-1][0])
                 if size > _HELD:
                     held = {k: [_counted(*(np.concatenate(x) for x in zip(*v)))] for k, v in held.items()}
                     size = sum(len(v[0][0]) for v in held.values())
@@ -115,29 +135,49 @@ class LanguageFilter:
     def identify(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Index of the language per text, and the corrected share of its n-grams that are that
         language's. Ties go to the language with more training text."""
-        grams, starts = ngrams(texts)
-        real = grams != _SPACES
-        total = np.add.reduceat(real, starts).astype(np.float64)
-        best, share = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), -1.0)
-        places = [positions(grams, k) for k in range(HASHES)]
-        for plane, cells in enumerate(self.cells):
-            sets = cells[places[0]]
-            for place in places[1:]:
-                sets &= cells[place]
-            sets[~real] = 0
-            for bit in range(min(64, len(self.languages) - 64 * plane)):
-                found = np.add.reduceat((sets >> np.uint64(bit)).astype(np.uint8) & 1, starts, dtype=np.int64)
-                false = self.false_positives[64 * plane + bit]
-                corrected = (found / np.maximum(total, 1) - false) / max(1 - false, 1e-9)
-                better = corrected > share
-                best[better], share[better] = 64 * plane + bit, corrected[better]
+        count = len(self.languages)
+        found = np.zeros((count, len(texts)), dtype=np.int64)
+        total = np.zeros(len(texts), dtype=np.int64)
+        for grams, starts, own in ngram_blocks(texts):
+            real = grams != _SPACES
+            total[own] += np.add.reduceat(real, starts, dtype=np.int64)
+            places = [positions(grams, k, self.cells.shape[1]) for k in range(HASHES)]
+            for plane, cells in enumerate(self.cells):
+                sets = cells[places[0]]
+                for place in places[1:]:
+                    sets &= cells[place]
+                sets[~real] = 0
+                for bit in range(min(64, count - 64 * plane)):
+                    has = (sets >> np.uint64(bit)).astype(np.uint8) & 1
+                    found[64 * plane + bit, own] += np.add.reduceat(has, starts, dtype=np.int64)
+        best, share = np.zeros(len(texts), dtype=np.int64), np.full(len(texts), -1.0)
+        for k, false in enumerate(self.false_positives):
+            corrected = (found[k] / np.maximum(total, 1) - false) / max(1 - false, 1e-9)
+            better = corrected > share
+            best[better], share[better] = k, corrected[better]
         return best, np.clip(share, 0.0, 1.0)
 
 
-def positions(grams: np.ndarray, which: int) -> np.ndarray:
-    """Cells of n-grams under one of the hash functions."""
+def positions(grams: np.ndarray, which: int, cells: int = CELLS) -> np.ndarray:
+    """Cells of n-grams under one of the hash functions; ``cells`` is a power of two."""
     seed = np.uint64(0x9E3779B97F4A7C15 * (which + 1) % 2**64)
-    return (mix(grams.astype(np.uint64) + seed) >> np.uint64(24)).astype(np.int64) & (CELLS - 1)
+    return (mix(grams.astype(np.uint64) + seed) >> np.uint64(24)).astype(np.uint32) & np.uint32(cells - 1)
+
+
+def _size_and_least(bits: DataFrame, planes: int) -> tuple[int, int]:
+    """How many cells the filter gets, and the least count of an n-gram in it: 1, unless the richest
+    language has more n-grams than fit. A row per language and power of two comes to the driver."""
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    rows = bits.groupBy("number", power).agg(F.count("*").alias("grams")).collect()
+    for least in range(64):
+        grams: dict[int, int] = {}
+        for row in rows:
+            if row.power >= least:
+                grams[row.number] = grams.get(row.number, 0) + row.grams
+        wanted = max(CELLS, 1 << (CELLS_PER_GRAM * max(grams.values(), default=1) - 1).bit_length())
+        if wanted * planes <= max(MOST_CELLS, CELLS * planes):
+            return wanted, 1 << least
+    return CELLS, 1 << 63
 
 
 def learn_filter(docs: DataFrame, share: float = SHARE) -> LanguageFilter:
@@ -147,19 +187,27 @@ def learn_filter(docs: DataFrame, share: float = SHARE) -> LanguageFilter:
     rows = sorted(totals.collect(), key=lambda row: (-row["total"], row["lang"]))
     languages = [row["lang"] for row in rows]
     planes = max(1, -(-len(languages) // 64))
-    cells = np.zeros((planes, CELLS), dtype=np.uint64)
     if not languages:
-        return LanguageFilter([], cells, np.zeros(0))
+        return LanguageFilter([], np.zeros((planes, CELLS), dtype=np.uint64), np.zeros(0))
     known = counts.sparkSession.createDataFrame(
         [(row["lang"], i, row["total"]) for i, row in enumerate(rows)], "lang string, number int, total long"
     )
     rated = counts.join(known, "lang").withColumn("rate", F.col("n") / F.col("total"))
     top = F.max("rate").over(Window.partitionBy("gram"))  # a row per language at most
-    bits = (
+    bits = written(
         rated.withColumn("top", top)
         .filter(F.col("rate") >= share * F.col("top"))
-        .select("gram", F.floor(F.col("number") / 64).cast("int").alias("plane"), F.expr("number % 64").alias("bit"))
+        .select(
+            "gram",
+            "n",
+            "number",
+            F.floor(F.col("number") / 64).cast("int").alias("plane"),
+            F.expr("number % 64").alias("bit"),
+        ),
+        "bits",
     )
+    size, least = _size_and_least(bits, planes)
+    cells = np.zeros((planes, size), dtype=np.uint64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,12 +215,14 @@ def learn_filter(docs: DataFrame, share: float = SHARE) -> LanguageFilter:
             bit = np.uint64(1) << batch.column("bit").to_numpy().astype(np.uint64)
             for which in range(HASHES):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("plane"), pa.array(positions(grams, which)), pa.array(bit.view(np.int64))],
+                    [batch.column("plane"), pa.array(positions(grams, which, size).astype(np.int64)),
+                     pa.array(bit.view(np.int64))],
                     names=["plane", "cell", "bits"],
                 )
 
     filled_cells = (
-        bits.mapInArrow(place, "plane int, cell long, bits long")
+        bits.filter(F.col("n") >= least)
+        .mapInArrow(place, "plane int, cell long, bits long")
         .groupBy("plane", "cell")
         .agg(F.bit_or("bits").alias("bits"))
         .toArrow()
@@ -180,7 +230,7 @@ def learn_filter(docs: DataFrame, share: float = SHARE) -> LanguageFilter:
     plane, cell, value = (filled_cells.column(k).to_numpy() for k in range(3))
     cells[plane, cell] = value.astype(np.int64).view(np.uint64)
     fill = [
-        np.count_nonzero(cells[i // 64] >> np.uint64(i % 64) & np.uint64(1)) / CELLS for i in range(len(languages))
+        np.count_nonzero(cells[i // 64] >> np.uint64(i % 64) & np.uint64(1)) / size for i in range(len(languages))
     ]
     return LanguageFilter(languages, cells, np.array(fill) ** HASHES)
 
@@ -195,18 +245,19 @@ def identify_languages(
 
     Only the text is used. Other columns are ignored, kept ones of these names give way. The score is the share of the text's n-grams that the language has,
     corrected for false positives. A null text and one without a letter is ``und`` with score 0, and
-    so is every text if nothing was learnt; repeated rows get equal results.
+    so is every text if nothing was learnt; repeated rows get equal results. Long texts are counted whole, a block
+    of their n-grams at a time.
     """
     keep = [column for column in keep if column not in names]
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS * 8 bytes for each 64 languages
+    model_copies = shared(docs.sparkSession, model)  # at most MOST_CELLS * 8 bytes for 64 languages
     frame = docs.select(*keep, *([] if "text" in keep else ["text"]))
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learnt = shared.value
+        learnt = model_copies.value
         values = pa.array([*learnt.languages, UNKNOWN])
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=BLOCK):
                 texts = filled(piece.column("text"))
                 lettered = pc.match_substring_regex(texts, r"\pL").to_numpy(zero_copy_only=False)
                 if learnt.languages:

@@ -12,10 +12,18 @@ import pytest
 from pyspark.sql import functions as F
 from tables import document, frame, odd_documents, prose, some_documents
 
-from marquee.llm import context_tree
+from marquee.llm import context_tree, language_bloom
 from marquee.llm.context_tree import language_model_scores, log_kt, pack, unpack
 from marquee.llm.host_reputation import host_posteriors, judge_urls, lower_bound, suffix_and_domain
-from marquee.llm.language_bloom import CELLS, HASHES, identify_languages, language_id, learn_filter
+from marquee.llm.language_bloom import (
+    CELLS,
+    CELLS_PER_GRAM,
+    HASHES,
+    identify_languages,
+    language_id,
+    learn_filter,
+    positions,
+)
 from marquee.llm.queries import op5_host_reputation
 from marquee.llm.toxicity_cnn import Network, fit, labelled_sample, score_documents, toxicity
 
@@ -196,8 +204,6 @@ def test_the_filter_returns_all_languages_of_an_ngram(spark):
         rates = {lang: counts[lang][gram] / totals[lang] for lang in totals}
         top = max(rates.values())
         want = {lang for lang, rate in rates.items() if rate >= 0.1 * top}
-        from marquee.llm.language_bloom import positions
-
         value = np.array([int.from_bytes(gram, "big")], dtype=np.uint32)
         mask = np.uint64(2**64 - 1)
         for which in range(HASHES):
@@ -207,6 +213,62 @@ def test_the_filter_returns_all_languages_of_an_ngram(spark):
     assert model.cells.shape == (1, CELLS) and (model.false_positives < 0.01).all()
 
 
+def plain_identify(model, text):
+    """Language and share by counting n-grams one by one."""
+    grams = plain_ngrams(text)
+    best = (-1.0, 0)
+    for k in range(len(model.languages)):
+        hits = 0
+        for gram in grams:
+            value = np.array([int.from_bytes(gram, "big")], dtype=np.uint32)
+            cells = [positions(value, which, model.cells.shape[1])[0] for which in range(HASHES)]
+            hits += all(int(model.cells[k // 64, cell]) >> k % 64 & 1 for cell in cells)
+        false = model.false_positives[k]
+        corrected = (hits / max(len(grams), 1) - false) / max(1 - false, 1e-9)
+        best = max(best, (corrected, -k))
+    return -best[1], min(max(best[0], 0.0), 1.0)
+
+
+@pytest.mark.parametrize("block", [1 << 20, 37])
+def test_popcounts_and_decisions_equal_plain_counting(spark, monkeypatch, block):
+    rows = some_documents(count=60) + [document(900, "", None), document(901, "é", None), document(902, "?", None)]
+    monkeypatch.setattr(language_bloom, "BLOCK", block)
+    model = learn_filter(frame(spark, rows))
+    model.false_positives = np.array([0.01, 0.2, 0.03])
+    texts = [row[1] for row in rows]
+    best, share = model.identify(pa.array(texts))
+    for k, text in enumerate(texts):
+        want = plain_identify(model, text)
+        assert (best[k], round(share[k], 9)) == (want[0], round(want[1], 9)), text
+    assert model.identify(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_the_filter_grows_with_what_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language_bloom, "CELLS", 1 << 10)
+    rows = some_documents(count=200)
+    model = learn_filter(frame(spark, rows))
+    most = max(len({gram for row in rows if row[2] == lang for gram in plain_ngrams(row[1])}) for lang in model.languages)
+    assert 4 * most <= model.cells.shape[1] < 8 * most or model.cells.shape[1] == 1 << 10
+    assert (model.false_positives < 0.15).all()
+    # as many cells as allowed: what is met most often stays
+    monkeypatch.setattr(language_bloom, "MOST_CELLS", 1 << 11)
+    small = learn_filter(frame(spark, rows))
+    assert small.cells.shape[1] <= 1 << 11 and (small.false_positives < 0.15).all()
+    best, _ = small.identify(pa.array([row[1] for row in rows]))
+    right = sum(small.languages[k] == row[2] for k, row in zip(best, rows))
+    assert right > 0.9 * len(rows)
+
+
+def test_two_million_ngrams_leave_few_false_positives():
+    rng = np.random.default_rng(4)
+    cells = 1 << 23  # what learn_filter takes for them
+    grams = rng.choice(2**32, 2_000_000, replace=False).astype(np.uint32)
+    bits = np.zeros(cells, dtype=bool)
+    for which in range(HASHES):
+        bits[positions(grams, which, cells)] = True
+    assert CELLS_PER_GRAM * len(grams) <= cells and bits.mean() ** HASHES < 0.15
+
+
 def test_more_languages_than_bits_of_a_cell(spark):
     rng = random.Random(3)
     letters = [chr(0x4E00 + 50 * k) for k in range(70)]
@@ -261,6 +323,24 @@ def test_only_training_labels_are_learnt_from(spark):
     assert few.toxic.value_counts().max() <= 10 and few.text.str.encode("utf8").str.len().max() <= 200
 
 
+def test_labels_without_documents_cost_no_sample(spark):
+    rows, labels = labelled(200)
+    far = spark.range(10**6, 10**6 + 50_000).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 as int) as toxic")
+    own = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    with_far = labelled_sample(frame(spark, rows), own.unionByName(far), per_label=20)
+    assert with_far.toxic.value_counts().to_dict() == {0: 20, 1: 20}
+    assert with_far.equals(labelled_sample(frame(spark, rows), own, per_label=20))
+    with pytest.warns(UserWarning, match="no labelled document"):
+        assert not len(labelled_sample(frame(spark, rows), far, per_label=20))
+
+
+def test_a_repeated_id_is_one_sample(spark):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "concat('text ', id) as text", "'en' as lang")
+    marks = spark.createDataFrame([(1, 0), (1, 1), (1, 1)], "doc_id long, toxic int")
+    sample = labelled_sample(docs, marks, per_label=10)
+    assert sample.to_dict("records") == [{"doc_id": 1, "text": "text 0", "toxic": 1, "lang": "en"}]
+
+
 def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity(frame(spark, DOCUMENTS[:5]), none).collect()
