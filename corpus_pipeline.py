@@ -32,12 +32,14 @@ READABLE = 0.4
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on labelled ones of them, does not call toxic.
 
-    Null and empty texts have no toxic word and stay; equal texts share their fate.
+    Texts without a word, null and empty ones among them, stay whatever the classifier makes of nothing;
+    equal texts share their fate.
     """
     network = fit(labelled_sample(docs, table(spark, sf_dir, "labels")))
     score, predicted = fresh(docs, "score", "predicted")
     scored = score_documents(docs, network, keep=docs.columns, names=(score, predicted))
-    return scored.filter(F.col(predicted) == 0).select(*docs.columns)
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
+    return scored.filter((F.col(predicted) == 0) | wordless).select(*docs.columns)
 
 
 def drop_unreadable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,13 +77,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.unionByName(repeated).select(*docs.columns)
 
 
+# A benchmark item of so many words or more is a leak. At 1 every item is; a benchmark that has single common
+# words as items wants more.
+LEAK_WORDS = 1
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, however short it is. Null and empty texts hold none;
+    """Documents that hold no benchmark item of ``LEAK_WORDS`` words or more. Null and empty texts hold none;
     equal texts share their fate."""
     (key,) = fresh(docs, "text_key")
     keyed = docs.withColumn(key, F.xxhash64("text"))
     texts = keyed.select(F.col(key).alias("doc_id"), "text")
-    found = contaminated(texts, table(spark, sf_dir, "benchmark"), shortest=1)
+    found = contaminated(texts, table(spark, sf_dir, "benchmark")).filter(F.col("item_words") >= LEAK_WORDS)
     # as a table its size is known before the join is planned, so few leaks move no documents
     leaks = written(found.select(F.col("doc_id").alias(key)).distinct(), "leaks")
     return keyed.join(leaks, key, "left_anti").select(*docs.columns)
