@@ -5,15 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.sources.tables import literal_rows, table_path
+from marquee.storage import exists, qualified
 
 
-def input_files(spark: SparkSession, path: str, deep: bool = False) -> DataFrame:
-    """``path`` and ``length`` of the files a reader of this path reads; contents are not read.
+def input_files(spark: SparkSession, path: str | list[str], deep: bool = False) -> DataFrame:
+    """``path`` and ``length`` of the files a reader of these paths reads; contents are not read.
 
     That is the files right below it and those in partition folders (``day=1``). With ``deep`` it is
     all files at any depth. A scan gives each large file a task of its own. There is next
@@ -27,19 +27,26 @@ def _glob_literal(name: str) -> str:
     return re.sub(r"([{}\[\]*?,\\])", r"\\\1", name)
 
 
-def _listed(spark: SparkSession, root: str, names: Sequence[str], deep: bool = False) -> DataFrame:
-    """``name`` and ``path`` of every file of each input. Inputs are listed one by one, as they are
-    read, since partition folders of one say nothing about another."""
-    found = literal_rows(spark, [], "name string, path string")
-    for name in names:
-        try:
-            files = input_files(spark, table_path(root, _glob_literal(name)), deep)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        found = found.unionByName(files.select(F.lit(name).alias("name"), "path"))
-    return found
+def listed_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """``name`` and ``path`` of every file of each input, at any depth, and whether a reader ``reads`` it:
+    if all folders between are partition folders. All inputs are listed at once."""
+    wanted = {name: qualified(spark, table_path(root, name)) for name in names}
+    present = [name for name in names if exists(spark, wanted[name])]
+    if not present:
+        return literal_rows(spark, [], "name string, path string, reads boolean")
+    paths = [table_path(root, _glob_literal(name)) for name in present]
+    path = F.col("path")
+    owners = (
+        F.when((path == wanted[name]) | path.startswith(f"{wanted[name]}/"), F.struct(F.lit(name), F.lit(wanted[name])))
+        for name in present
+    )
+    owner = F.explode(F.array_compact(F.array(*owners))).alias("owner")
+    inner = F.expr("substring(path, length(owner.col2) + 1)")
+    return (
+        input_files(spark, paths, deep=True)
+        .select("path", owner)
+        .select(F.col("owner.col1").alias("name"), "path", inner.rlike(r"^(/[^/]*=[^/]*)*(/[^/]*)?$").alias("reads"))
+    )
 
 
 def missing_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
@@ -50,23 +57,27 @@ def missing_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> Data
     all lie in plain sub-folders. An absent root means that everything is missing.
     """
     expected = literal_rows(spark, [(name,) for name in names], "name string")
-    return expected.join(_listed(spark, root, names).select("name").distinct(), "name", "left_anti")
+    return expected.join(listed_inputs(spark, root, names).filter("reads").select("name"), "name", "left_anti")
 
 
 def unread_files(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """``name`` and ``path`` of files below an input that its reader does not read, as they lie in
     plain sub-folders."""
-    return _listed(spark, root, names, deep=True).join(
-        _listed(spark, root, names), ["name", "path"], "left_anti"
-    )
+    return listed_inputs(spark, root, names).filter("not reads").select("name", "path")
 
 
 def require_inputs(spark: SparkSession, root: str, names: Sequence[str]) -> None:
     """Raise one ``FileNotFoundError`` that lists every missing input, and a ``ValueError`` if
     files of an input would be left out."""
-    # at most len(names) rows come back
-    refuse_missing(root, [row["name"] for row in missing_inputs(spark, root, names).sort("name").collect()])
-    unread = [row["path"] for row in unread_files(spark, root, names).sort("path").limit(5).collect()]
+    # one listing answers both; at most a row per name comes back
+    found = (
+        listed_inputs(spark, root, names)
+        .groupBy("name")
+        .agg(F.bool_or("reads").alias("reads"), F.min(F.when(~F.col("reads"), F.col("path"))).alias("unread"))
+        .collect()
+    )
+    refuse_missing(root, sorted(set(names) - {row["name"] for row in found if row["reads"]}))
+    unread = sorted(row["unread"] for row in found if row["unread"])
     if unread:
         raise ValueError(f"files in sub-folders would not be read, such as {unread}")
 

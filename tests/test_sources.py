@@ -1,6 +1,8 @@
 """Extract reading, the input gate, tables and scratch folders."""
 
 import csv
+import gzip
+import io
 import random
 import warnings
 
@@ -9,6 +11,7 @@ from plans import scan_metrics
 
 from marquee.scratch import scratch_root
 from marquee.sinks import preview, show_preview, write_table
+from marquee.sources import ranges
 from marquee.sources import (
     literal_rows,
     missing_inputs,
@@ -168,6 +171,83 @@ def both_readers(spark, path):
     return [read_extract(spark, path, split_records=split) for split in (False, True)]
 
 
+@pytest.fixture(params=["ranges", "lines"], autouse=True)
+def split_reader(request, monkeypatch):
+    """Both ways to read in splits: byte ranges, and lines where Python cannot open the files."""
+    if request.param == "lines":
+        if not any(name in request.node.name for name in SPLITTING):
+            pytest.skip("reads no splits")
+        monkeypatch.setattr("marquee.sources.extracts.reachable", lambda spark, file: False)
+    return request.param
+
+
+SPLITTING = ("split", "line_ends", "header", "short_rows", "irregular", "beyond", "partition_folder", "blank_lines")
+
+
+def record_texts(data, begin, end, **known):
+    item = ranges.Range(0, "f", begin, end, len(data), **known)
+    return [value for batch in ranges.cut_records(item, io.BytesIO(data)) for value in batch["value"].to_pylist()]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 4 << 20])
+def test_ranges_of_any_size_give_every_record_once(monkeypatch, end, chunk):
+    monkeypatch.setattr(ranges, "CHUNK", chunk)
+    out = io.StringIO(newline="")
+    writer = csv.writer(out, lineterminator=end)
+    writer.writerow(["id", "first", "second"])
+    rows = random_rows(random.Random(chunk), 12)
+    writer.writerows([[field.replace("\r", "") for field in row] for row in rows])
+    data = out.getvalue().encode()[: -len(end)]
+    whole = record_texts(data, 0, len(data), header=True, crlf=end == "\r\n")
+    assert len(whole) == 12 and [text.split(",")[0] for text in whole] == [str(k) for k in range(12)]
+    for size in (1, 2, 5, 17, 100):
+        files = [ranges.Range(0, "f", at, min(at + size, len(data)), len(data)) for at in range(0, len(data), size)]
+        surveys = {(0, item.begin): ranges.survey(item, io.BytesIO(data)) for item in files}
+        known, irregular = ranges.resolve(files, surveys)
+        assert not irregular
+        cut = [ranges.cut_records(item, io.BytesIO(data)) for item in known]
+        assert [value for batches in cut for batch in batches for value in batch["value"].to_pylist()] == whole
+
+
+def test_ranges_are_read_in_one_scan_each_and_written_nowhere(spark, conf, tmp_path):
+    (tmp_path / "in put,é").mkdir()
+    for number in range(2):
+        write_csv(tmp_path / "in put,é" / f"{number} %41.csv", random_rows(random.Random(number), 50))
+    whole, split = both_readers(spark, str(tmp_path / "in put,é"))
+    conf("spark.sql.files.maxPartitionBytes", "300")
+    split = read_extract(spark, str(tmp_path / "in put,é"), scratch=str(tmp_path / "scratch"))
+    assert sorted_rows(split) == sorted_rows(whole)
+    assert not (tmp_path / "scratch").exists()
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "quoted_csv_records" in plan and "Exchange" not in plan and "parquet" not in plan
+
+
+def test_compressed_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.csv.gz", "wt") as out:
+        out.write('id,first,second\n1,"a\nb",c\n')
+    write_csv(tmp_path / "in" / "b.csv", [["2", "x\ny", "z"]])
+    with pytest.warns(UserWarning, match="1 irregular files"):
+        got = read_extract(spark, str(tmp_path / "in"))
+    assert [tuple(row) for row in sorted_rows(got)] == [("1", "a\nb", "c"), ("2", "x\ny", "z")]
+
+
+def test_settings_of_an_object_store_reach_the_tasks(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    wanted = {"fs.s3a.endpoint": "http://store:9000/", "fs.s3a.access.key": "a", "fs.s3a.secret.key": "b"}
+    for name, value in wanted.items():
+        conf.set(name, value)
+    try:
+        assert ranges.store_settings(spark) == {
+            "endpoint_override": "store:9000", "scheme": "http", "access_key": "a", "secret_key": "b",
+        }
+    finally:
+        for name in wanted:
+            conf.unset(name)
+    assert not ranges.reachable(spark, "file:/no/such/file") and not ranges.reachable(spark, "odd://x/y")
+
+
 def test_partition_folders_give_columns_to_both_readers(spark, conf, tmp_path):
     for year in (1, 2):
         folder = tmp_path / "in" / f"y={year}"
@@ -244,7 +324,7 @@ def test_overwrite_replaces_everything(spark, tmp_path):
     write_table(literal_rows(spark, [(1, "x"), (2, "y")], "id int, text string"), root, "t")
     again = literal_rows(spark, [(3,)], "other int")
     for _ in range(2):
-        write_table(again, root, "t", rebalance=["other"])
+        write_table(again, root, "t", rebalance=["other"], overwrite_schema=True)
     assert read_table(spark, root, "t").collect() == again.collect()
 
 
@@ -286,3 +366,18 @@ def test_no_local_scratch_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(FakeSession(spark_master="yarn"), "x")
     assert "marquee-x-" in scratch_root(FakeSession(spark_master="local[2]"), "x")
+
+
+def test_extracts_read_side_by_side_are_not_mixed_up(spark, tmp_path, split_reader):
+    if split_reader == "lines":
+        pytest.skip("ranges only")
+    from concurrent.futures import ThreadPoolExecutor
+
+    for number in range(4):
+        write_csv(tmp_path / f"{number}.csv", [[str(number), "a\nb", "c"]] * 20)
+
+    def read(number):
+        return {row["id"] for row in read_extract(spark, f"{tmp_path}/{number}.csv").collect()}
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(read, [0, 1, 2, 3] * 2)) == [{str(number)} for number in range(4)] * 2
