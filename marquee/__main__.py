@@ -11,12 +11,13 @@ if not __package__:  # started by path: the package's parent has to be found, no
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from marquee.plans import curate, curation_report, ping, run_analytics  # noqa: E402
-from marquee.plans.answers import ACTOR, DIRECTOR, TOP  # noqa: E402
+from marquee.plans import curate, curation_report, ping, run, run_analytics  # noqa: E402
+from marquee.plans.answers import ACTOR, DIRECTOR, TOP, show_results  # noqa: E402
+from marquee.plans.curation import LOSSES  # noqa: E402
 from marquee.scratch import scratch_folder  # noqa: E402
 from marquee.session import build_session  # noqa: E402
 from marquee.sinks import show_preview  # noqa: E402
-from marquee.sources import read_table, require_inputs  # noqa: E402
+from marquee.sources import read_table, require_inputs, table_location, table_names  # noqa: E402
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -34,14 +35,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             job.add_argument("--staged", help="root for staged tables")
             job.add_argument("--report", action="store_true", help="print what was left out")
             job.add_argument("--single-line", action="store_true", help="end records at every line break")
-            job.add_argument("--split-records", action="store_true", help="read large files in splits")
+            job.add_argument("--whole-files", action="store_true", help="read each file in one task")
         if name in ("curate", "analytics", "run"):
             job.add_argument("--curated", required=True, help="root of the curated tables")
+        if name in ("curate", "analytics", "run"):
+            job.add_argument("--overwrite-schema", action="store_true", help="let tables change their columns")
         if name in ("analytics", "run"):
             job.add_argument("--analytics", required=True, help="root of the result tables")
             job.add_argument("--actor", default=ACTOR)
             job.add_argument("--job-title", default=DIRECTOR)
             job.add_argument("--top", type=int, default=TOP)
+    tables = jobs.add_parser("tables", help="print the tables of a root and the folders that hold them now")
+    tables.add_argument("--root", required=True)
+    tables.set_defaults(endpoint=None, format="parquet")
     return parser.parse_args(argv)
 
 
@@ -62,27 +68,32 @@ def main(argv: list[str] | None = None) -> None:
 def _work(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ping":
         show_preview(ping(spark))
-    if args.job in ("check", "curate", "run"):
+    if args.job in ("check", "curate"):  # a whole run checks by itself
         require_inputs(spark, args.raw, [args.movies, args.credits])
     if args.job == "check":
         print("all inputs are there")
     if args.job in ("curate", "run"):
         with scratch_folder(spark, "staged", args.staged) as staged:
-            curate(
-                spark,
-                args.raw,
-                args.curated,
-                args.format,
-                args.movies,
-                args.credits,
-                multiline=not args.single_line,
-                staged_root=staged,
-                split_records=args.split_records,
-            )
+            reading = {
+                "fmt": args.format,
+                "movies": args.movies,
+                "credits": args.credits,
+                "multiline": not args.single_line,
+                "staged_root": staged,
+                "split_records": not args.whole_files,
+                "overwrite_schema": args.overwrite_schema,
+            }
+            if args.job == "curate":
+                curate(spark, args.raw, args.curated, **reading)
+            else:
+                questions = {"actor": args.actor, "job": args.job_title, "top": args.top}
+                results = run(spark, args.raw, args.curated, args.analytics, **reading, **questions)
+                show_results(results)
             if args.report:
-                extracts = (read_table(spark, staged, name) for name in ("movies", "credits"))
-                show_preview(curation_report(*extracts))
-    if args.job in ("analytics", "run"):
+                names = ("movies", "credits", LOSSES + "movies", LOSSES + "credits")
+                report = curation_report(*(read_table(spark, staged, name) for name in names))
+                show_preview(report.sort("source", "check"), 100)
+    if args.job == "analytics":
         run_analytics(
             spark,
             args.curated,
@@ -92,7 +103,11 @@ def _work(spark: SparkSession, args: argparse.Namespace) -> None:
             args.job_title,
             args.top,
             show=True,
+            overwrite_schema=args.overwrite_schema,
         )
+    if args.job == "tables":
+        for name in table_names(spark, args.root):
+            print(name, table_location(spark, args.root, name), sep="\t")
 
 
 if __name__ == "__main__":

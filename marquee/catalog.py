@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructField, StructType
+
 # Element types of the JSON array columns.
 MOVIE_ARRAYS = {
     "genres": "array<struct<id:int,name:string>>",
@@ -113,6 +115,19 @@ CREDIT_BRIDGES = {
 KEY = "movie_id"
 CURATED_TABLES = ("movies", *MOVIE_BRIDGES, *CREDIT_BRIDGES)
 
+
+
+def table_schema(name: str) -> StructType:
+    """The declared columns of a curated table."""
+    kinds = {target: kind for _, target, kind in (*MOVIE_COLUMNS, *CREDIT_COLUMNS)}
+    if name == "movies":
+        return StructType.fromDDL(", ".join(f"{target} {kind}" for _, target, kind in MOVIE_COLUMNS))
+    bridge = (MOVIE_BRIDGES | CREDIT_BRIDGES)[name]
+    element = StructType.fromDDL(f"item {(MOVIE_ARRAYS | CREDIT_ARRAYS)[bridge.array]}")["item"].dataType.elementType
+    kept = StructType.fromDDL(", ".join(f"{column} {kinds[column]}" for column in (KEY, *bridge.carry)))
+    return StructType([*kept, *(StructField(target, element[source].dataType) for source, target in bridge.fields)])
+
+
 # Result tables and how many rows of each are previewed.
 PREVIEW_ROWS = {
     "tom_cruise_revenue": 5,

@@ -8,8 +8,10 @@ from marquee.operators.analytics import (
 from marquee.operators.shaping import (
     explode_bridge,
     fact_select,
+    loss_names,
     orphan_rows,
     parse_json_arrays,
+    with_losses,
 )
 
 __all__ = [
@@ -19,7 +21,9 @@ __all__ = [
     "filter_join_sort",
     "group_count",
     "join_group_avg",
+    "loss_names",
     "orphan_rows",
     "parse_json_arrays",
     "top_n",
+    "with_losses",
 ]

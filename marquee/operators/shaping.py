@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.functions import is_corrupt, json_array, lenient
 
@@ -27,6 +29,57 @@ def parse_json_arrays(df: DataFrame, arrays: Mapping[str, str], flag: bool = Fal
     return df.withColumns(parsed)
 
 
+def loss_names(columns: Iterable[tuple[str, str, str]], arrays: Mapping[str, str]) -> list[str]:
+    """The columns that :func:`with_losses` adds."""
+    casts = [f"lost_{target}" for _, target, kind in columns if kind != "string"]
+    return casts + [f"lost_{name}_{field}" for name, ddl in arrays.items() for field in _fields(ddl)]
+
+
+def _fields(ddl: str) -> list[str]:
+    return StructType.fromDDL(f"item {ddl}")["item"].dataType.elementType.names
+
+
+def with_losses(
+    df: DataFrame, columns: Iterable[tuple[str, str, str]], arrays: Mapping[str, str]
+) -> DataFrame:
+    """Raw rows with how much casts and parsing lose of each: ``lost_<target>`` is 1 where a text that is not
+    blank has no number, ``lost_<array>_<field>`` counts elements whose field holds a value that did
+    not come out.
+
+    The JSON is parsed a second time, once for all fields, and only where a field was NULL the first time.
+    """
+    casts = {
+        f"lost_{target}": F.when((F.trim(source) != "") & lenient(F.col(source), kind).isNull(), 1).otherwise(0)
+        for source, target, kind in columns
+        if kind != "string"
+    }
+    marks = {f"_marks_{name}": lost_marks(F.col(name), ddl) for name, ddl in arrays.items()}
+    counts = {
+        f"lost_{name}_{field}": F.coalesce(F.array_size(F.filter(f"_marks_{name}", lambda mark: mark[field])), F.lit(0))
+        for name, ddl in arrays.items()
+        for field in _fields(ddl)
+    }
+    # apart from the counts, so that the text is not parsed for each of them
+    return df.withColumns(marks).withColumns(casts | counts).drop(*marks)
+
+
+def lost_marks(text: Column, ddl: str) -> Column:
+    """Per element of a JSON array whether each field has a value in the text but none as ``ddl`` types it;
+    NULL if all fields came out. One object is an array of one, as for the parser."""
+    fields = _fields(ddl)
+    parsed = json_array(text, ddl)
+    whole = F.try_parse_json(text)
+    elements = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(whole))
+
+    def marked(item: Column, element: Column) -> Column:
+        held = {field: F.try_variant_get(element, f"$['{field}']", "string") for field in fields}
+        lost = (F.coalesce(item[f].isNull() & held[f].isNotNull(), F.lit(False)).alias(f) for f in fields)
+        return F.struct(*lost)
+
+    some = F.exists(parsed, lambda item: reduce(Column.__or__, (item[field].isNull() for field in fields)))
+    return F.when(some, F.zip_with(parsed, elements, marked))
+
+
 def fact_select(df: DataFrame, columns: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Project, leniently cast and rename ``(source, target, type)`` columns."""
     return df.select(*(lenient(F.col(src), to).alias(dst) for src, dst, to in columns))

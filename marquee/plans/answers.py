@@ -15,7 +15,7 @@ from marquee.operators import (
     join_group_avg,
     top_n,
 )
-from marquee.plans.curation import write_tables
+from marquee.plans.curation import curated_tables, write_tables
 from marquee.sinks import preview, show_preview
 from marquee.sources import read_table
 
@@ -86,19 +86,31 @@ def run_analytics(
     job: str = DIRECTOR,
     top: int = TOP,
     show: bool = False,
+    overwrite_schema: bool = False,
+    into: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the result tables and return them as read back.
+    """Write the result tables, which change all at once, and return them as read back.
 
-    Each question runs once; previews come from the written table.
+    Each question runs once; previews come from the written table. With ``into``, a folder of a version of
+    ``analytics_root``, the caller publishes.
     """
-    names = ("movies", "cast", "crew", "genres")
-    tables = {name: read_table(spark, curated_root, name, fmt) for name in names}
-    write_tables(analytics_frames(tables, actor, job, top), analytics_root, fmt, {})
-    written = {name: read_table(spark, analytics_root, name, fmt) for name in RANKED_BY}
+    tables = curated_tables(spark, curated_root, fmt, ("movies", "cast", "crew", "genres"))
+    frames = analytics_frames(tables, actor, job, top)
+    write_tables(frames, analytics_root, fmt, {}, overwrite_schema, into)
+    written = result_tables(spark, into or analytics_root, fmt)
     if show:
-        for name, table in written.items():
-            n = catalog.PREVIEW_ROWS[name]
-            rank = RANKED_BY[name]
-            ties = [F.col(other) for other in table.columns if other != rank]
-            show_preview(preview(table, n, [F.col(rank).desc(), *ties]), n)
+        show_results(written)
     return written
+
+
+def result_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    return {name: read_table(spark, root, name, fmt) for name in RANKED_BY}
+
+
+def show_results(tables: Mapping[str, DataFrame]) -> None:
+    """Print the first rows of each result."""
+    for name, table in tables.items():
+        n = catalog.PREVIEW_ROWS[name]
+        rank = RANKED_BY[name]
+        ties = [F.col(other) for other in table.columns if other != rank]
+        show_preview(preview(table, n, [F.col(rank).desc(), *ties]), n)

@@ -1,6 +1,6 @@
 from marquee.sources.extracts import read_extract
 from marquee.sources.inputs import input_files, missing_inputs, require_inputs, unread_files
-from marquee.sources.tables import literal_rows, read_table, table_path
+from marquee.sources.tables import literal_rows, read_table, table_location, table_names, table_path
 
 __all__ = [
     "input_files",
@@ -9,6 +9,8 @@ __all__ = [
     "read_extract",
     "read_table",
     "require_inputs",
+    "table_location",
+    "table_names",
     "table_path",
     "unread_files",
 ]

@@ -132,8 +132,12 @@ def test_answers(outcome):
 
 def test_report(outcome, spark):
     multiline, _, _, folder = outcome
-    staged = [read_table(spark, str(folder / "staged"), name) for name in ("movies", "credits")]
+    names = ("movies", "credits", "losses_movies", "losses_credits")
+    staged = [read_table(spark, str(folder / "staged"), name) for name in names]
     report = {(r["source"], r["check"]): r["rows"] for r in curation_report(*staged).collect()}
+    assert report[("movies", "lost_movie_id")] == (0 if multiline else 1)
+    assert report[("movies", "lost_genres_id")] == report[("credits", "lost_cast_gender")] == 0
+    assert len(report) == 2 + 2 + 7 + 1 + 7 + 1 + 10 + 13
     assert report[("movies", "rows")] == (5 if multiline else 6)
     assert report[("movies", "null_key")] == (0 if multiline else 1)
     # the junk row of a record cut at its line break has other text in the genres field
@@ -178,7 +182,9 @@ def test_scratch_is_removed_also_after_a_failure(spark, monkeypatch, tmp_path):
     curate(spark, raw, str(tmp_path / "c"), split_records=True)
     assert scratch_of(tmp_path / "shared") == []
     curate(spark, raw, str(tmp_path / "c"), split_records=True, staged_root=str(tmp_path / "staged"))
-    assert sorted(path.name for path in (tmp_path / "staged").iterdir()) == ["credits", "movies"]
+    assert sorted(path.name for path in (tmp_path / "staged").iterdir()) == [
+        "credits", "losses_credits", "losses_movies", "movies",
+    ]
 
     def broken(*_):
         raise RuntimeError("no tables today")

@@ -1,0 +1,272 @@
+"""Tables that are replaced whole or not at all, sets that change at once, declared columns."""
+
+from threading import Lock
+
+import pytest
+from catalogue import write_extracts
+from pyspark.sql import functions as F
+
+from marquee import catalog, storage
+from marquee.plans import curate, run
+from marquee.sinks import SchemaChanged, new_version, save_table, write_table
+from marquee.sinks import versions as versions_module
+from marquee.sources import literal_rows, read_table, table_location, table_names
+from marquee.sources.tables import POINTER, Pointer, read_pointer, write_pointer
+
+
+def rows(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
+def numbers(spark, *values):
+    return literal_rows(spark, [(value,) for value in values], "n int")
+
+
+def hidden(folder):
+    return sorted(path.name for path in folder.iterdir() if path.name.startswith("."))
+
+
+def failing(spark, count=64):
+    """Rows of which the last task fails, after others have written files."""
+    broken = F.when(F.col("id") == count - 1, F.raise_error(F.lit("half way")).cast("int"))
+    return spark.range(0, count, 1, 8).select(F.coalesce(broken, F.col("id").cast("int")).alias("n"))
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(numbers(spark, 1, 2), root, "t")
+    with pytest.raises(Exception, match="half way"):
+        write_table(failing(spark), root, "t")
+    assert rows(read_table(spark, root, "t")) == [(1,), (2,)]
+    assert hidden(tmp_path) == []
+    with pytest.raises(Exception, match="half way"):
+        write_table(failing(spark), root, "new")
+    assert not (tmp_path / "new").exists() and hidden(tmp_path) == []
+
+
+def test_a_table_may_be_made_from_itself(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(numbers(spark, 1, 2), root, "t")
+    for _ in range(2):
+        held = read_table(spark, root, "t")
+        write_table(held.select((held["n"] + 1).alias("n")), root, "t")
+    assert rows(read_table(spark, root, "t")) == [(3,), (4,)]
+
+
+@pytest.mark.parametrize("failing_move", [1, 2])
+def test_a_rename_that_fails_leaves_the_old_table(spark, tmp_path, monkeypatch, failing_move):
+    root, calls = str(tmp_path), []
+    write_table(numbers(spark, 1), root, "t")
+
+    def move(spark, source, target):
+        calls.append(target)
+        if len(calls) == failing_move:
+            raise OSError("no renaming now")
+        storage.move(spark, source, target)
+
+    monkeypatch.setattr("marquee.sinks.tables.move", move)
+    with pytest.raises(OSError, match="no renaming"):
+        write_table(numbers(spark, 2), root, "t")
+    assert rows(read_table(spark, root, "t")) == [(1,)]
+    assert hidden(tmp_path) == []
+
+
+def test_a_job_that_dies_between_the_renames_is_made_good(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(numbers(spark, 1), root, "t")
+    write_table(numbers(spark, 2), root, "u")
+    # as it looks after the old table was moved aside
+    (tmp_path / "t").rename(tmp_path / ".t.old-1")
+    (tmp_path / "u").rename(tmp_path / ".t.new-1")
+    (tmp_path / ".t.new-0").mkdir()  # of a job that died while it wrote
+    assert rows(read_table(spark, root, "t")) == [(2,)]
+    write_table(numbers(spark, 3), root, "t")
+    assert rows(read_table(spark, root, "t")) == [(3,)] and hidden(tmp_path) == []
+
+
+def test_a_folder_is_not_moved_into_another(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+    with pytest.raises(FileExistsError):
+        storage.move(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    with pytest.raises(Exception):
+        storage.move(spark, f"{tmp_path}/absent", f"{tmp_path}/c")
+
+
+def test_small_files_are_replaced_at_once(spark, tmp_path):
+    path = f"{tmp_path}/sub/file"
+    assert storage.read_text(spark, path) is None
+    for text in ("one", "two, é\n", ""):
+        storage.write_text(spark, path, text)
+        assert storage.read_text(spark, path) == text
+    assert [name for name in storage.children(spark, f"{tmp_path}/sub") if not name.endswith(".crc")] == ["file"]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_other_columns_are_refused_unless_meant(spark, tmp_path, fmt):
+    root = str(tmp_path)
+    write_table(literal_rows(spark, [(1, "x")], "a int, b string"), root, "t", fmt)
+    for schema, row in (("a int", (2,)), ("a int, b string, c int", (2, "y", 3)), ("a long, b string", (2, "y")),
+                        ("a int, c string", (2, "y"))):
+        with pytest.raises(SchemaChanged, match="would change its columns"):
+            write_table(literal_rows(spark, [row], schema), root, "t", fmt)
+        assert rows(read_table(spark, root, "t", fmt)) == [(1, "x")]
+    write_table(literal_rows(spark, [("y", 2)], "b string, a int"), root, "t", fmt)
+    assert read_table(spark, root, "t", fmt).columns == ["a", "b"]
+    write_table(literal_rows(spark, [(5,)], "c int"), root, "t", fmt, overwrite_schema=True)
+    assert rows(read_table(spark, root, "t", fmt)) == [(5,)]
+
+
+def test_a_set_keeps_its_columns_too(spark, tmp_path):
+    from marquee.plans.curation import write_tables
+
+    root = str(tmp_path)
+    write_tables({"a": numbers(spark, 1), "b": numbers(spark, 2)}, root, "parquet", {})
+    other = literal_rows(spark, [("x",)], "n string")
+    with pytest.raises(SchemaChanged):
+        write_tables({"a": numbers(spark, 3), "b": other}, root, "parquet", {})
+    assert [rows(read_table(spark, root, name)) for name in ("a", "b")] == [[(1,)], [(2,)]]
+    write_tables({"a": numbers(spark, 3), "b": other}, root, "parquet", {}, overwrite_schema=True)
+    assert [rows(read_table(spark, root, name)) for name in ("a", "b")] == [[(3,)], [("x",)]]
+
+
+def test_empty_folders_and_formats_without_columns_have_none_to_keep(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    write_table(numbers(spark, 1), str(tmp_path), "t")
+    write_table(numbers(spark, 1), str(tmp_path), "j", "json")
+    write_table(literal_rows(spark, [("x",)], "m string"), str(tmp_path), "j", "json")
+    assert read_table(spark, str(tmp_path), "j", "json").columns == ["m"]
+
+
+def publish(spark, roots, tables, fail=False):
+    with new_version(spark, roots) as folders:
+        for folder, own in zip(folders, tables):
+            for name, value in own.items():
+                save_table(numbers(spark, value), folder, name)
+        if fail:
+            raise RuntimeError("stopped")
+
+
+def held(spark, root, *names):
+    return {name: read_table(spark, root, name).first()["n"] for name in names}
+
+
+def test_tables_of_several_roots_change_together(spark, tmp_path):
+    roots = [f"{tmp_path}/a", f"{tmp_path}/b/"]
+    publish(spark, roots, [{"x": 1, "y": 1}, {"z": 1}])
+    early = read_table(spark, roots[0], "x")
+    publish(spark, roots, [{"x": 2}, {"z": 2}])
+    assert held(spark, roots[0], "x", "y") == {"x": 2, "y": 1} and held(spark, roots[1], "z") == {"z": 2}
+    with pytest.raises(RuntimeError, match="stopped"):
+        publish(spark, roots, [{"x": 3, "y": 3}, {"z": 3}], fail=True)
+    assert held(spark, roots[0], "x", "y") == {"x": 2, "y": 1} and held(spark, roots[1], "z") == {"z": 2}
+    assert table_names(spark, roots[0]) == ["x", "y"]
+    assert early.first()["n"] == 1  # a reader of the version before
+    publish(spark, roots, [{"x": 4, "y": 4}, {"z": 4}])
+    publish(spark, roots, [{"x": 5, "y": 5}, {"z": 5}])
+    # the current version and the one before
+    assert len(list((tmp_path / "a" / "_versions").glob("[!.]*"))) == 2
+    assert spark.read.format("binaryFile").load(table_location(spark, roots[0], "x")).count() > 0
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_wherever_publishing_stops_all_tables_are_of_one_version(spark, tmp_path, monkeypatch, step):
+    roots = [f"{tmp_path}/a", f"{tmp_path}/b"]
+    publish(spark, roots, [{"x": 1}, {"z": 1}])
+    steps = []
+
+    def stopping(work):
+        def tried(*args):
+            steps.append(work.__name__)
+            if len(steps) > step:
+                raise KeyboardInterrupt
+            return work(*args)
+
+        return tried
+
+    with monkeypatch.context() as patched:
+        patched.setattr(versions_module, "write_pointer", stopping(versions_module.write_pointer))
+        patched.setattr(versions_module, "write_text", stopping(versions_module.write_text))
+        patched.setattr(versions_module, "remove", stopping(versions_module.remove))
+        with pytest.raises(KeyboardInterrupt):
+            publish(spark, roots, [{"x": 2}, {"z": 2}])
+    done = 2 if "write_text" in steps[:step] else 1
+    assert held(spark, roots[0], "x") == {"x": done} and held(spark, roots[1], "z") == {"z": done}
+    publish(spark, roots, [{"x": 3}, {"z": 3}])
+    assert held(spark, roots[0], "x") == {"x": 3} and held(spark, roots[1], "z") == {"z": 3}
+
+
+def test_a_pointer_means_the_old_tables_until_its_mark_is_there(spark, tmp_path):
+    root = str(tmp_path)
+    write_pointer(spark, root, Pointer({"t": "old"}, {"t": "new"}, f"{root}/mark"))
+    assert read_pointer(spark, root) == Pointer({"t": "old"})
+    (tmp_path / "mark").touch()
+    assert read_pointer(spark, root) == Pointer({"t": "new"})
+    assert (tmp_path / POINTER).exists()
+
+
+def test_a_run_that_fails_after_table_9_of_13_shows_13_old_tables(spark, tmp_path, monkeypatch):
+    (tmp_path / "raw").mkdir()
+    raw = write_extracts(tmp_path / "raw")
+    curated, answers = str(tmp_path / "c"), str(tmp_path / "a")
+    run(spark, raw, curated, answers, actor="Pat Lee")
+    places = {
+        (root, name): table_location(spark, root, name)
+        for root, names in ((curated, catalog.CURATED_TABLES), (answers, catalog.PREVIEW_ROWS))
+        for name in names
+    }
+    before = {key: rows_as_text(read_table(spark, *key)) for key in places}
+    assert len(before) == 13
+
+    from marquee.plans import curation
+
+    written, save, lock = [], curation.save_table, Lock()
+
+    def until_nine(df, folder, name, *rest):
+        with lock:
+            if len(written) >= 9:
+                raise RuntimeError("no room for a tenth")
+            save(df, folder, name, *rest)
+            written.append(name)
+
+    (tmp_path / "raw" / "credits.csv").write_text("movie_id,title,cast,crew\n")
+    with monkeypatch.context() as patched:
+        patched.setattr(curation, "save_table", until_nine)
+        with pytest.raises(RuntimeError, match="tenth"):
+            run(spark, raw, curated, answers, actor="Pat Lee")
+    assert len(written) == 9 and set(catalog.CURATED_TABLES) < set(written)
+    assert {key: table_location(spark, *key) for key in places} == places
+    assert {key: rows_as_text(read_table(spark, *key)) for key in places} == before
+    run(spark, raw, curated, answers, actor="Pat Lee")
+    assert read_table(spark, curated, "cast").count() == 0
+
+
+def rows_as_text(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_declared_columns_must_be_stored(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(literal_rows(spark, [(1, "x", 2.0)], "a int, b string, c double"), root, "t")
+    got = read_table(spark, root, "t", schema="c double, a int")
+    assert got.columns == ["c", "a"] and rows(got) == [(2.0, 1)]
+    with pytest.raises(ValueError, match="d int .stored: no such column"):
+        read_table(spark, root, "t", schema="a int, d int")
+    with pytest.raises(ValueError, match="a bigint .stored: int"):
+        read_table(spark, root, "t", schema="a bigint")
+
+
+def test_analytics_refuses_a_curated_table_without_a_column(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    raw, curated = write_extracts(tmp_path / "raw"), str(tmp_path / "c")
+    tables = curate(spark, raw, curated)
+    for name, table in tables.items():
+        assert [(f.name, f.dataType) for f in table.schema] == [
+            (f.name, f.dataType) for f in catalog.table_schema(name)
+        ]
+    from marquee.plans import run_analytics
+
+    with new_version(spark, [curated]) as (folder,):
+        save_table(tables["movies"].drop("revenue"), folder, "movies")
+    with pytest.raises(ValueError, match="revenue bigint"):
+        run_analytics(spark, curated, str(tmp_path / "a"))

@@ -31,7 +31,7 @@ _MOVIES = f"""
            o_totalprice as popularity,
            strftime(o_orderdate, '%Y-%m-%d') as release_date,
            {CENTS} * 100 as revenue,
-           cast(day(o_orderdate) as integer) as runtime,
+           case when day(o_orderdate) < 31 then cast(day(o_orderdate) as integer) end as runtime,
            o_orderstatus as status,
            cast(null as varchar) as tagline,
            'Order ' || o_orderkey as title,
@@ -98,6 +98,34 @@ _LOSSES = (
     ]
 )
 
+_LOST = {
+    "lost_budget": f"(select count(*) from orders where try_cast({CENTS} as integer) is null)",
+    "lost_runtime": "(select count(*) from orders where day(o_orderdate) = 31)",
+    "lost_keywords_id": "(select count(*) from orders where o_orderstatus = 'P')",
+}
+_CASTS = {
+    "movies": "budget movie_id popularity revenue runtime vote_average vote_count".split(),
+    "credits": ["movie_id"],
+}
+_FIELDS = {
+    "movies": {
+        "genres": "id name",
+        "keywords": "id name",
+        "production_companies": "id name",
+        "production_countries": "iso_3166_1 name",
+        "spoken_languages": "iso_639_1 name",
+    },
+    "credits": {
+        "cast": "cast_id character credit_id gender id name order",
+        "crew": "credit_id department gender id job name",
+    },
+}
+_LOSSES += [
+    (source, f"lost_{name}", _LOST.get(f"lost_{name}", "0"))
+    for source, arrays in _FIELDS.items()
+    for name in (*_CASTS[source], *(f"{array}_{field}" for array in arrays for field in arrays[array].split()))
+]
+
 _REPORT = " union all ".join(
     f"select '{source}' as source, '{check}' as \"check\", cast({rows} as bigint) as \"rows\""
     for source, check, rows in _LOSSES
@@ -148,6 +176,7 @@ ORACLES = {
     "json_object_field": "select event_id, cast(props->>'$.k' as integer) as k from events",
     "csv_scan": _DOCUMENTS,
     "csv_scan_in_splits": _DOCUMENTS,
+    "csv_scan_whole_files": _DOCUMENTS,
     "csv_scan_single_line": """
         select doc_id, replace(replace(text, chr(13), ' '), chr(10), ' ') as text, lang, source, n_chars
         from documents
@@ -173,6 +202,18 @@ ORACLES = {
     """,
     "table_roundtrip": "select * from orders",
     "overwrite_idempotent": "select * from orders",
+    "atomic_replace": "select * from orders",
+    "version_set": """
+        select l_linenumber, count(*) as line_count from lineitem
+        where l_orderkey in (select o_orderkey from orders where o_orderkey % 4 < 3)
+        group by l_linenumber
+    """,
+    "lost_elements": """
+        select l_linenumber, cast(sum(case when l_linenumber = 4 then 1 else 0 end) as bigint) as lost_ids,
+               cast(0 as bigint) as lost_names
+        from lineitem group by l_linenumber
+    """,
+    "declared_scan": "select o_orderkey, o_custkey, o_orderstatus from orders",
     "missing_inputs": "select 'absent.parquet' as name",
     "preview_n": f"""
         select o_orderkey, {CENTS} as cents from orders order by cents desc, o_orderkey limit 5
@@ -191,7 +232,8 @@ ORACLES = {
     "curated_movies": _MOVIES,
     "curated_genres": _GENRES,
     "curated_keywords": _array(
-        "try_cast(o_custkey as integer) as keyword_id, lower(o_orderpriority) as keyword_name"
+        "case when o_orderstatus <> 'P' then try_cast(o_custkey as integer) end as keyword_id,"
+        " lower(o_orderpriority) as keyword_name"
     ),
     "curated_production_companies": _array(
         "try_cast(o_custkey as integer) as company_id, 'Customer ' || o_custkey as company_name"

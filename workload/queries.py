@@ -20,12 +20,16 @@ from marquee.operators import (
     orphan_rows,
     parse_json_arrays,
     top_n,
+    with_losses,
 )
 from marquee.plans import curation_report
+from marquee.plans.curation import LOSSES
 from marquee.plans.smoke import PING_ROWS
 from marquee.scratch import scratch_root
-from marquee.sinks import preview, write_table
+from marquee.sinks import new_version, preview, save_table, write_table
 from marquee.sources import literal_rows, missing_inputs, read_extract, read_table
+from marquee.sources.extracts import CSV_OPTIONS
+from marquee.sources.records import read_quoted_records
 from workload.tables import cents, run_output, table, write_raw_csv
 
 
@@ -155,7 +159,7 @@ def _documents_as_read(raw: DataFrame) -> DataFrame:
     return raw.select(*numbers, *_DOCUMENT)
 
 
-def q_csv_scan(spark, sf_dir, split_records=False):
+def q_csv_scan(spark, sf_dir, split_records=True):
     """All documents through a CSV extract and back."""
     root = scratch_root(spark, "csv")
     write_raw_csv(table(spark, sf_dir, "documents"), f"{root}/documents.csv")
@@ -165,6 +169,17 @@ def q_csv_scan(spark, sf_dir, split_records=False):
     return _documents_as_read(raw)
 
 
+def q_csv_scan_in_splits(spark, sf_dir):
+    """All documents as where only Spark's readers reach the files: in splits of lines."""
+    root = scratch_root(spark, "csv")
+    path = f"{root}/documents.csv"
+    write_raw_csv(table(spark, sf_dir, "documents"), path)
+    schema = spark.read.options(header=True, multiLine=True, **CSV_OPTIONS).csv(path).schema
+    raw, irregular = read_quoted_records(spark, path, schema, schema.names, CSV_OPTIONS, f"{root}/staged")
+    assert not irregular
+    return _documents_as_read(raw)
+
+
 def q_csv_scan_single_line(spark, sf_dir):
     """All documents, their line breaks replaced, read with a record per line."""
     root = scratch_root(spark, "csv")
@@ -246,8 +261,10 @@ def q_overwrite_idempotent(spark, sf_dir):
     """Another table first, then the orders twice: only the orders are left."""
     root = scratch_root(spark, "table")
     orders = table(spark, sf_dir, "orders")
-    for content in (orders.select("o_custkey"), orders, orders):
-        write_table(content, root, "orders", rebalance=["o_custkey"])
+    write_table(orders.select("o_custkey"), root, "orders")
+    write_table(orders, root, "orders", rebalance=["o_custkey"], overwrite_schema=True)
+    # the columns stay, in whatever order they come
+    write_table(orders.select(*reversed(orders.columns)), root, "orders", rebalance=["o_custkey"])
     return read_table(spark, root, "orders")
 
 
@@ -278,7 +295,64 @@ def q_curate_run(spark, sf_dir):
 
 
 def q_curation_report(spark, sf_dir):
-    return curation_report(*(run_output(spark, sf_dir, "staged", n) for n in ("movies", "credits")))
+    names = ("movies", "credits", LOSSES + "movies", LOSSES + "credits")
+    return curation_report(*(run_output(spark, sf_dir, "staged", name) for name in names))
+
+
+def q_atomic_replace(spark, sf_dir):
+    """The orders, after a write of twice as many rows that failed on its last ones."""
+    root = scratch_root(spark, "table")
+    orders = table(spark, sf_dir, "orders")
+    write_table(orders, root, "orders")
+    fails = F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("half way"))).otherwise(F.col("o_custkey"))
+    broken = read_table(spark, root, "orders").unionByName(orders.withColumn("o_custkey", fails.cast("long")))
+    try:
+        write_table(broken, root, "orders")
+    except Exception as error:  # Spark's own or the raised one, by version
+        if "half way" not in str(error):
+            raise
+    return read_table(spark, root, "orders")
+
+
+def q_version_set(spark, sf_dir):
+    """Two tables that change together: a published set, and one that failed before it was."""
+    root = scratch_root(spark, "table")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+
+    def publish(share, fail=False):
+        with new_version(spark, [f"{root}/a", f"{root}/b"]) as (first, second):
+            save_table(orders.filter(f"o_orderkey % 4 < {share}"), first, "orders")
+            if fail:
+                raise InterruptedError
+            save_table(lines.filter(f"l_orderkey % 4 < {share}"), second, "lines")
+
+    publish(1)
+    publish(3)
+    try:
+        publish(4, fail=True)
+    except InterruptedError:
+        pass
+    held = read_table(spark, f"{root}/a", "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    return group_count(held.join(read_table(spark, f"{root}/b", "lines"), "l_orderkey"), ["l_linenumber"], "line_count")
+
+
+def q_lost_elements(spark, sf_dir):
+    """Elements per line number whose id or name holds a value that parsing does not give."""
+    counted = with_losses(tagged_lines(spark, sf_dir), [], _TAGS)
+    return counted.groupBy("l_linenumber").agg(
+        F.sum("lost_tags_id").alias("lost_ids"), F.sum("lost_tags_name").alias("lost_names")
+    )
+
+
+def q_declared_scan(spark, sf_dir):
+    """Three declared columns of the orders; a column that is not stored is refused."""
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+    try:
+        read_table(spark, sf_dir, "orders.parquet", schema=f"{columns}, o_nothing int")
+    except ValueError:
+        return read_table(spark, sf_dir, "orders.parquet", schema=columns)
+    raise AssertionError("a column that is not there was read")
 
 
 QUERIES = {
@@ -293,7 +367,8 @@ QUERIES = {
     "explode_bridge": q_explode_bridge,
     "json_object_field": q_json_object_field,
     "csv_scan": q_csv_scan,
-    "csv_scan_in_splits": partial(q_csv_scan, split_records=True),
+    "csv_scan_in_splits": q_csv_scan_in_splits,
+    "csv_scan_whole_files": partial(q_csv_scan, split_records=False),
     "csv_scan_single_line": q_csv_scan_single_line,
     "csv_scan_irregular": q_csv_scan_irregular,
     "lenient_cast": q_lenient_cast,
@@ -305,6 +380,10 @@ QUERIES = {
     "literal_rows": q_literal_rows,
     "curate_run": q_curate_run,
     "curation_report": q_curation_report,
+    "atomic_replace": q_atomic_replace,
+    "version_set": q_version_set,
+    "lost_elements": q_lost_elements,
+    "declared_scan": q_declared_scan,
     **{f"curated_{n}": partial(run_output, layer="curated", name=n) for n in CURATED_TABLES},
     **{f"answer_{n}": partial(run_output, layer="analytics", name=n) for n in PREVIEW_ROWS},
 }

@@ -59,7 +59,10 @@ def raw_movies(orders: DataFrame) -> DataFrame:
         genres.alias("genres"),
         F.when(status == "O", F.concat(F.lit("http://o/"), order.cast("string"))).alias("homepage"),
         order.cast("string").alias("id"),
-        _json({"id": customer, "name": F.lower(priority)}).alias("keywords"),
+        # an id that is no number is lost
+        F.when(status == "P", _json({"id": F.concat(F.lit("k"), customer.cast("string")), "name": F.lower(priority)}))
+        .otherwise(_json({"id": customer, "name": F.lower(priority)}))
+        .alias("keywords"),
         F.lower(status).alias("original_language"),
         _order_title("o_orderkey").alias("original_title"),
         F.concat(F.lit('He said "'), priority, F.lit('",\nthen left')).alias("overview"),
@@ -72,7 +75,9 @@ def raw_movies(orders: DataFrame) -> DataFrame:
         ),
         F.date_format(date, "yyyy-MM-dd").alias("release_date"),
         (price * 100).cast("string").alias("revenue"),
-        F.concat(F.dayofmonth(date).cast("string"), F.lit(".0")).alias("runtime"),
+        F.when(F.dayofmonth(date) == 31, "n/a")
+        .otherwise(F.concat(F.dayofmonth(date).cast("string"), F.lit(".0")))
+        .alias("runtime"),
         _json({"iso_639_1": F.lower(status), "name": status}).alias("spoken_languages"),
         status.alias("status"),
         F.lit(None).cast("string").alias("tagline"),
