@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions import lenient, lenient_double, lenient_int, lenient_long
-from marquee.operators import explode_bridge, fact_select, parse_json_arrays
+from marquee.operators import explode_bridge, fact_select, loss_names, parse_json_arrays, with_losses
 
 TEXTS = [
     None, "162", "162.0", "162.7", "-1.5", " 7 ", "\t7.9\n", "", " ", "abc", "3000000000", "1e3",
@@ -96,3 +96,37 @@ def test_fact_select_ignores_other_columns(spark):
     fact = fact_select(raw, [("id", "key", "int"), ("name", "title", "string")])
     assert fact.dtypes == [("key", "int"), ("title", "string")]
     assert tuple(fact.first()) == (1, "x")
+
+
+LOST = {
+    # id and name lost per text
+    '[{"id": 1, "name": "a"}]': (0, 0),
+    '[{"id": "a", "name": "a"}, {"id": "7"}, {"id": 1.5}]': (3, 0),
+    '[{"id": null}, null, {}, {"ID": 5}]': (0, 0),
+    '[{"id": 99999999999, "name": {"x": 1}}, {"id": 2, "name": 3}]': (1, 0),
+    '{"id": "x"}': (1, 0),
+    '[{"id": [1, 2]}]': (1, 0),
+    "[]": (0, 0),
+    "": (0, 0),
+    "not json": (0, 0),
+    '[{"id": 1, "name":': (0, 0),
+    None: (0, 0),
+}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_that_parsing_loses_are_counted(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    raw = spark.createDataFrame([(text,) for text in LOST], "raw string")
+    counted = with_losses(raw, [], {"raw": "array<struct<id:int,name:string>>"})
+    assert counted.columns == ["raw", *loss_names([], {"raw": "array<struct<id:int,name:string>>"})]
+    got = {row["raw"]: (row["lost_raw_id"], row["lost_raw_name"]) for row in counted.collect()}
+    # what the parser makes of a whole text that it refuses is counted as corrupt, not here
+    assert got == LOST
+
+
+def test_texts_that_casts_lose_are_counted(spark):
+    raw = spark.createDataFrame([("1.5", "x"), ("n/a", None), (None, "2"), ("  ", ""), ("1e3", "y")], "a string, b string")
+    counted = with_losses(raw, [("a", "whole", "int"), ("a", "real", "double"), ("b", "text", "string")], {})
+    assert counted.columns == ["a", "b", "lost_whole", "lost_real"]
+    assert [(row.lost_whole, row.lost_real) for row in counted.collect()] == [(0, 0), (1, 1), (0, 0), (0, 0), (1, 0)]
