@@ -13,7 +13,9 @@ Second pass, by the whole region. Equal regions are equal window by window: all
 has regions of one kind only, it is done.
 
 Further passes, for grams with several kinds of regions: one region of each kind is unrolled to its windows,
-these are parted by the bytes of their first half and then by those of the second.
+these are parted by the bytes of their first half and then by those of the second. The regions of a gram
+go to one task for that as they are, and are only unrolled there. A gram with more than ``KINDS`` kinds is no
+work for one task: its windows are rows of their own, which are parted by shuffles that count first.
 
 Digits are 64-bit hashes of the bytes and each window has been compared by 128 bits in the end. Texts that
 occur twice as a whole are known beforehand by 128 bits of hashes and not searched. Counting repeats
@@ -23,16 +25,18 @@ combines map-side; a hot digit is one row where it is joined.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.buffers import text_bytes
-from marquee.llm.common import ship, written
+from marquee.llm.common import shared, ship, written
 from marquee.llm.text import mix, ragged, slices
 
 LENGTH = 200
@@ -46,6 +50,9 @@ BITS = 16
 MOST_CELLS = 1 << 21
 HASHES = 3
 
+# So many kinds of regions of a gram are ordered in one task.
+KINDS = 10_000
+
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 2**64)
 _KEY = ["key_1", "key_2"]
@@ -209,7 +216,7 @@ def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 )
 
     packed = texts.select("text", *_KEY).mapInArrow(pack, "key_1 long, key_2 long, packed binary")
-    per_text = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("kind", "first", "last")).alias("spans"))
+    per_text = spans.groupBy(*_KEY).agg(F.collect_set(F.struct(*_SPAN)).alias("spans"))
     joined = packed.dropDuplicates(_KEY).join(per_text, _KEY).withColumn("row", F.monotonically_increasing_id())
     return written(joined, "texts")
 
@@ -218,19 +225,24 @@ def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
 REPEATED, OPEN, PARTNER = 0, 1, 2
 
 
+def _unresolved(batch: pa.RecordBatch, hot: bool) -> Iterator[tuple[Any, bytes, list[dict]]]:
+    """Row, text and the spans that are open or partners, of grams with many kinds of regions or few."""
+    plain = zstandard.ZstdDecompressor()
+    for row, packed, spans in zip(*(batch.column(name) for name in ("row", "packed", "spans"))):
+        own = [span for span in spans.as_py() if span["kind"] != REPEATED and span["hot"] == hot]
+        if own:
+            yield row, plain.decompress(packed.as_py()), own
+
+
 def windows(spanned: DataFrame, length: int) -> DataFrame:
-    """``row``, ``start``, ``open`` and the digits of the windows in spans that are open or partners."""
+    """``row``, ``start``, ``open`` and the digits of the windows of grams with many kinds of regions."""
     names = ["row", "start", "open", "digit_1", "digit_2"]
     half = length // 2
 
     def unroll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, plain = xxhash.xxh3_64_intdigest, zstandard.ZstdDecompressor()
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            for k in range(batch.num_rows):
-                spans = [own for own in batch.column("spans")[k].as_py() if own["kind"] != REPEATED]
-                if not spans:
-                    continue
-                text = plain.decompress(batch.column("packed")[k].as_py())
+            for row, text, spans in _unresolved(batch, hot=True):
                 sizes = np.array([own["last"] - own["first"] + 1 for own in spans])
                 starts = ragged(np.array([own["first"] for own in spans]), sizes)
                 is_open = np.repeat([own["kind"] == OPEN for own in spans], sizes)
@@ -240,7 +252,7 @@ def windows(spanned: DataFrame, length: int) -> DataFrame:
                     for low, high in ((0, half), (half, length))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(batch.column("row")[k], len(at)), pa.array(starts.astype(np.int32)),
+                    [pa.repeat(row, len(at)), pa.array(starts.astype(np.int32)),
                      pa.array(is_open), *map(pa.array, digits)], names=names
                 )
 
@@ -248,42 +260,142 @@ def windows(spanned: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(unroll, "row long, start int, open boolean, digit_1 long, digit_2 long")
 
 
+def region_bytes(spanned: DataFrame, length: int) -> DataFrame:
+    """``gram``, ``row``, ``first``, ``open`` and ``bytes`` of the regions of grams with few kinds of them."""
+    names = ["gram", "row", "first", "open", "bytes"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, spans in _unresolved(batch, hot=False):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own["gram"] for own in spans], pa.int64()), pa.repeat(row, len(spans)),
+                     pa.array([own["first"] for own in spans], pa.int32()),
+                     pa.array([own["kind"] == OPEN for own in spans]),
+                     pa.array([text[own["first"] : own["last"] + length] for own in spans], pa.binary())], names=names
+                )
+
+    rows = spanned.select("row", "packed", "spans")
+    return rows.mapInArrow(cut, "gram long, row long, first int, open boolean, bytes binary")
+
+
+def together(keys: list[np.ndarray]) -> np.ndarray:
+    """Which of some rows have equal keys with another, after a sort by one key after the other."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order) + 1, dtype=bool)
+    new[1:-1] = False
+    for key in keys:
+        new[1:-1] |= key[order[1:]] != key[order[:-1]]
+    # alone is what begins anew and is followed by what does
+    alone = np.zeros(len(order), dtype=bool)
+    alone[order] = new[:-1] & new[1:]
+    return ~alone
+
+
+def order_regions(rows: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Region, and first and last window in it, of the runs of windows in open regions that are repeated. The
+    table holds all regions of its grams."""
+    binary = rows.column("bytes").combine_chunks()
+    binary = binary.chunk(0) if isinstance(binary, pa.ChunkedArray) else binary
+    data, offsets = text_bytes(binary.cast(pa.binary()).view(pa.string()))
+    half = (length + 1) // 2
+    hashes = gram_hashes(data, half)
+    sizes = np.diff(offsets) - length + 1
+    starts = ragged(offsets[:-1], sizes)
+    region = np.repeat(np.arange(len(sizes)), sizes)
+    grams = rows.column("gram").to_numpy()
+    is_open = rows.column("open").to_numpy()
+    left = np.arange(len(starts))
+    # by the bytes of the first half, then by those of the second
+    for depth in (0, length - half):
+        keys = [grams[region[left]], hashes[starts[left]], hashes[starts[left] + depth]]
+        left = left[together(keys[: 3 if depth else 2])]
+    left = left[is_open[region[left]]]
+    owner, place = region[left], starts[left] - offsets[region[left]]
+    new = np.ones(len(left), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(left)) - 1 if len(left) else first
+    return owner[first], place[first], place[last]
+
+
+def ordered_in_tasks(regions_of_grams: DataFrame, length: int) -> DataFrame:
+    """``row``, ``first`` and ``last`` of repeated windows in open regions; each gram is one task's work."""
+    names = ["row", "first", "last"]
+
+    def ordered(table: pa.Table) -> pa.RecordBatch:
+        owner, first, last = order_regions(table, length)
+        begin = table.column("first").to_numpy()[owner]
+        return pa.RecordBatch.from_arrays(
+            [table.column("row").combine_chunks().take(pa.array(owner)).cast(pa.int64()),
+             pa.array((begin + first).astype(np.int32)), pa.array((begin + last).astype(np.int32))], names=names
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            grams = table.column("gram").to_numpy()
+            borders = np.flatnonzero(grams[1:] != grams[:-1]) + 1
+            sizes = pc.binary_length(table.column("bytes")).to_numpy().astype(np.int64)
+            done, begin = np.concatenate([[0], np.cumsum(sizes)]), 0
+            for k, border in enumerate(borders.tolist()):
+                # whole grams, some SLICE bytes at once
+                if k + 1 == len(borders) or done[borders[k + 1]] - done[begin] > SLICE:
+                    yield ordered(table.slice(begin, border - begin))
+                    begin = border
+            held = table.slice(begin).to_batches()
+        if held:
+            yield ordered(pa.Table.from_batches(held))
+
+    spread = regions_of_grams.repartition("gram").sortWithinPartitions("gram")
+    return spread.mapInArrow(work, "row long, first int, last int")
+
+
 def radix_pass(suffixes: DataFrame, digits: list[str]) -> DataFrame:
     """What is still together with another suffix when ordered by these digits."""
     together = suffixes.groupBy(*digits).agg(F.count("*").alias("n")).filter("n > 1").select(*digits)
     return suffixes.join(together, digits, "left_semi")
 
 
-def _spans(rows: DataFrame, kind: int | Column) -> DataFrame:
-    kind = F.lit(kind) if isinstance(kind, int) else kind
-    return rows.select(*_KEY, kind.alias("kind"), "first", "last")
+_SPAN = ["kind", "first", "last", "gram", "hot"]
+
+
+def _spans(rows: DataFrame, kind: int) -> DataFrame:
+    """Regions as spans; what is decided needs no gram."""
+    known = kind == REPEATED
+    gram = F.lit(0).cast("long").alias("gram") if known else F.col("gram")
+    hot = F.lit(False).alias("hot") if known else F.col("hot")
+    return rows.select(*_KEY, F.lit(kind).alias("kind"), "first", "last", gram, hot)
 
 
 def repeated_spans(texts: DataFrame, copied: DataFrame, length: int, gram: int) -> DataFrame:
-    """The passes over grams and regions: ``kind``, ``first``, ``last`` per text key."""
+    """The passes over grams and regions: per text key its regions that are repeated, open or partners."""
     repeated = written(
         gram_kinds(texts, length, gram)
         .filter("n > 1")
         .select("gram", (F.col("least") != F.col("most")).alias("mixed")),
         "grams",
     )
-    cells = texts.sparkSession.sparkContext.broadcast(gram_filter(repeated))  # at most MOST_CELLS cells
+    cells = shared(texts.sparkSession, gram_filter(repeated))  # at most MOST_CELLS cells
     found = written(found_regions(texts, cells, length, gram).join(repeated, "gram"), "regions")
     mixed = found.filter("mixed")
     one = F.min(F.struct(*_KEY, "first", "last")).alias("one")
     kinds = written(mixed.groupBy("gram", "region").agg(F.count("*").alias("n"), one), "kinds")
     several = kinds.filter("n > 1").select("gram", "region")
-    alone = kinds.filter("n = 1").select("one.*")
-    partners = kinds.filter("n > 1").select("one.*")
+    many = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > KINDS)
+    marked = kinds.join(many, "gram", "left").select("gram", "n", "one.*", F.col("kinds").isNotNull().alias("hot"))
     own = _spans(found.filter("not mixed"), REPEATED).unionByName(
         _spans(mixed.join(several, ["gram", "region"], "left_semi"), REPEATED)
     )
     # texts that occur twice are repeated as a whole, and only there to be compared with
     copies = copied.select(*_KEY, F.lit(True).alias("copy"))
-    decided = own.unionByName(_spans(alone, OPEN)).join(copies, _KEY, "left")
+    decided = own.unionByName(_spans(marked.filter("n = 1"), OPEN)).join(copies, _KEY, "left")
     kept = decided.filter((F.col("kind") != REPEATED) | F.col("copy").isNull())
-    kind = F.when(F.col("copy").isNotNull(), PARTNER).otherwise(F.col("kind"))
-    return _spans(kept, kind).unionByName(_spans(partners, PARTNER))
+    kind = F.when(F.col("copy").isNotNull(), PARTNER).otherwise(F.col("kind")).alias("kind")
+    partners = _spans(marked.filter("n > 1"), PARTNER)
+    return kept.select(*_KEY, kind, *_SPAN[1:]).unionByName(partners)
 
 
 def _kept(spanned: DataFrame, hits: DataFrame, length: int) -> DataFrame:
@@ -298,10 +410,10 @@ def _kept(spanned: DataFrame, hits: DataFrame, length: int) -> DataFrame:
             made = []
             for k in range(batch.num_rows):
                 text = np.frombuffer(plain.decompress(batch.column("packed")[k].as_py()), dtype=np.uint8)
-                runs = [(own["first"], own["last"]) for own in batch.column("spans")[k].as_py() if own["kind"] == REPEATED]
-                lone = batch.column("starts")[k].values
-                starts = np.array([a for a, _ in runs] + (lone.to_pylist() if lone is not None else []), dtype=np.int64)
-                ends = np.concatenate([np.array([b for _, b in runs], dtype=np.int64), starts[len(runs) :]]) + length
+                runs = [own for own in batch.column("spans")[k].as_py() if own["kind"] == REPEATED]
+                runs += batch.column("hits")[k].as_py() or []
+                starts = np.array([own["first"] for own in runs], dtype=np.int64)
+                ends = np.array([own["last"] for own in runs], dtype=np.int64) + length
                 border = np.zeros(len(text) + 1, dtype=np.int32)
                 np.add.at(border, starts, 1)
                 np.add.at(border, ends, -1)
@@ -314,8 +426,8 @@ def _kept(spanned: DataFrame, hits: DataFrame, length: int) -> DataFrame:
                  pa.array(digest, pa.string())], names=names
             )
 
-    starts = hits.groupBy("row").agg(F.collect_list("start").alias("starts"))
-    joined = spanned.join(starts, "row", "left").select(*_KEY, "packed", "spans", "starts")
+    per_row = hits.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("hits"))
+    joined = spanned.join(per_row, "row", "left").select(*_KEY, "packed", "spans", "hits")
     schema = "key_1 long, key_2 long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(cut, schema)
 
@@ -337,8 +449,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = Non
     copied = written(texts.groupBy(*_KEY).agg(F.count("*").alias("copies")).filter("copies > 1"), "copied")
     spans = repeated_spans(texts, copied, length, gram)
     spanned = with_spans(texts, spans)
-    together = written(radix_pass(written(windows(spanned, length), "windows"), ["digit_1"]), "pass")
-    hits = radix_pass(together, ["digit_1", "digit_2"]).filter("open")
+    hot = written(radix_pass(written(windows(spanned, length), "windows"), ["digit_1"]), "pass")
+    single = radix_pass(hot, ["digit_1", "digit_2"]).filter("open")
+    hits = ordered_in_tasks(region_bytes(spanned, length), length).unionByName(
+        single.select("row", F.col("start").alias("first"), F.col("start").alias("last"))
+    )
     cut = written(_kept(spanned, hits, length), "cut")
     copy = F.col("copies").isNotNull()
     result = rows.join(copied, _KEY, "left").join(cut, _KEY, "left")

@@ -284,8 +284,11 @@ def pieced_documents(seed):
     return rows
 
 
+@pytest.mark.parametrize("kinds", [10_000, 1, 3])
 @pytest.mark.parametrize("seed,length,gram", [(1, 20, 6), (2, 21, 21), (3, 30, 1), (4, 8, 3)])
-def test_removal_equals_plain_windows(spark, seed, length, gram):
+def test_removal_equals_plain_windows(spark, monkeypatch, seed, length, gram, kinds):
+    # grams of more kinds of regions than that are parted by shuffles
+    monkeypatch.setattr(radix_windows, "KINDS", kinds)
     rows = pieced_documents(seed) + odd_documents()[:4] + odd_documents()[6:]
     want = plain_removal([row[:2] for row in rows], length)
     assert 0 < sum(row[2] for row in want) < sum(row[1] for row in want)
@@ -340,6 +343,14 @@ def test_equal_windows_choose_the_same_place():
     assert windows == sum(max(len(text) - 29, 0) for text in texts)
 
 
+def test_sorting_in_a_task_finds_what_is_together():
+    rng = np.random.default_rng(3)
+    for count in (0, 1, 2, 50, 400):
+        keys = [rng.integers(0, 9, count), rng.integers(0, 9, count)]
+        seen = Counter(zip(*(key.tolist() for key in keys)))
+        assert radix_windows.together(keys).tolist() == [seen[pair] > 1 for pair in zip(*(k.tolist() for k in keys))]
+
+
 def test_a_pass_keeps_what_is_together(spark):
     rows = spark.createDataFrame([(1, 5, 0), (2, 5, 1), (3, 6, 1), (4, 5, 1)], "row long, a long, b long")
     assert sorted(row.row for row in radix_pass(rows, ["a"]).collect()) == [1, 2, 4]
