@@ -11,10 +11,11 @@ edges do not. Unary paths are compacted by pointer doubling, so that a passage t
 whole is one path, however long. Phrases of five words are read off the paths; shorter phrases are the
 nodes whose flow does not all go on by one edge or come from one.
 
-A phrase can only be frequent if its words and pairs of words are. These are found first, and put into a
-Bloom filter; pieces are cut where a pair is not in it. The cut parts are pieces like others, so every
-count of a frequent phrase stays exact, and what the filter lets through by mistake is merely counted
-in vain. The filter grows with what is frequent up to a fixed size, beyond which it lets more through.
+A phrase can only be frequent if its words are, and its pairs of words. Frequent words are found first, then
+frequent pairs of these, and put into a Bloom filter each; pieces are cut where a pair is not in it. The cut
+parts are pieces like others, so every count of a frequent phrase stays exact, and what a filter lets
+through by mistake is merely counted in vain. A filter grows with what is frequent up to a fixed size,
+beyond which it lets more through.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.buffers import LOWER, flags, text_bytes, word_table
-from marquee.llm.common import ship, written
+from marquee.llm.common import shared, ship, written
 from marquee.llm.text import hash_words, mix, slices
 
 LONGEST = 5
@@ -78,9 +79,9 @@ def _keys(lang: str, words) -> np.ndarray:
     return mix(hash_words(words.vocabulary) ^ salt)[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
 
 
-def _pair_keys(keys: np.ndarray) -> np.ndarray:
-    """A hash per word and its next."""
-    return mix(keys[:-1] * np.uint64(0x9E3779B97F4A7C15) + keys[1:])
+def mix_pairs(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the word at each place and the next one."""
+    return mix(keys[at] * np.uint64(0x9E3779B97F4A7C15) + keys[at + 1])
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +91,15 @@ def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def short_counts(docs: DataFrame) -> DataFrame:
-    """``lang``, ``size``, ``key`` and ``n``: words and pairs by their hash, and as size 0 all words.
+def short_counts(docs: DataFrame, words_in=None) -> DataFrame:
+    """``lang``, ``size``, ``key`` and ``n``: words by their hash, and as size 0 the number of all words. With
+    a filter ``words_in`` of frequent words, pairs of two such words instead.
 
-    Hashes only serve the filter: words that share one look more frequent than they are."""
+    Hashes only serve the filters: what shares one looks more frequent than it is."""
     names = ["lang", "size", "key", "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         total: dict[str, int] = {}
         size = 0
 
@@ -108,20 +110,23 @@ def short_counts(docs: DataFrame) -> DataFrame:
             )
 
         def merged() -> dict:
-            return {k: [_sums(*(np.concatenate(x) for x in zip(*parts)))] for k, parts in held.items()}
+            return {lang: [_sums(*(np.concatenate(x) for x in zip(*parts)))] for lang, parts in held.items()}
 
         def passed_on() -> Iterator[pa.RecordBatch]:
-            for (lang, kind), parts in merged().items():
-                yield rows(lang, kind, *parts[0])
+            for lang, parts in merged().items():
+                yield rows(lang, 1 if words_in is None else 2, *parts[0])
 
         for batch in batches:
             for lang, texts in _by_language(batch):
                 words, goes_on = _pieces(texts)
                 total[lang] = total.get(lang, 0) + len(words.codes)
                 keys = _keys(lang, words)
-                for kind, own in ((1, keys), (2, _pair_keys(keys)[goes_on[:-1]])):
-                    held.setdefault((lang, kind), []).append(_sums(own, np.ones(len(own), dtype=np.int64)))
-                    size += len(held[lang, kind][-1][0])
+                if words_in is not None:
+                    frequent = _in_filter(words_in.value, keys)
+                    goes_on[:-1] &= frequent[:-1] & frequent[1:]
+                    keys = mix_pairs(keys, np.flatnonzero(goes_on))
+                held.setdefault(lang, []).append(_sums(keys, np.ones(len(keys), dtype=np.int64)))
+                size += len(held[lang][-1][0])
                 if size > HELD:
                     held = merged()
                     size = sum(len(parts[0][0]) for parts in held.values())
@@ -129,8 +134,9 @@ def short_counts(docs: DataFrame) -> DataFrame:
                         yield from passed_on()
                         held, size = {}, 0
         yield from passed_on()
-        for lang, n in total.items():
-            yield rows(lang, 0, np.zeros(1, dtype=np.uint64), np.array([n]))
+        if words_in is None:
+            for lang, n in total.items():
+                yield rows(lang, 0, np.zeros(1, dtype=np.uint64), np.array([n]))
 
     counted = docs.mapInArrow(count, "lang string, size int, key long, n long")
     return counted.groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
@@ -144,9 +150,9 @@ def _places(keys: np.ndarray, cells: int) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def frequent_filter(counts: DataFrame, least: int) -> np.ndarray:
-    """A Bloom filter of all words and pairs that occur ``least`` times. Its cells, at most
+    """A Bloom filter of all words or pairs that occur ``least`` times. Its cells, at most
     ``MOST_CELLS``, are what comes to the driver."""
-    frequent = counts.filter((F.col("size") > 0) & (F.col("n") >= least)).select("key")
+    frequent = written(counts.filter((F.col("size") > 0) & (F.col("n") >= least)).select("key"), "frequent")
     wanted = max(frequent.count() * BITS // 64, 64)
     cells = min(MOST_CELLS, 1 << int(wanted - 1).bit_length())
 
@@ -198,7 +204,7 @@ def _grams(words, run: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Array,
     return joined, np.diff(np.append(first, len(at)))
 
 
-def edges_and_tails(docs: DataFrame, cells, longest: int) -> DataFrame:
+def edges_and_tails(docs: DataFrame, words_in, pairs_in, longest: int) -> DataFrame:
     """``lang``, ``size``, ``gram`` (words with single spaces) and ``n``: of ``longest`` words the edges,
     of fewer the tails where a piece ends or is cut."""
 
@@ -207,10 +213,13 @@ def edges_and_tails(docs: DataFrame, cells, longest: int) -> DataFrame:
             for lang, texts in _by_language(batch):
                 words, goes_on = _pieces(texts)
                 keys = _keys(lang, words)
-                goes_on[:-1] &= _in_filter(cells.value, _pair_keys(keys))
+                frequent = _in_filter(words_in.value, keys)
+                goes_on[:-1] &= frequent[:-1] & frequent[1:]
+                linked = np.flatnonzero(goes_on)
+                goes_on[linked] = _in_filter(pairs_in.value, mix_pairs(keys, linked))
                 run = _run_lengths(goes_on, longest)
                 # a word that is frequent by no count is in no frequent phrase
-                at = np.flatnonzero((run > 1) | _in_filter(cells.value, keys))
+                at = np.flatnonzero(frequent)
                 for size in range(1, longest + 1):
                     gram, n = _grams(words, run, at, size)
                     yield pa.RecordBatch.from_arrays(
@@ -348,11 +357,14 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: in
     """
     ship(docs.sparkSession)
     texts = docs.select(_language().alias("lang"), "text").filter("text is not null")
-    counts = written(short_counts(texts), "short")
-    cells = docs.sparkSession.sparkContext.broadcast(frequent_filter(counts, least))  # at most MOST_CELLS cells
-    grams = written(edges_and_tails(texts, cells, longest), "grams")
+    spark = docs.sparkSession
+    counts = written(short_counts(texts), "words")
+    words_in = shared(spark, frequent_filter(counts, least))  # at most MOST_CELLS cells, as the next
+    pairs_in = shared(spark, frequent_filter(short_counts(texts, words_in), least))
+    grams = written(edges_and_tails(texts, words_in, pairs_in, longest), "grams")
     free, known = candidates(flows(grams, longest), longest, least)
-    totals = counts.filter("size = 0").select("lang", "n")
+    # a table of its own, so that its size is known where it is joined
+    totals = written(counts.filter("size = 0").select("lang", "n"), "totals")
     ranked = scored(written(free, "phrases"), written(known, "counts"), totals)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "gram")
     return (
