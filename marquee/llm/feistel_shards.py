@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from marquee.llm.common import fresh, prefix_offsets, written
 
 ROUNDS = 6
+STEPS = 64
 
 
 def grid(rows: int) -> tuple[int, int]:
@@ -48,8 +49,8 @@ def _network(number: Column, a: int, b: int, seed: int) -> Column:
 def permuted(number: Column, rows: int, seed: int = 0) -> Column:
     """Where a row number below ``rows`` goes: a one-to-one map onto the numbers below ``rows``.
 
-    Fewer than ``a`` cells of the grid are beyond the last row, so a walk ends within ``a`` steps.
-    Over 64 steps in a row have a chance below ``b ** -64``; they raise rather than misplace.
+    Fewer than ``a`` cells of the grid are beyond the last row, so a walk ends within ``a`` steps: mostly
+    within the 64 that are tried first, and if not, after as many more as there may be.
     """
     a, b = grid(rows)
     first = _network(number, a, b, seed)
@@ -59,15 +60,19 @@ def permuted(number: Column, rows: int, seed: int = 0) -> Column:
 
 
 def _walked(once: Column, rows: int, a: int, b: int, seed: int) -> Column:
-    steps = F.sequence(F.lit(1), F.lit(max(1, min(a, 64))))
-    walk = F.aggregate(
-        steps, once, lambda at, _: F.when(at >= rows, _network(at, a, b, seed)).otherwise(at)
-    )
-    checked = F.transform(
-        F.array(walk),
-        lambda end: F.when(end < rows, end).otherwise(F.raise_error(F.lit("the walk did not end")).cast("long")),
+    def walk(start: Column, steps: int) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(steps)),
+            start,
+            lambda at, _: F.when(at >= rows, _network(at, a, b, seed)).otherwise(at),
+        )
+
+    # steps by the 64, so that the longest walk there may be is no long array
+    far = lambda start: F.aggregate(
+        F.sequence(F.lit(1), F.lit(-(-a // STEPS))), start, lambda at, _: walk(at, STEPS)
     )
-    return F.when(once < rows, once).otherwise(F.element_at(checked, 1))
+    ended = F.transform(F.array(walk(once, min(a, STEPS))), lambda end: F.when(end < rows, end).otherwise(far(end)))
+    return F.when(once < rows, once).otherwise(F.element_at(ended, 1))
 
 
 def number_rows(df: DataFrame, order: list[str], name: str = "row_number") -> tuple[DataFrame, int]:

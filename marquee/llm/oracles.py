@@ -4,6 +4,8 @@ The others learn models, call a tokenizer, use checksums or hashes that DuckDB l
 some neighbours by design; the tests hold them against plain Python.
 """
 
+from marquee.llm.suffixes import DOUBLE_SUFFIXES
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -75,6 +77,8 @@ _RULES = [
     ("block", "com/de/"),
 ]
 
+_DOUBLE = ", ".join(f"'{suffix}'" for suffix in DOUBLE_SUFFIXES)
+
 _REST = "substr(url, strpos(url, '://') + 3)"
 
 OP5 = rf"""
@@ -88,10 +92,20 @@ with located as (
 ), marks as (
     select doc_id as page_id, count(*) as n, count(*) filter (toxic = 1 or quality = 0) as bad
     from labels where doc_id is not null and (toxic = 1 or quality = 0) is not null group by doc_id
+), named as (
+    select host, n, bad, regexp_replace(host, ':[0-9]*$', '') as name from located left join marks using (page_id)
+), parted as (
+    select *, regexp_full_match(name, '[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}|\[.*\]') as address,
+           regexp_extract(name, '([^.]*\.)?[^.]*$', 0) in ({_DOUBLE}) as double
+    from named
 ), hosts as (
-    select host, regexp_extract(host, '([^.]*)$', 1) as suffix,
-           regexp_extract(host, '([^.]*\.)?[^.]*$', 0) as domain, sum(coalesce(n, 0)) as n, sum(coalesce(bad, 0)) as bad
-    from located left join marks using (page_id) group by all
+    select host,
+           case when address then '[ip]' when double then regexp_extract(name, '[^.]*\.[^.]*$', 0)
+                else regexp_extract(name, '[^.]*$', 0) end as suffix,
+           case when address then name when double then regexp_extract(name, '([^.]*\.)?[^.]*\.[^.]*$', 0)
+                else regexp_extract(name, '([^.]*\.)?[^.]*$', 0) end as domain,
+           sum(coalesce(n, 0)) as n, sum(coalesce(bad, 0)) as bad
+    from parted group by all
 ), domains as (
     select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by all
 ), suffixes as (

@@ -43,8 +43,10 @@ FILES_SCHEMA = "file string, part int, documents long, ids long, frames long, by
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """Where a path or URI points to: any store Arrow knows."""
-    return pafs.FileSystem.from_uri(uri)
+    """Where a path or URI points to: any store Arrow knows. ``s3a`` is the name that Hadoop has for S3; the
+    credentials and the endpoint are those of the environment (``AWS_ACCESS_KEY_ID``, ``AWS_ENDPOINT_URL``)."""
+    scheme, mark, rest = uri.partition("://")
+    return pafs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri)
 
 
 def _checksum(content: bytes | memoryview) -> int:

@@ -4,11 +4,13 @@ A tokenizer that drops white space and never joins across it gives a text the id
 one after the other. So each distinct word is encoded once per Python worker, and ids are
 gathered per text. Words of letters alone are encoded together: each gives one run of
 ids, of which only the last ends a word in the vocabulary. Texts for which that might differ (with combining marks, which can
-compose with what a split cuts off, or with a ``<|`` that could be a special token) are encoded whole.
+compose with what a split cuts off, or with a ``<|`` that could be a special token) are encoded whole. So
+is every text if the tokenizer's settings are others than the ones that this is known of.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 
@@ -24,6 +26,36 @@ REMEMBERED = 600_000
 # Words of letters that are encoded in one go.
 LINE_WORDS = 1_000
 
+# Settings of a tokenizer by which a text's ids are those of its words.
+WORD_BY_WORD = {
+    "normalizer": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "split": {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+}
+
+
+def goes_word_by_word(settings: dict) -> bool:
+    """Whether a tokenizer of these settings (its file) gives a text the ids of its words."""
+    normalizers = (settings.get("normalizer") or {}).get("normalizers")
+    splits = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+    return (
+        normalizers == WORD_BY_WORD["normalizer"]
+        and splits[0] == WORD_BY_WORD["split"]
+        and not settings["model"].get("dropout")
+        and settings.get("truncation") is None
+        and settings.get("padding") is None
+        and all(token["content"].startswith("<|") for token in settings.get("added_tokens", []))
+    )
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -40,6 +72,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = goes_word_by_word(json.loads(self.tokenizer.to_str()))
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -105,7 +138,12 @@ class WordEncoder:
         return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``offsets`` (one more than texts), ``ids``, and which ids end a sentence."""
+        """``offsets`` (one more than texts), ``ids``, and which ids end a sentence (of texts that are
+        encoded whole, none is known to)."""
+        if not self.by_words:
+            encoded = self.whole(texts.to_pylist())
+            ids = np.array([number for own in encoded for number in own], dtype=np.uint32)
+            return np.concatenate([[0], np.cumsum([len(own) for own in encoded])]).astype(np.int64), ids, ids < 0
         odd = pc.or_(pc.match_substring_regex(texts, r"\pM"), pc.match_substring(texts, "<|"))
         odd_rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         plain = pc.if_else(odd, "", texts) if len(odd_rows) else texts

@@ -463,3 +463,23 @@ def test_the_query_tells_domains_under_double_suffixes_apart(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {row.page_id: row.verdict for row in op5_host_reputation(spark, str(tmp_path)).collect()}
     assert (got[0], got[300], got[600], got[601]) == ("block", "allow", "block", "allow")
+
+
+def test_sql_knows_suffixes_ports_and_addresses(spark, tmp_path):
+    import duckdb
+
+    from marquee.llm.oracles import OP5
+
+    hosts = ["a.co.uk", "www.a.co.uk", "co.uk", "b.com:8080", "B.com", "x.b.com", "10.1.2.3", "10.1.2.3:81", "[::1]",
+             "localhost", "", "c.org", "d.example.org", "e.gov.uk:", "f.f.f.com.au"]
+    rng = random.Random(4)
+    pages = [(k, f"http://{rng.choice(hosts)}/{rng.choice(['es/', 'de/1', ''])}{k}", "") for k in range(900)]
+    pages += [(900, None, None), (901, "no scheme", "")]
+    labels = [(k, rng.randint(0, 1), int(rng.random() < 0.4)) for k in range(0, 900, 2)]
+    connection = duckdb.connect()
+    for name, rows, schema in (("pages", pages, "page_id long, url string, html string"),
+                               ("labels", labels, "doc_id long, quality int, toxic int")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        connection.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = sorted(map(tuple, op5_host_reputation(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(connection.sql(OP5).fetchall(), key=str) and len({row[-1] for row in got}) == 2

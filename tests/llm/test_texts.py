@@ -1,18 +1,24 @@
 """Token files, packing and shards: exact round trips."""
 
+import json
 import random
 import struct
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tables import document, frame, odd_documents, some_documents
 
+from marquee.llm import feistel_shards
 from marquee.llm.feistel_shards import grid, permuted, shard_rows, write_shards
+from marquee.llm.queries import op8_feistel_shards
 from marquee.llm.token_frames import (
     FrameReader,
+    file_system,
     read_token_files,
     token_file_digests,
     tokenizer_path,
@@ -53,6 +59,32 @@ def test_words_encoded_apart_give_the_ids_of_whole_texts(tokenizer):
         assert ends.sum() > 50
 
 
+def test_other_tokenizers_get_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from marquee.llm.tokens import goes_word_by_word
+
+    other = tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k")
+    encoder, plain = WordEncoder(other), Tokenizer.from_file(other)
+    assert WordEncoder(tokenizer_path()).by_words and not encoder.by_words
+    texts = ["Upper and  lower", "", "a\nb", "don't. <|endoftext|>", "É é"]
+    offsets, ids, ends = encoder.encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert not ends.any() and len(ends) == len(ids)
+    settings = json.loads(Path(tokenizer_path()).read_text())
+    assert goes_word_by_word(settings)
+    for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"truncation": {"max_length": 5}},
+                   {"model": settings["model"] | {"dropout": 0.1}}):
+        assert not goes_word_by_word(settings | change)
+
+
+def test_s3a_is_a_name_of_s3():
+    store, path = file_system("s3a://bucket/a/b.zst?region=eu-west-1")
+    assert store.type_name == "s3" and path == "bucket/a/b.zst"
+
+
 def test_token_files_read_back(spark, tokenizer, tmp_path):
     files = write_token_files(frame(spark, DOCUMENTS), str(tmp_path), tokenizer_path(), 2)
     got = read_token_files(files).collect()
@@ -187,6 +219,52 @@ def test_the_permutation_is_one_to_one(spark, rows):
         assert other != got
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of integers, each as wide as given."""
+    state = 42
+    for value, width in values:
+        state = xxhash.xxh64_intdigest(value.to_bytes(width, "little", signed=True), state)
+    return state - (1 << 64) if state >> 63 else state
+
+
+def plain_permuted(number, rows, seed, rounds=6):
+    a, b = grid(rows)
+    while True:
+        left, right = number % a, number // a
+        for turn in range(rounds):
+            if turn % 2 == 0:
+                left = (left + spark_hash((seed, 4), (turn, 4), (right, 8)) % a) % a
+            else:
+                right = (right + spark_hash((seed, 4), (turn, 4), (left, 8)) % b) % b
+        number = left + right * a
+        if number < rows:
+            return number
+
+
+@pytest.mark.parametrize("rows,steps", [(1, 64), (2, 64), (17, 64), (101, 64), (101, 1), (1000, 1)])
+def test_the_network_equals_a_plain_one(spark, monkeypatch, rows, steps):
+    # with few steps at first, walks go on by the loop for the rest
+    monkeypatch.setattr(feistel_shards, "STEPS", steps)
+    got = [row[0] for row in spark.range(rows).select(permuted(F.col("id"), rows, 5)).collect()]
+    assert got == [plain_permuted(number, rows, 5) for number in range(rows)]
+
+
+def test_the_query_equals_plain_sharding(spark, tmp_path):
+    rows = [row for row in DOCUMENTS if row[0] is not None]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(row) for row in op8_feistel_shards(spark, str(tmp_path)).collect()]
+    want = []
+    for row in rows:
+        data = (row[1] or "").encode()
+        want.append((row[0], len(data) + 1, zlib.crc32(data)))
+    want.sort(key=lambda row: (row[0], row[2], row[1]))
+    expected = []
+    for number, row in enumerate(want):
+        at = plain_permuted(number, len(want), 8)
+        expected.append((*row, "rows", at % 8, at // 8, None, number))
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_shards_are_even_and_slots_gapless(spark, tmp_path):
     docs = frame(spark, DOCUMENTS + DOCUMENTS[:20])
     sharded = shard_rows(docs, ["doc_id", "text"], 8, seed=3)
