@@ -5,7 +5,9 @@ fitted to each other in turns) on a bounded sample of the vectors of one length.
 with an index of its own. Two codes within a Hamming radius ``r`` must, by the pigeonhole principle,
 be within ``r // m`` (or one less, in all but the first ``r % m + 1``) in one of ``m`` substrings: so
 probing all near values of every substring retrieves every code within the radius. What lies within
-is ranked by exact cosine.
+is ranked by exact cosine. How many rows are met on the way depends on the vectors: few where true neighbours
+are near, nearly all where they are hardly nearer than others, as among random vectors of many dimensions,
+which no such index can tell apart.
 
 The radius comes from the sample, too: nearly all true neighbours lie within it. Vectors are dealt
 into blocks, each indexed as a whole; the stated queries go to every block in blocks of their own,
@@ -99,8 +101,8 @@ class SubstringIndex:
             np.searchsorted(packed[self.order[:, k], k], values, side="left") for k in range(packed.shape[1])
         ]
 
-    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """All rows whose code is within the radius."""
+    def probe(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """The rows that some substring names: all within the radius, and others."""
         substrings = self.packed.shape[1]
         seen = np.zeros(len(self.packed), dtype=bool)
         for k in range(substrings):
@@ -114,7 +116,11 @@ class SubstringIndex:
             if total:
                 ends = np.cumsum(lengths)
                 seen[order[np.arange(total) + np.repeat(starts[values] - ends + lengths, lengths)]] = True
-        rows = np.flatnonzero(seen)
+        return np.flatnonzero(seen)
+
+    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """All rows whose code is within the radius."""
+        rows = self.probe(code, radius)
         near = np.bitwise_count(self.packed[rows] ^ code).sum(axis=1) <= radius
         return rows[near]
 
