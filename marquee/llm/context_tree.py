@@ -524,8 +524,8 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     probabilities of the sequence of words, their letters A-Z lowered. Null texts count as empty:
     they have an end only. Repeated rows are learnt from and scored each; an empty table gives no
     rows; with nothing to learn from, every bit of a text costs a bit. Words are counted by 64-bit
-    hashes; code lengths of bytes, and so the scores, are right to one part in 2**17. Other columns are
-    ignored.
+    hashes; code lengths of bytes, and so the scores, are right to one part in 2**17. Long texts are counted
+    whole, some 70 bytes in memory for each of their bytes. Other columns are ignored.
     """
     spark = docs.sparkSession
     buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -168,8 +168,8 @@ def write_token_files(
 
     Returns the table of files: ``file``, ``part`` (their order), ``documents``, ``ids``,
     ``frames``, ``bytes``. Null ids come first, null texts count as empty, repeated
-    ids are written each, in no defined order among themselves; other columns are ignored. An
-    empty table gives no file. ``root`` is a path or URI that all executors reach.
+    ids are written each, in no defined order among themselves; other columns are ignored. Long texts are
+    encoded whole, some 50 bytes in memory for each of their bytes. An empty table gives no file. ``root`` is a path or URI that all executors reach.
     """
     ship(docs.sparkSession)
 
