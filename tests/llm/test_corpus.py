@@ -284,8 +284,10 @@ def pieced_documents(seed):
     return rows
 
 
-@pytest.mark.parametrize("kinds", [10_000, 1, 3])
-@pytest.mark.parametrize("seed,length,gram", [(1, 20, 6), (2, 21, 21), (3, 30, 1), (4, 8, 3)])
+@pytest.mark.parametrize(
+    "seed,length,gram,kinds",
+    [(1, 20, 6, 10_000), (2, 21, 21, 10_000), (3, 30, 1, 10_000), (4, 8, 3, 10_000), (1, 20, 6, 1), (4, 8, 3, 3)],
+)
 def test_removal_equals_plain_windows(spark, monkeypatch, seed, length, gram, kinds):
     # grams of more kinds of regions than that are parted by shuffles
     monkeypatch.setattr(radix_windows, "KINDS", kinds)
