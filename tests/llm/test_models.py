@@ -25,7 +25,7 @@ from marquee.llm.language_bloom import (
     positions,
 )
 from marquee.llm.queries import op5_host_reputation
-from marquee.llm.toxicity_cnn import Network, fit, labelled_sample, score_documents, toxicity
+from marquee.llm.toxicity_cnn import Network, fit, fit_rows, labelled_rows, labelled_sample, score_documents, toxicity
 
 DOCUMENTS = some_documents() + odd_documents()
 
@@ -341,6 +341,30 @@ def test_a_repeated_id_is_one_sample(spark):
     assert sample.to_dict("records") == [{"doc_id": 1, "text": "text 0", "toxic": 1, "lang": "en"}]
 
 
+def test_all_labelled_documents_are_learnt_from(spark, conf, monkeypatch):
+    from marquee.llm import toxicity_cnn
+
+    rows, labels = labelled(1500)
+    truth = {k: toxic for k, _, toxic in labels}
+    # one text longer than a sample takes, in a language that no other text has
+    rows.append(document(1503, "zyx " * 15_000 + "vermin", "zz"))
+    while remainder(rows[-1][0], 4) == 2:
+        rows[-1] = (rows[-1][0] + 1, *rows[-1][1:])
+    marks = spark.createDataFrame([*labels, (rows[-1][0], 1, 1)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    # as of more labelled documents than a sample holds
+    monkeypatch.setattr(toxicity_cnn.labelled_sample, "__defaults__", (5, 200))
+    monkeypatch.setattr(toxicity_cnn.fit_rows, "__defaults__", (*fit_rows.__defaults__[:-1], 0))
+    conf("spark.sql.files.maxPartitionBytes", "40000")
+    conf("spark.sql.files.openCostInBytes", "1")
+    learnt = labelled_rows(docs, marks)
+    assert sorted(x.doc_id for x in learnt.collect()) == sorted(k for k, *_ in rows if remainder(k, 4) != 2)
+    assert learnt.rdd.getNumPartitions() > 1
+    assert "zz" in fit_rows(learnt).languages
+    held_out = [row for row in toxicity(docs, marks).collect() if row.held_out]
+    assert sum(row.predicted == truth[row.doc_id] for row in held_out) >= 0.95 * len(held_out)
+
+
 def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity(frame(spark, DOCUMENTS[:5]), none).collect()
