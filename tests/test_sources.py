@@ -235,6 +235,38 @@ def test_compressed_files_are_read_whole(spark, tmp_path):
     assert [tuple(row) for row in sorted_rows(got)] == [("1", "a\nb", "c"), ("2", "x\ny", "z")]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_gzip_files_are_one_range_each(spark, conf, monkeypatch, tmp_path, end):
+    (tmp_path / "in").mkdir()
+    for number in range(3):
+        write_csv(tmp_path / "plain.csv", random_rows(random.Random(number), 60), end)
+        with gzip.open(tmp_path / "in" / f"{number}.csv.gz", "wb") as out:
+            out.write((tmp_path / "plain.csv").read_bytes())
+    with gzip.open(tmp_path / "in" / "empty.csv.gz", "wb"):
+        pass
+    expected = sorted_rows(read_extract(spark, str(tmp_path / "in"), split_records=False))
+    conf("spark.sql.files.maxPartitionBytes", "300")
+    with pytest.warns(UserWarning, match="3 irregular files are read in a task per file"):
+        got = read_extract(spark, str(tmp_path / "in"))
+    assert sorted_rows(got) == expected and len(expected) == 180
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    if end == "\n":
+        assert "quoted_csv_records" in plan and "FileScan csv" not in plan
+
+
+def test_extracts_of_a_run_are_packed_in_bounded_files(spark, tmp_path):
+    from workload.tables import _PACKED_CSV, write_raw_csv
+
+    rows = spark.range(120_000).selectExpr("id", "concat('Order ', id, ',\n\"x\"') as title")
+    write_raw_csv(rows.coalesce(1), f"{tmp_path}/in.csv", **_PACKED_CSV)
+    files = list((tmp_path / "in.csv").glob("part-*"))
+    assert len(files) == 3 and all(file.name.endswith(".gz") for file in files)
+    with pytest.warns(UserWarning, match="a task per file"):
+        got = read_extract(spark, f"{tmp_path}/in.csv")
+    wanted = rows.selectExpr("cast(id as string) id", "title")
+    assert got.exceptAll(wanted).isEmpty() and got.count() == 120_000
+
+
 def test_settings_of_an_object_store_reach_the_tasks(spark):
     conf = spark._jsc.hadoopConfiguration()
     wanted = {"fs.s3a.endpoint": "http://store:9000/", "fs.s3a.access.key": "a", "fs.s3a.secret.key": "b"}
