@@ -130,3 +130,18 @@ def test_texts_that_casts_lose_are_counted(spark):
     counted = with_losses(raw, [("a", "whole", "int"), ("a", "real", "double"), ("b", "text", "string")], {})
     assert counted.columns == ["a", "b", "lost_whole", "lost_real"]
     assert [(row.lost_whole, row.lost_real) for row in counted.collect()] == [(0, 0), (1, 1), (0, 0), (0, 0), (1, 0)]
+
+
+def test_arrays_are_parsed_once_for_losses_and_result(spark):
+    from pyspark.sql import Observation
+
+    from marquee.plans.curation import _observed, shaped
+
+    arrays = {"tags": "array<struct<id:int,name:string>>"}
+    raw = spark.createDataFrame([('[{"id": "x", "name": "a"}, {"id": 2}]',), ("[{",), (None,)], "tags string")
+    observation = Observation()
+    observed = _observed(raw, (), arrays, observation)
+    assert observed._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert observed.schema == shaped(raw, (), arrays).schema
+    assert sorted(map(str, observed.collect())) == sorted(map(str, shaped(raw, (), arrays).collect()))
+    assert observation.get == {"lost_tags_id": 1, "lost_tags_name": 0}
