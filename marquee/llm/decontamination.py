@@ -103,6 +103,8 @@ def embed_item(words: np.ndarray) -> np.ndarray:
                     if step in walk.sampled:
                         read.append(place)
                     place += moves[step][place]
+            # a word that no step leaves would hold the walk to its end
+            place += place == begin
             if len(read) == len(walk.sampled):
                 kept = found if read[0] < read[-1] else single
                 kept.append((walk.number, begin, _key(walk, own[read])))
