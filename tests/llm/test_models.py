@@ -365,6 +365,59 @@ def test_all_labelled_documents_are_learnt_from(spark, conf, monkeypatch):
     assert sum(row.predicted == truth[row.doc_id] for row in held_out) >= 0.95 * len(held_out)
 
 
+def test_the_driver_derives_a_slice_at_a_time(monkeypatch):
+    from marquee.llm import toxicity_cnn
+
+    rows, labels = labelled(900)
+    texts = {k: f"{text} " * 8 for k, text, *_ in (x[:2] for x in rows)}
+    langs = [x[2] for x in rows[:-30]] + [None] * 30
+    sample = pd.DataFrame({"text": [texts[x[0]] for x in rows], "toxic": [x[2] for x in labels], "lang": langs})
+    assert sample.text.str.len().sum() > 1_000_000
+    sizes, plain = [], toxicity_cnn.word_codes
+    monkeypatch.setattr(toxicity_cnn, "word_codes", lambda texts: sizes.append(texts.nbytes) or plain(texts))
+    sliced = fit(sample, epochs=1)
+    assert max(sizes) < 300_000
+    monkeypatch.setattr(toxicity_cnn, "LOCAL_SLICE", 1 << 30)
+    whole = fit(sample, epochs=1)
+    assert sliced.languages == whole.languages == ["de", "en", "fr"]
+    assert np.array_equal(sliced.language_weights, whole.language_weights)
+    assert sliced.thresholds == pytest.approx(whole.thresholds, abs=1e-4)
+
+
+def test_the_driver_holds_little_between_passes(spark, tmp_path, monkeypatch):
+    import tracemalloc
+
+    from marquee.llm import toxicity_cnn
+
+    rows, labels = labelled(200)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learnt = labelled_rows(frame(spark, rows), marks)
+    held, plain = [], toxicity_cnn._add_changes
+
+    def added(*args):
+        held.append(tracemalloc.get_traced_memory())
+        plain(*args)
+
+    monkeypatch.setattr(toxicity_cnn, "_add_changes", added)
+    tracemalloc.start()
+    try:
+        fit_rows(learnt, passes=2, local=0)
+    finally:
+        tracemalloc.stop()
+    # the network and its sums are 50 MB; another network is needed for a moment only
+    assert len(held) >= 2 and max(now for now, _ in held) < 60e6 and max(most for _, most in held) < 100e6
+
+
+def test_words_by_language_are_counted_in_tasks(spark):
+    from marquee.llm.toxicity_cnn import _counted_languages, _language_counts
+
+    rows = [(k, f"w{k % 7} w{k % 3} x", lang) for k, lang in enumerate(["en", "", None, "de"] * 50)]
+    found = _counted_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5))
+    want = {lang: _language_counts(pa.array([x[1] for x in rows if x[2] == lang])) for lang in ("en", "", "de")}
+    assert found.keys() == want.keys()
+    assert all(np.array_equal(found[lang], want[lang]) for lang in want)
+
+
 def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity(frame(spark, DOCUMENTS[:5]), none).collect()
