@@ -365,6 +365,47 @@ def test_all_labelled_documents_are_learnt_from(spark, conf, monkeypatch):
     assert sum(row.predicted == truth[row.doc_id] for row in held_out) >= 0.95 * len(held_out)
 
 
+def test_all_passes_are_made_whatever_the_size(spark, monkeypatch):
+    from marquee.llm import toxicity_cnn
+
+    rows, labels = labelled(60)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learnt = labelled_rows(frame(spark, rows), marks)
+    made = []
+    monkeypatch.setattr(toxicity_cnn, "_one_pass", lambda network, sums, learning, *_: made.append(learning))
+    monkeypatch.setattr(toxicity_cnn, "_learn", lambda *_: made.append(None))
+    fit(learnt, epochs=3, batch=1000)
+    assert made == [None] * 3
+    made.clear()
+    monkeypatch.setattr(toxicity_cnn.fit_rows, "__defaults__", (*fit_rows.__defaults__[:-1], 0))
+    fit(learnt, epochs=3)
+    assert len(made) == 3
+    fit(learnt)
+    assert len(made) == 3 + toxicity_cnn.EPOCHS == 3 + fit.__defaults__[0]
+    fit_rows(learnt)
+    assert len(made) == 3 + 2 * toxicity_cnn.EPOCHS
+
+
+def test_words_are_coded_alike_by_run_and_by_batch():
+    from marquee.llm.text import Words
+    from marquee.llm.toxicity_cnn import PAD, coded_runs, word_codes
+
+    rows, _ = labelled(50)
+    odd = ["", "\u00e9 A\x00b", "x\x7fY{z", "  ", "\u00c0B-c_d`e[f]", "\u65e5\u672c 9:A@", "tail"]
+    for texts in (pa.array(odd), pa.array(odd)[2:6], pa.array(["", ""]), pa.array([x[1] for x in rows] + odd)):
+        hashes, codes, starts = word_codes(texts)
+        low = [Words(pa.array(["".join(c if c.isalnum() or ord(c) > 127 else " " for c in x.lower())])) for x in texts.to_pylist()]
+        assert np.diff(np.append(starts, len(codes))).tolist() == [len(x.codes) + PAD for x in low]
+        runs = list(coded_runs(texts, 3))
+        assert len(runs) == -(-len(texts) // 3)
+        for at, (own_hashes, own_codes, own_starts) in zip(range(0, len(texts), 3), runs):
+            want_hashes, want_codes, want_starts = word_codes(texts[at : at + 3])
+            assert own_starts.tolist() == want_starts.tolist()
+            real = want_codes < want_hashes.shape[1]
+            assert ((own_codes < own_hashes.shape[1]) == real).all()
+            assert np.array_equal(own_hashes[:, own_codes[real]], want_hashes[:, want_codes[real]])
+
+
 def test_the_driver_derives_a_slice_at_a_time(monkeypatch):
     from marquee.llm import toxicity_cnn
 
