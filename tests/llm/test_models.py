@@ -259,6 +259,49 @@ def test_the_filter_grows_with_what_is_learnt(spark, monkeypatch):
     assert right > 0.9 * len(rows)
 
 
+@pytest.mark.parametrize("languages", [3, 70])
+def test_a_filter_in_parts_holds_all_ngrams(spark, monkeypatch, languages):
+    rows = [document(k, *row[1:3]) for k, row in enumerate(some_documents(count=120) + odd_documents())]
+    if languages > 64:  # two planes
+        rows = [document(k, row[1], f"{row[2]}{k % 70}") for k, row in enumerate(rows[:120])]
+    counts = defaultdict(Counter)
+    for row in rows:
+        if row[1] is not None and row[2] is not None:
+            counts[row[2]].update(plain_ngrams(row[1]))
+    monkeypatch.setattr(language_bloom, "CELLS", 1 << 8)
+    monkeypatch.setattr(language_bloom, "MOST_CELLS", 1 << 10)
+    monkeypatch.setattr(language_bloom, "PARTS_SLICE", 5000)
+    model = learn_filter(frame(spark, rows))
+    count = len(model.parts)
+    planes = -(-len(model.languages) // 64)
+    assert (len(model.languages) > 64) == (languages > 64)
+    assert count > 1 and model.cells.size <= max(1 << 10, planes << 8)
+    assert (model.false_positives < 0.15).all()
+    totals = {lang: sum(own.values()) for lang, own in counts.items()}
+    known = [model.cells_of(part) for part in range(count)]
+    for gram in set().union(*counts.values()):
+        rates = {lang: own[gram] / totals[lang] for lang, own in counts.items() if totals[lang]}
+        value = np.array([int.from_bytes(gram, "big")], dtype=np.uint32)
+        cells = known[language_bloom.part_of(value, count)[0]]
+        for k, lang in enumerate(model.languages):
+            if rates[lang] >= 0.1 * max(rates.values()):
+                assert all(int(cells[k // 64, positions(value, h, cells.shape[1])[0]]) >> k % 64 & 1 for h in range(HASHES))
+    # tasks count as the driver does, and nearly as with one part
+    texts = pa.array([row[1] or "" for row in rows])
+    best, share = model.identify(texts)
+    want = {row[0]: (model.languages[k], x) for row, k, x in zip(rows, best, share)}
+    got = {row.doc_id: (row.lang_pred, row.score) for row in identify_languages(frame(spark, rows), model).collect()}
+    assert len(got) == len(want) == len(rows)
+    assert all(got[k] == want[k] for k, text, *_ in (x[:2] for x in rows) if any(c.isalpha() for c in text or ""))
+    monkeypatch.setattr(language_bloom, "MOST_CELLS", 1 << 24)
+    whole = learn_filter(frame(spark, rows))
+    assert len(whole.parts) == 1 and whole.cells.shape[1] == count * model.cells.shape[1]
+    assert whole.false_positives == pytest.approx(model.false_positives, abs=0.02)
+    if languages < 64:
+        far = np.array([len(text) > 100 for text in texts.to_pylist()])
+        assert (np.abs(whole.identify(texts)[1] - share)[far] < 0.1).all()
+
+
 def test_two_million_ngrams_leave_few_false_positives():
     rng = np.random.default_rng(4)
     cells = 1 << 23  # what learn_filter takes for them
